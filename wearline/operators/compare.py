@@ -15,6 +15,8 @@ from wearline.functions.columns import as_list
 from wearline.functions.stats import normal_pvalue, poisson1_weight, replicate_uniform, row_hash32, t_pvalue
 from wearline.operators.ranks import ordered_prefix
 
+_EXACT = "decimal(30,12)"
+
 
 def one_row(first: DataFrame, *others: DataFrame) -> DataFrame:
     """Put single-row aggregates side by side as scalar subqueries (no join at all)."""
@@ -79,15 +81,27 @@ def bootstrap_means(
     Each (row, replicate) gets a Poisson(1) weight from a seeded hash of the row key and the
     replicate number; a replicate's mean is sum(w * x) / sum(w) (Chamandy et al., 2012). The
     replicates are generated next to the data and pre-aggregated per partition before the
-    shuffle, so a shuffle carries at most ``resamples`` rows per partition, and the result
-    does not depend on partitioning. It approximates, and does not reproduce, a NumPy draw.
+    shuffle, so a shuffle carries at most ``resamples`` rows per partition.
+
+    ``w * x`` is summed as ``DECIMAL(30, 12)``: decimal sums are exact, so every replicate
+    mean is the same under any partitioning or merge order (a double sum is not, and a mean
+    that sits on a rounding half-point would flip between runs). The values enter at 12
+    decimal places. It approximates, and does not reproduce, a NumPy draw.
     """
-    rows = df.filter(F.col(value).isNotNull()).select(row_hash32(keys, seed).alias("_h"), F.col(value).alias("_x"))
+    rows = df.filter(F.col(value).isNotNull()).select(
+        row_hash32(keys, seed).alias("_h"), F.col(value).cast(_EXACT).alias("_x")
+    )
+    # The input can be far smaller than the work it spawns (rows x resamples); spread it
+    # over the cluster's cores first so the replicate expansion is not stuck in a few tasks.
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < parallelism:
+        rows = rows.repartition(parallelism)
     reps = rows.select("_h", "_x", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))).alias("rep"))
     w = poisson1_weight(replicate_uniform(F.col("_h"), F.col("rep")))
-    weighted = reps.select("rep", w.alias("_w"), "_x")
-    agg = weighted.groupBy("rep").agg(F.sum(F.col("_w") * F.col("_x")).alias("_swx"), F.sum("_w").alias("_sw"))
-    return agg.select(F.col("rep").cast("bigint").alias("rep"), F.try_divide(F.col("_swx"), F.col("_sw")).alias("mean"))
+    weighted = reps.select("rep", w.alias("_w"), (w.cast("decimal(2,0)") * F.col("_x")).alias("_wx"))
+    agg = weighted.groupBy("rep").agg(F.sum("_wx").alias("_swx"), F.sum("_w").alias("_sw"))
+    mean = F.try_divide(F.col("_swx").cast("double"), F.col("_sw").cast("double"))
+    return agg.select(F.col("rep").cast("bigint").alias("rep"), mean.alias("mean"))
 
 
 def bootstrap_ci(reps: DataFrame, value: str = "mean", probs: Sequence[float] = CI_PERCENTILES) -> DataFrame:

@@ -247,14 +247,15 @@ def _boot_means() -> str:
     return f"""{BASE},
 {FP},
 {ER},
-rw AS (SELECT {unit_hash(['unit', 'cycle'], 8)} AS h, d AS x FROM er WHERE d IS NOT NULL),
+rw AS (SELECT {unit_hash(['unit', 'cycle'], 8)} AS h, CAST(d AS DECIMAL(30, 12)) AS x FROM er WHERE d IS NOT NULL),
 rp AS (SELECT h, x, CAST(r AS BIGINT) AS rep FROM rw, range(0, {BOOTSTRAP_RESAMPLES}) t(r)),
 m0 AS (SELECT rep, x, xor(h, (rep * {REP_MULT}) & {MASK32}) AS z FROM rp),
 m1 AS (SELECT rep, x, (xor(z, z >> 16) * {MIX_MULT}) & {MASK32} AS z FROM m0),
 m2 AS (SELECT rep, x, (xor(z, z >> 16) * {MIX_MULT}) & {MASK32} AS z FROM m1),
 m3 AS (SELECT rep, x, CAST(xor(z, z >> 16) AS DOUBLE) / CAST(4294967296 AS DOUBLE) AS u FROM m2),
 wt AS (SELECT rep, x, {steps} AS w FROM m3),
-bm AS (SELECT rep, sum(w * x) / CASE WHEN sum(w) <> 0 THEN sum(w) END AS mean FROM wt GROUP BY rep)"""
+bm AS (SELECT rep, CAST(sum(CAST(w AS DECIMAL(2, 0)) * x) AS DOUBLE) / CASE WHEN sum(w) <> 0 THEN CAST(sum(w) AS DOUBLE) END AS mean
+       FROM wt GROUP BY rep)"""
 
 
 def _w6_long(pad: bool) -> str:

@@ -13,18 +13,6 @@ from wearline.functions.columns import as_list
 KEY_COLUMNS = ["unit", "cycle"]
 
 
-def _number(token: Column) -> Column:
-    """Token to double; NaN becomes NULL here, once, at the source."""
-    x = token.try_cast("double")
-    return F.nanvl(x, F.lit(None).cast("double"))
-
-
-def _integer(token: Column) -> Column:
-    """Token to bigint when it holds a whole number (``"7"`` or ``"7.0"``), else NULL."""
-    x = token.try_cast("double")
-    return F.when(x == F.floor(x), x.try_cast("bigint"))
-
-
 def parse_lines(lines: DataFrame, value: str = "value", keep: Iterable[str] = ()) -> DataFrame:
     """Parse every non-blank line; a NULL ``error`` marks a good row.
 
@@ -34,25 +22,38 @@ def parse_lines(lines: DataFrame, value: str = "value", keep: Iterable[str] = ()
     ``bad_key`` (unit or cycle missing or not whole).
     """
     keep = as_list(keep)
-    clean = F.regexp_replace(F.col(value), r"^\s+|\s+$", "")
-    staged = lines.select(*keep, clean.alias("_line")).filter(F.col("_line") != "")
-    staged = staged.select(*keep, "_line", F.split(F.col("_line"), r"\s+").alias("_tok"))
+    n = len(TELEMETRY_COLUMNS)
+    # Tokens are the runs of non-whitespace, so leading/trailing spaces and tabs need no trim.
+    tokens = F.regexp_extract_all(F.col(value), F.lit(r"(\S+)"), 1)
+    # One tokenisation per line behind a generator: a later filter on the parsed fields is
+    # pushed down only to here, instead of re-running the regex for every field it reads.
+    staged = lines.select(*keep, F.col(value).alias("_line"), F.explode(F.array(tokens)).alias("_tok"))
+    staged = staged.filter(F.size("_tok") > 0)
+    # Each token is cast once, in its own projection; the fields and the error flags below
+    # read those columns, which keeps the generated code small enough to stay compiled.
+    staged = staged.select(
+        *keep, "_line", F.size("_tok").alias("_n"),
+        *[F.get(F.col("_tok"), i).isNotNull().alias(f"_p{i}") for i in range(n)],
+        *[F.get(F.col("_tok"), i).try_cast("double").alias(f"_d{i}") for i in range(n)],
+    )
     fields: list[Column] = []
-    bad: list[Column] = []
-    for i, name in enumerate(TELEMETRY_COLUMNS):
-        tok = F.get(F.col("_tok"), i)
-        parsed = _integer(tok) if name in KEY_COLUMNS else _number(tok)
-        fields.append(parsed.alias(name))
-        if name not in KEY_COLUMNS:
-            # "nan" is a number; anything else that fails to cast is not
-            bad.append(tok.isNotNull() & tok.try_cast("double").isNull())
     any_bad = F.lit(False)
-    for b in bad:
-        any_bad = any_bad | b
+    for i, name in enumerate(TELEMETRY_COLUMNS):
+        d = F.col(f"_d{i}")
+        if name in KEY_COLUMNS:
+            fields.append(F.when(d == F.floor(d), d.try_cast("bigint")).alias(name))
+        else:
+            fields.append(F.nanvl(d, F.lit(None).cast("double")).alias(name))
+            # "nan" is a number; any other token that fails to cast is not
+            any_bad = any_bad | (F.col(f"_p{i}") & d.isNull())
+    key_bad = F.lit(False)
+    for i in (0, 1):
+        d = F.col(f"_d{i}")
+        key_bad = key_bad | d.isNull() | (d != F.floor(d))
     error = (
-        F.when(F.size("_tok") != len(TELEMETRY_COLUMNS), F.lit("field_count"))
+        F.when(F.col("_n") != n, F.lit("field_count"))
         .when(any_bad, F.lit("bad_number"))
-        .when(_integer(F.get(F.col("_tok"), 0)).isNull() | _integer(F.get(F.col("_tok"), 1)).isNull(), F.lit("bad_key"))
+        .when(key_bad, F.lit("bad_key"))
     )
     return staged.select(*keep, *fields, error.alias("error"), F.col("_line").alias("line"))
 
