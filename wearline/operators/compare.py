@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wearline.constants import BOOTSTRAP_RESAMPLES, CI_PERCENTILES, SEED
@@ -15,7 +15,8 @@ from wearline.functions.columns import as_list
 from wearline.functions.stats import normal_pvalue, poisson1_weight, replicate_uniform, row_hash32, t_pvalue
 from wearline.operators.ranks import ordered_prefix
 
-_EXACT = "decimal(30,12)"
+FIXED_BITS = 40
+LIMB_BITS = 20
 
 
 def one_row(first: DataFrame, *others: DataFrame) -> DataFrame:
@@ -69,6 +70,17 @@ def wilcoxon(df: DataFrame, d: str = "d", buckets: int | None = None) -> DataFra
     return one.select(n.cast("bigint").alias("n"), "w_plus", "w_minus", w.alias("w"), "tie_term", z.alias("z"))
 
 
+def fixed_point_limbs(x: Column) -> tuple[Column, Column]:
+    """``floor(x * 2**40)`` split into a high and a low ``bigint`` limb.
+
+    Scaling by a power of two is exact in floating point, so both engines get the same
+    integers; sums of the limbs are exact and independent of summation order. Values must
+    satisfy ``|x| < 2**23``; larger ones fail loudly (ANSI cast overflow) instead of wrapping.
+    """
+    fixed = F.floor(x * F.lit(float(2**FIXED_BITS))).cast("bigint")
+    return F.shiftright(fixed, LIMB_BITS), fixed.bitwiseAND(F.lit((1 << LIMB_BITS) - 1))
+
+
 def bootstrap_means(
     df: DataFrame,
     value: str = "d",
@@ -83,24 +95,25 @@ def bootstrap_means(
     replicates are generated next to the data and pre-aggregated per partition before the
     shuffle, so a shuffle carries at most ``resamples`` rows per partition.
 
-    ``w * x`` is summed as ``DECIMAL(30, 12)``: decimal sums are exact, so every replicate
-    mean is the same under any partitioning or merge order (a double sum is not, and a mean
-    that sits on a rounding half-point would flip between runs). The values enter at 12
-    decimal places. It approximates, and does not reproduce, a NumPy draw.
+    ``x`` enters as fixed point with 40 fractional bits (two ``bigint`` limbs, see
+    :func:`fixed_point_limbs`) and ``w * x`` is summed in integers: the sums are exact, so
+    every replicate mean is identical under any partitioning or merge order (a double sum is
+    not, and a mean on a rounding half-point would flip between runs). Integer sums stay in
+    Spark's fast hash aggregate. Exact while ``n * |x|`` stays below about 5e11.
+    It approximates, and does not reproduce, a NumPy draw.
     """
-    rows = df.filter(F.col(value).isNotNull()).select(
-        row_hash32(keys, seed).alias("_h"), F.col(value).cast(_EXACT).alias("_x")
-    )
-    # The input can be far smaller than the work it spawns (rows x resamples); spread it
-    # over the cluster's cores first so the replicate expansion is not stuck in a few tasks.
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() < parallelism:
-        rows = rows.repartition(parallelism)
-    reps = rows.select("_h", "_x", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))).alias("rep"))
-    w = poisson1_weight(replicate_uniform(F.col("_h"), F.col("rep")))
-    weighted = reps.select("rep", w.alias("_w"), (w.cast("decimal(2,0)") * F.col("_x")).alias("_wx"))
-    agg = weighted.groupBy("rep").agg(F.sum("_wx").alias("_swx"), F.sum("_w").alias("_sw"))
-    mean = F.try_divide(F.col("_swx").cast("double"), F.col("_sw").cast("double"))
+    hi, lo = fixed_point_limbs(F.col(value))
+    rows = df.filter(F.col(value).isNotNull()).select(row_hash32(keys, seed).alias("_h"), hi.alias("_hi"), lo.alias("_lo"))
+    # The input is far smaller than the work it spawns (rows x resamples): spread its few
+    # bytes per row over every core first (an explicit count, so AQE keeps it), so the
+    # replicate expansion never sits in the handful of tasks a small input arrives in.
+    rows = rows.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    reps = rows.select("_h", "_hi", "_lo", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))).alias("rep"))
+    w = poisson1_weight(replicate_uniform(F.col("_h"), F.col("rep"))).cast("bigint")
+    weighted = reps.select("rep", w.alias("_w"), (w * F.col("_hi")).alias("_whi"), (w * F.col("_lo")).alias("_wlo"))
+    agg = weighted.groupBy("rep").agg(F.sum("_whi").alias("_shi"), F.sum("_wlo").alias("_slo"), F.sum("_w").alias("_sw"))
+    total = F.col("_shi").cast("decimal(38,0)") * F.lit(1 << LIMB_BITS) + F.col("_slo").cast("decimal(38,0)")
+    mean = F.try_divide(total.cast("double") / F.lit(float(2**FIXED_BITS)), F.col("_sw").cast("double"))
     return agg.select(F.col("rep").cast("bigint").alias("rep"), mean.alias("mean"))
 
 

@@ -49,15 +49,16 @@ def chunk_frames(
     if before <= 0:
         return own, [*keys, CHUNK]
 
+    # The last `before` rows of every chunk (every chunk has at least one, so the tails also
+    # list every chunk: the chunk index comes from them, not from another pass over the data).
+    newest = F.row_number().over(Window.partitionBy(*keys, CHUNK).orderBy(F.col(order).desc()))
+    tail = base.withColumn("_rd", newest).filter(F.col("_rd") <= before).drop("_rd")
+
     # One row per (unit, chunk): a dense chunk index within the unit.
-    chunks = base.select(*keys, CHUNK).distinct()
+    chunks = tail.select(*keys, CHUNK).distinct()
     chunks = chunks.withColumn(
         "_cidx", F.row_number().over(Window.partitionBy(*keys).orderBy(CHUNK)).cast("bigint")
     )
-
-    # The last `before` rows of every chunk.
-    newest = F.row_number().over(Window.partitionBy(*keys, CHUNK).orderBy(F.col(order).desc()))
-    tail = base.withColumn("_rd", newest).filter(F.col("_rd") <= before).drop("_rd")
     tail = tail.join(chunks, [*keys, CHUNK])
 
     # Offer each tail row to the next `before` chunks; each chunk keeps the newest `before`.

@@ -34,19 +34,22 @@ def ordered_prefix(
     sums: Mapping[str, Column],
     buckets: int | None = None,
     rel_err: float = 1e-3,
+    bounds: Sequence[float] | None = None,
 ) -> DataFrame:
     """For each ``name -> expr`` add ``name_before`` (sum of ``expr`` over rows strictly
     before this one in ``order``) and ``name_total`` (sum over all rows).
 
-    ``order`` must identify rows uniquely; its first column must be numeric.
+    ``order`` must identify rows uniquely; its first column must be numeric. ``bounds``
+    gives known split points (e.g. for a uniform hash) and skips the ``approxQuantile`` pass.
     """
     order = list(order)
     nb = _bucket_count(df, buckets)
     keyed = df.withColumn("_bk", F.col(order[0]).cast("double"))
     for name, expr in sums.items():
         keyed = keyed.withColumn(f"_w_{name}", expr)
-    probs = [i / nb for i in range(1, nb)]
-    bounds = keyed.approxQuantile("_bk", probs, rel_err) if probs else []
+    if bounds is None:
+        probs = [i / nb for i in range(1, nb)]
+        bounds = keyed.approxQuantile("_bk", probs, rel_err) if probs else []
     splits = [float("-inf"), *sorted({b for b in bounds if b == b and abs(b) != float("inf")}), float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol="_bk", outputCol=BUCKET, handleInvalid="keep").transform(keyed)
 
@@ -68,9 +71,16 @@ def ordered_prefix(
     return out
 
 
-def global_row_number(df: DataFrame, order: Sequence[str], out: str = "rn", buckets: int | None = None) -> DataFrame:
+def uniform_bounds(lo: float, hi: float, buckets: int) -> list[float]:
+    """Equal-width split points for a key known to be uniform on ``[lo, hi)``."""
+    return [lo + (hi - lo) * i / buckets for i in range(1, buckets)]
+
+
+def global_row_number(
+    df: DataFrame, order: Sequence[str], out: str = "rn", buckets: int | None = None, bounds: Sequence[float] | None = None
+) -> DataFrame:
     """``row_number() over (order by ...)`` computed bucket-wise; also adds ``<out>_total`` = row count."""
-    p = ordered_prefix(df, order, {"_n": F.lit(1)}, buckets)
+    p = ordered_prefix(df, order, {"_n": F.lit(1)}, buckets, bounds=bounds)
     return p.select(
         *df.columns,
         (F.col("_n_before") + 1).cast("bigint").alias(out),

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from wearline.constants import SEED, VALIDATION_SHARE
 from wearline.functions.columns import as_list
-from wearline.operators.ranks import global_row_number
+from wearline.operators.ranks import global_row_number, uniform_bounds
 
 TRAIN = "train"
 VALIDATION = "validation"
@@ -45,7 +45,9 @@ def unit_assignment(
         return units.select(*keys, F.when(val, F.lit(VALIDATION)).otherwise(F.lit(TRAIN)).alias(out))
     if mode != "exact":
         raise ValueError(f"unknown split mode {mode!r}")
-    ranked = global_row_number(units, ["_h", *keys], out="_rank")
+    # md5 bits are uniform, so equal-width buckets over [0, 2**60) are balanced: no sampling pass
+    nb = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
+    ranked = global_row_number(units, ["_h", *keys], out="_rank", bounds=uniform_bounds(0.0, float(2**60), nb))
     k = F.ceil(F.lit(float(share)) * F.col("_rank_total"))
     return ranked.select(*keys, F.when(F.col("_rank") <= k, F.lit(VALIDATION)).otherwise(F.lit(TRAIN)).alias(out))
 

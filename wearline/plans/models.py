@@ -74,8 +74,7 @@ def fit_classifier(
     seed: int = SEED,
 ) -> PipelineModel:
     """M2: boosted classification trees with class probabilities."""
-    est = GBTClassifier(labelCol=label, predictionCol="pred_default", probabilityCol="probability",
-                        rawPredictionCol="raw", **_tree_kwargs(df, rounds, depth, step, seed))
+    est = GBTClassifier(labelCol=label, predictionCol="pred_default", **_tree_kwargs(df, rounds, depth, step, seed))
     return _fit(df, feats, est)
 
 

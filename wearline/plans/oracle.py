@@ -102,7 +102,7 @@ def _text_line() -> str:
     have = {"unit", "cycle", "sensor_1", "sensor_2", "sensor_3"}
     parts = []
     for i, name in enumerate(TELEMETRY_COLUMNS):
-        parts.append(f"CAST({name} AS VARCHAR)" if name in have else "'nan'")
+        parts.append(f"CAST({name} AS VARCHAR)" if name in have else "'NaN'")
         if i < len(TELEMETRY_COLUMNS) - 1:
             sep = SEPARATORS[i % 3].replace("\t", "' || chr(9) || '")
             parts.append(f"'{sep}'")
@@ -247,14 +247,16 @@ def _boot_means() -> str:
     return f"""{BASE},
 {FP},
 {ER},
-rw AS (SELECT {unit_hash(['unit', 'cycle'], 8)} AS h, CAST(d AS DECIMAL(30, 12)) AS x FROM er WHERE d IS NOT NULL),
-rp AS (SELECT h, x, CAST(r AS BIGINT) AS rep FROM rw, range(0, {BOOTSTRAP_RESAMPLES}) t(r)),
-m0 AS (SELECT rep, x, xor(h, (rep * {REP_MULT}) & {MASK32}) AS z FROM rp),
-m1 AS (SELECT rep, x, (xor(z, z >> 16) * {MIX_MULT}) & {MASK32} AS z FROM m0),
-m2 AS (SELECT rep, x, (xor(z, z >> 16) * {MIX_MULT}) & {MASK32} AS z FROM m1),
-m3 AS (SELECT rep, x, CAST(xor(z, z >> 16) AS DOUBLE) / CAST(4294967296 AS DOUBLE) AS u FROM m2),
-wt AS (SELECT rep, x, {steps} AS w FROM m3),
-bm AS (SELECT rep, CAST(sum(CAST(w AS DECIMAL(2, 0)) * x) AS DOUBLE) / CASE WHEN sum(w) <> 0 THEN CAST(sum(w) AS DOUBLE) END AS mean
+fx AS (SELECT unit, cycle, CAST(floor(d * CAST(1099511627776 AS DOUBLE)) AS BIGINT) AS f FROM er WHERE d IS NOT NULL),
+rw AS (SELECT {unit_hash(['unit', 'cycle'], 8)} AS h, f >> 20 AS hi, f & 1048575 AS lo FROM fx),
+rp AS (SELECT h, hi, lo, CAST(r AS BIGINT) AS rep FROM rw, range(0, {BOOTSTRAP_RESAMPLES}) t(r)),
+m0 AS (SELECT rep, hi, lo, xor(h, (rep * {REP_MULT}) & {MASK32}) AS z FROM rp),
+m1 AS (SELECT rep, hi, lo, (xor(z, z >> 16) * {MIX_MULT}) & {MASK32} AS z FROM m0),
+m2 AS (SELECT rep, hi, lo, (xor(z, z >> 16) * {MIX_MULT}) & {MASK32} AS z FROM m1),
+m3 AS (SELECT rep, hi, lo, CAST(xor(z, z >> 16) AS DOUBLE) / CAST(4294967296 AS DOUBLE) AS u FROM m2),
+wt AS (SELECT rep, hi, lo, {steps} AS w FROM m3),
+bm AS (SELECT rep, CAST(CAST(sum(w * hi) AS HUGEINT) * 1048576 + sum(w * lo) AS DOUBLE) / CAST(1099511627776 AS DOUBLE)
+              / CASE WHEN sum(w) <> 0 THEN CAST(sum(w) AS DOUBLE) END AS mean
        FROM wt GROUP BY rep)"""
 
 

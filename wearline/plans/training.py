@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +23,12 @@ class Prepared:
     validation: DataFrame
     params: DataFrame
     features: list[str]
+    tagged: DataFrame | None = None
+
+    def release(self) -> None:
+        """Drop the cached feature table once the models are fitted."""
+        if self.tagged is not None:
+            self.tagged.unpersist()
 
 
 def prepare(
@@ -43,7 +50,9 @@ def prepare(
     keys = as_list(keys)
     feats = feature_columns(sensors)
     rolled = rolling_features(label_rul(df, keys), sensors, n, keys)
-    tagged = assign_split(rolled, share, seed, keys)
+    # Read by the scaler fit now and by both splits later: cached once (spills to disk; a lost
+    # block is recomputed from lineage).
+    tagged = assign_split(rolled, share, seed, keys).persist(StorageLevel.MEMORY_AND_DISK)
     train = tagged.filter(F.col("split") == TRAIN).drop("split")
     val = tagged.filter(F.col("split") == VALIDATION).drop("split")
     fit_on = train.fillna(0.0, subset=feats) if impute == "before" else train
@@ -54,4 +63,5 @@ def prepare(
         validation=scale_features(val, lits, feats, impute),
         params=params,
         features=feats,
+        tagged=tagged,
     )

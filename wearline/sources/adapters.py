@@ -71,7 +71,7 @@ _SEPARATORS = [" ", "  ", " \t "]
 
 
 def tele_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``tele_events`` as 26-field text lines with irregular spacing; absent fields are ``nan``.
+    """``tele_events`` as 26-field text lines with irregular spacing; absent fields are ``NaN``.
 
     Even cycles get a leading space and odd cycles a trailing tab, so the parser sees both.
     """
@@ -81,7 +81,7 @@ def tele_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         if name in te.columns:
             fields.append(F.col(name).cast("string"))
         else:
-            fields.append(F.lit("nan"))
+            fields.append(F.lit("NaN"))
         if i < len(TELEMETRY_COLUMNS) - 1:
             fields.append(F.lit(_SEPARATORS[i % 3]))
     lead = F.when(F.col("cycle") % 2 == 0, F.lit(" ")).otherwise(F.lit(""))
