@@ -51,7 +51,10 @@ def ordered_prefix(
         probs = [i / nb for i in range(1, nb)]
         bounds = keyed.approxQuantile("_bk", probs, rel_err) if probs else []
     splits = [float("-inf"), *sorted({b for b in bounds if b == b and abs(b) != float("inf")}), float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="_bk", outputCol=BUCKET, handleInvalid="keep").transform(keyed)
+    if len(splits) > 2:
+        bucketed = Bucketizer(splits=splits, inputCol="_bk", outputCol=BUCKET, handleInvalid="keep").transform(keyed)
+    else:
+        bucketed = keyed.withColumn(BUCKET, F.lit(0.0))
 
     totals = bucketed.groupBy(BUCKET).agg(*[F.sum(f"_w_{n}").alias(f"_t_{n}") for n in sums])
     earlier = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)

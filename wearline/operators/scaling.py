@@ -1,6 +1,6 @@
 """Standard scaling with fitted parameters.
 
-The fit is one pass of ``avg`` and ``stddev_pop`` per feature (NULLs skipped, population
+The fit is one pass of ``avg`` and ``stddev_pop`` per feature (NULL and NaN skipped, population
 std), unpivoted to a ``feature, mean, scale`` table. A scale at or below
 ``FLAT_TOLERANCE * greatest(|mean|, 1)`` counts as zero variance and becomes 1: merged
 partial aggregates of a constant column can give about 1e-15 instead of 0.
@@ -22,7 +22,8 @@ def fit_scaler(df: DataFrame, cols: Sequence[str], tol: float = FLAT_TOLERANCE)
     cols = as_list(cols)
     aggs = []
     for c in cols:
-        aggs += [F.avg(c).alias(f"m__{c}"), F.stddev_pop(c).alias(f"s__{c}")]
+        x = F.nanvl(F.col(c), F.lit(None).cast("double"))  # NaN is missing too, as NULL is
+        aggs += [F.avg(x).alias(f"m__{c}"), F.stddev_pop(x).alias(f"s__{c}")]
     one = df.agg(*aggs)
     stacked = F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.lit(i).alias("pos"), F.col(f"m__{c}").alias("mean"), F.col(f"s__{c}").alias("std"))
