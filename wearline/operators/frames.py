@@ -49,17 +49,24 @@ def chunk_frames(
     if before <= 0:
         return own, [*keys, CHUNK]
 
-    # The last `before` rows of every chunk (every chunk has at least one, so the tails also
-    # list every chunk: the chunk index comes from them, not from another pass over the data).
-    newest = F.row_number().over(Window.partitionBy(*keys, CHUNK).orderBy(F.col(order).desc()))
-    tail = base.withColumn("_rd", newest).filter(F.col("_rd") <= before).drop("_rd")
-
-    # One row per (unit, chunk): a dense chunk index within the unit.
-    chunks = tail.select(*keys, CHUNK).distinct()
-    chunks = chunks.withColumn(
-        "_cidx", F.row_number().over(Window.partitionBy(*keys).orderBy(CHUNK)).cast("bigint")
+    # One row per (unit, chunk): a dense chunk index within the unit and the unit's chunk
+    # count. A hash aggregate with map-side combine; this pass needs no sort of the data.
+    chunks = base.select(*keys, CHUNK).distinct()
+    chunks = chunks.select(
+        *keys, CHUNK,
+        F.row_number().over(Window.partitionBy(*keys).orderBy(CHUNK)).cast("bigint").alias("_cidx"),
+        F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("_nchunks"),
     )
-    tail = tail.join(chunks, [*keys, CHUNK])
+
+    # Only chunks followed by another chunk give halo rows: the data is first joined with
+    # that short list (units longer than one chunk), so when every unit fits in one chunk
+    # nothing is sorted here, and otherwise only the long units' rows are.
+    followed = chunks.filter(F.col("_cidx") < F.col("_nchunks")).drop("_nchunks")
+    candidates = base.join(followed, [*keys, CHUNK], "inner")
+
+    # The last `before` rows of every such chunk.
+    newest = F.row_number().over(Window.partitionBy(*keys, CHUNK).orderBy(F.col(order).desc()))
+    tail = candidates.withColumn("_rd", newest).filter(F.col("_rd") <= before).drop("_rd")
 
     # Offer each tail row to the next `before` chunks; each chunk keeps the newest `before`.
     tail = tail.withColumn(
@@ -67,7 +74,7 @@ def chunk_frames(
     ).drop(CHUNK)
     newest_offered = F.row_number().over(Window.partitionBy(*keys, "_cidx").orderBy(F.col(order).desc()))
     tail = tail.withColumn("_rd", newest_offered).filter(F.col("_rd") <= before).drop("_rd")
-    halo = tail.join(chunks, [*keys, "_cidx"]).drop("_cidx").withColumn(OWN, F.lit(False))
+    halo = tail.join(chunks.drop("_nchunks"), [*keys, "_cidx"]).drop("_cidx").withColumn(OWN, F.lit(False))
 
     return own.unionByName(halo), [*keys, CHUNK]
 

@@ -157,12 +157,9 @@ def j4_without_units(spark, d):
 
 
 def m3_scale_features(spark, d):
-    rolled = rolling.rolling_features(_labelled(spark, d), EV)
-    tagged = splits.assign_split(rolled)
-    train = tagged.filter(F.col("split") == splits.TRAIN)
-    val = tagged.filter(F.col("split") == splits.VALIDATION)
-    params = fit_scaler(train.fillna(0.0, subset=EV_FEATS), EV_FEATS)
-    return round_doubles(scale_features(val, params, EV_FEATS, "before").select("unit", "cycle", *EV_FEATS))
+    """Validation rows scaled with parameters fitted on the training units (via plans.training)."""
+    p = _prepared(spark, d)
+    return round_doubles(p.validation.select("unit", "cycle", *EV_FEATS))
 
 
 # ---- aggregations ---------------------------------------------------------------------------

@@ -1,7 +1,7 @@
 """Boosted-tree models with Spark ML.
 
 Training is distributed by Spark ML itself (per-round histogram aggregation on executors).
-The training frame is persisted (memory, spilling to disk) because boosting rescans it,
+Boosting persists its instances itself (memory, spilling to disk) because it rescans them,
 and node-id caches are checkpointed to the cluster's shared ``spark.checkpoint.dir`` when one
 is set, which cuts lineage and lets a lost executor's work be recovered from storage.
 """
@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -32,12 +31,9 @@ def _tree_kwargs(df: DataFrame, rounds: int, depth: int, step: float, seed: int)
 
 
 def _fit(df: DataFrame, feats: Sequence[str], estimator) -> PipelineModel:
+    # Boosting persists its own instance RDD (memory, then disk) for the rounds it runs.
     assembler = VectorAssembler(inputCols=list(feats), outputCol=VECTOR, handleInvalid="error")
-    train = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return Pipeline(stages=[assembler, estimator]).fit(train)
-    finally:
-        train.unpersist()
+    return Pipeline(stages=[assembler, estimator]).fit(df)
 
 
 def fit_regressor(

@@ -15,6 +15,7 @@ from wearline.operators.labels import label_rul
 from wearline.operators.rolling import rolling_features
 from wearline.operators.scaling import fit_scaler, scale_features, scaler_literals
 from wearline.operators.splits import TRAIN, VALIDATION, assign_split
+from wearline.session import checkpoint_dir
 
 
 @dataclass
@@ -26,7 +27,8 @@ class Prepared:
     tagged: DataFrame | None = None
 
     def release(self) -> None:
-        """Drop the cached feature table once the models are fitted."""
+        """Drop the persisted feature table once the models are fitted (checkpoint files are
+        cleaned by the cluster's checkpoint policy)."""
         if self.tagged is not None:
             self.tagged.unpersist()
 
@@ -50,9 +52,14 @@ def prepare(
     keys = as_list(keys)
     feats = feature_columns(sensors)
     rolled = rolling_features(label_rul(df, keys), sensors, n, keys)
-    # Read by the scaler fit now and by both splits later: cached once (spills to disk; a lost
-    # block is recomputed from lineage).
-    tagged = assign_split(rolled, share, seed, keys).persist(StorageLevel.MEMORY_AND_DISK)
+    # Read by the scaler fit now and by both splits (boosting, scoring) later: written once.
+    # With a shared checkpoint folder this is a reliable checkpoint (lineage cut, survives a
+    # lost executor); without one the table is persisted and lost blocks are recomputed.
+    tagged = assign_split(rolled, share, seed, keys)
+    if checkpoint_dir(df.sparkSession):
+        tagged = tagged.checkpoint(eager=True)
+    else:
+        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
     train = tagged.filter(F.col("split") == TRAIN).drop("split")
     val = tagged.filter(F.col("split") == VALIDATION).drop("split")
     fit_on = train.fillna(0.0, subset=feats) if impute == "before" else train
