@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,7 +50,13 @@ def ordered_prefix(
         keyed = keyed.withColumn(f"_w_{name}", expr)
     if bounds is None:
         probs = [i / nb for i in range(1, nb)]
-        bounds = keyed.approxQuantile("_bk", probs, rel_err) if probs else []
+        if probs:
+            # The sample and the result read the same rows: keep them rather than computing
+            # the upstream twice (spills to disk; lost blocks are recomputed from lineage).
+            keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
+            bounds = keyed.approxQuantile("_bk", probs, rel_err)
+        else:
+            bounds = []
     splits = [float("-inf"), *sorted({b for b in bounds if b == b and abs(b) != float("inf")}), float("inf")]
     if len(splits) > 2:
         bucketed = Bucketizer(splits=splits, inputCol="_bk", outputCol=BUCKET, handleInvalid="keep").transform(keyed)
