@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearline.constants import FAILURE_HORIZON, RECALL_CUTOFF, SEQUENCE_LENGTH
-from wearline.functions.columns import feature_columns, round_doubles
+from wearline.functions.columns import feature_columns, round_doubles, sensor_columns
 from wearline.operators import compare, labels, metrics, profile, projections, rolling, sequences, splits
 from wearline.operators.scaling import fit_scaler, scale_features
 from wearline.sources import adapters, requests, text
@@ -96,6 +96,19 @@ def p17_validate_requests(spark, d):
 
 # ---- projections and filters -------------------------------------------------------------
 
+def p2_tag_dataset(spark, d):
+    return text.tag_dataset(_te(spark, d), "FD001")
+
+
+def p6_sensor_columns(spark, d):
+    te = _te(spark, d)
+    return te.select("unit", "cycle", *sensor_columns(te))
+
+
+def p7_feature_projection(spark, d):
+    return round_doubles(projections.select_features(_rolled(spark, d), EV))
+
+
 def p3_fleet_key(spark, d):
     return text.fleet_key(adapters.tele_fleet(spark, d)).select("dataset", "unit", "cycle", "fleet_unit")
 
@@ -407,6 +420,9 @@ QUERIES: dict[str, Query] = {
     "s8_explode_requests": s8_explode_requests,
     "s9_build_requests": s9_build_requests,
     "p17_validate_requests": p17_validate_requests,
+    "p2_tag_dataset": p2_tag_dataset,
+    "p6_sensor_columns": p6_sensor_columns,
+    "p7_feature_projection": p7_feature_projection,
     "p3_fleet_key": p3_fleet_key,
     "p8_drop_flat": p8_drop_flat,
     "p9_unit_filter": p9_unit_filter,

@@ -328,6 +328,11 @@ def oracle_sql() -> dict[str, str]:
     q["p17_validate_requests"] = _p17()
     q["p3_fleet_key"] = f"""WITH {TF}
 SELECT dataset, unit, cycle, concat_ws('_', dataset, CAST(CAST(unit AS INTEGER) AS VARCHAR)) AS fleet_unit FROM tf"""
+    q["p2_tag_dataset"] = f"WITH {TE}\nSELECT unit, cycle, sensor_1, sensor_2, sensor_3, 'FD001' AS dataset FROM te"
+    q["p6_sensor_columns"] = f"WITH {TE}\nSELECT unit, cycle, sensor_1, sensor_2, sensor_3 FROM te"
+    feats = ", ".join(_feats(EV))
+    q["p7_feature_projection"] = (f"WITH {TE},\nfr AS (SELECT unit, cycle, sensor_2, sensor_3, {rolled_cols(EV, 'w', rnd=False)} FROM te WINDOW w AS {W5})\n"
+                                  f"SELECT unit, cycle, " + ", ".join(f"{R(f)} AS {f}" for f in _feats(EV)) + " FROM fr")
     q["p8_drop_flat"] = f"WITH {TE}\nSELECT unit, cycle, sensor_2, sensor_3 FROM te"
     q["p9_unit_filter"] = f"WITH {TE}\nSELECT * FROM te WHERE unit IN (1, 2, 3)"
     q["p11_fail_label"] = f"WITH {TE},\n{LAB}\nSELECT unit, cycle, rul, CAST(rul <= 30 AS INTEGER) AS fail_within_30 FROM lab"
