@@ -9,7 +9,7 @@ from wearline.sources import tables
 
 MODEL_QUERIES = {
     "m1_regressor_predictions", "m2_classifier_probabilities", "a21_importance", "o2_top_importance",
-    "m4_score_fleet", "m5_score_requests", "m6_challenger_predictions",
+    "m4_score_fleet", "m5_score_requests", "m6_challenger_predictions", "a20_model_comparison",
 }
 
 

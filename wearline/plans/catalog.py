@@ -400,6 +400,13 @@ def m5_score_requests(spark, d):
     return score_requests(adapters.request_records(spark, d), model, p.params, EV)
 
 
+def a20_model_comparison(spark, d):
+    """Trees on rolling features vs the window-summary challenger, aligned and compared."""
+    from wearline.plans.comparison import model_comparison
+
+    return round_doubles(model_comparison(adapters.tele_parts(spark, d), PARTS, SEQUENCE_LENGTH, rounds=QUICK_ROUNDS))
+
+
 def m6_challenger_predictions(spark, d):
     """Challenger on 30-cycle window summaries, early-stopped on held-out training units (M6 + M7)."""
     from wearline.plans.models import fit_regressor, predict_keyed
@@ -477,5 +484,6 @@ QUERIES: dict[str, Query] = {
     "o2_top_importance": o2_top_importance,
     "m4_score_fleet": m4_score_fleet,
     "m5_score_requests": m5_score_requests,
+    "a20_model_comparison": a20_model_comparison,
     "m6_challenger_predictions": m6_challenger_predictions,
 }

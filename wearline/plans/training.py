@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +14,7 @@ from wearline.operators.labels import label_rul
 from wearline.operators.rolling import rolling_features
 from wearline.operators.scaling import fit_scaler, scale_features, scaler_literals
 from wearline.operators.splits import TRAIN, VALIDATION, assign_split
-from wearline.session import checkpoint_dir
+from wearline.session import materialize
 
 
 @dataclass
@@ -55,11 +54,7 @@ def prepare(
     # Read by the scaler fit now and by both splits (boosting, scoring) later: written once.
     # With a shared checkpoint folder this is a reliable checkpoint (lineage cut, survives a
     # lost executor); without one the table is persisted and lost blocks are recomputed.
-    tagged = assign_split(rolled, share, seed, keys)
-    if checkpoint_dir(df.sparkSession):
-        tagged = tagged.checkpoint(eager=True)
-    else:
-        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+    tagged = materialize(assign_split(rolled, share, seed, keys))
     train = tagged.filter(F.col("split") == TRAIN).drop("split")
     val = tagged.filter(F.col("split") == VALIDATION).drop("split")
     fit_on = train.fillna(0.0, subset=feats) if impute == "before" else train

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
@@ -22,3 +23,16 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
     return None
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a frame that several later jobs read, once.
+
+    With a shared checkpoint folder this is a reliable ``checkpoint()``: lineage is cut and a
+    lost executor's share is read back from storage rather than recomputed. Without one the
+    frame is persisted (memory, then disk) and lost blocks are recomputed from lineage.
+    ``localCheckpoint`` is never used.
+    """
+    if checkpoint_dir(df.sparkSession):
+        return df.checkpoint(eager=True)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
