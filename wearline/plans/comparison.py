@@ -37,7 +37,8 @@ def challenger_predictions(
     summaries = sequences.window_summaries(labels.label_rul(df), sensors, n)
     feats = sequences.summary_columns(sensors)
     summaries = summaries.fillna(0.0, subset=feats)
-    tagged = splits.assign_split(summaries, share, seed)
+    # read by the challenger's fit and by its validation predictions
+    tagged = materialize(splits.assign_split(summaries, share, seed))
     train = tagged.filter(F.col("split") == splits.TRAIN).drop("split")
     val = tagged.filter(F.col("split") == splits.VALIDATION).drop("split")
     es = splits.assign_split(train, early_stop_share, seed, out="_es")

@@ -25,14 +25,24 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, spread: bool = True) -> DataFrame:
     """Write a frame that several later jobs read, once.
 
     With a shared checkpoint folder this is a reliable ``checkpoint()``: lineage is cut and a
     lost executor's share is read back from storage rather than recomputed. Without one the
     frame is persisted (memory, then disk) and lost blocks are recomputed from lineage.
     ``localCheckpoint`` is never used.
+
+    ``spread``: a checkpointed table with fewer partitions than the cluster has cores (AQE
+    merges the partitions of small results) is redistributed over every core, because its
+    readers (boosting rounds, model scoring) are CPU-bound. Large tables already have more
+    partitions than cores and are left as they are; the count of a checkpointed frame is
+    known without running a job.
     """
     if checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
+        out = df.checkpoint(eager=True)
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if spread and out.rdd.getNumPartitions() < cores:
+            out = out.repartition(cores)
+        return out
     return df.persist(StorageLevel.MEMORY_AND_DISK)
