@@ -53,13 +53,15 @@ def poisson1_cdf() -> list[float]:
 
 
 def poisson1_weight(u: Column) -> Column:
-    """Inverse CDF of Poisson(1): the number of CDF steps at or below ``u``."""
-    w = F.lit(0)
-    for c in poisson1_cdf():
-        if c >= 1.0:
-            break
-        w = w + (u >= F.lit(c)).cast("int")
-    return w
+    """Inverse CDF of Poisson(1): the smallest ``k`` with ``u < P(X <= k)``.
+
+    A ``CASE`` ladder in CDF order stops at the first match, about two comparisons on average.
+    """
+    steps = [c for c in poisson1_cdf() if c < 1.0]
+    w = F.when(u < F.lit(steps[0]), F.lit(0))
+    for k, c in enumerate(steps[1:], start=1):
+        w = w.when(u < F.lit(c), F.lit(k))
+    return w.otherwise(F.lit(len(steps)))
 
 
 # ---- p-values (evaluated on one aggregated row) ----

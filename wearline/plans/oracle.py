@@ -243,7 +243,8 @@ FROM o"""
 
 
 def _boot_means() -> str:
-    steps = " + ".join(f"CAST(u >= CAST('{c!r}' AS DOUBLE) AS INTEGER)" for c in poisson1_cdf() if c < 1.0)
+    cdf = [c for c in poisson1_cdf() if c < 1.0]
+    steps = "CASE " + " ".join(f"WHEN u < CAST('{c!r}' AS DOUBLE) THEN {k}" for k, c in enumerate(cdf)) + f" ELSE {len(cdf)} END"
     return f"""{BASE},
 {FP},
 {ER},
