@@ -45,7 +45,7 @@ def prepare(
     units), the scaler sees training units only, and both splits are scaled with it.
 
     ``impute="before"`` fills missing features with 0 and then scales (serving convention,
-    our default for both sides); ``"after"`` reproduces the notebook's order, where a missing
+    our default for both sides); ``"after"`` scales first and fills afterwards, so a missing
     value ends at the training mean.
     """
     keys = as_list(keys)
