@@ -16,6 +16,7 @@ from wearline.constants import FAILURE_HORIZON, RECALL_CUTOFF, SEQUENCE_LENGTH
 from wearline.functions.columns import feature_columns, round_doubles, sensor_columns
 from wearline.operators import compare, labels, metrics, profile, projections, rolling, sequences, splits
 from wearline.operators.scaling import fit_scaler, scale_features
+from wearline.session import materialize
 from wearline.sources import adapters, requests, text
 
 EV = ["sensor_2", "sensor_3"]          # kept sensors carried by tele_events
@@ -37,7 +38,10 @@ def _labelled(spark, d):
 
 
 def _tagged(spark, d):
-    return splits.assign_split(_labelled(spark, d))
+    """Labelled events with their unit's split, written once (an intermediate table, as a
+    stored predictions file would be): the metric and comparison operators read it several
+    times."""
+    return materialize(splits.assign_split(_labelled(spark, d)))
 
 
 def _split(spark, d):
