@@ -20,6 +20,8 @@ def _plain_rolling(df, sensors, n):
 def _close(a, b, tol=1e-9):
     if a is None or b is None:
         return a is None and b is None
+    if not isinstance(a, float):
+        return a == b
     return math.isclose(a, b, rel_tol=tol, abs_tol=tol)
 
 
@@ -81,3 +83,14 @@ def test_last_k_keeps_newest_rows(spark, sf_small):
 def test_event_sensors_present(spark, sf_small):
     te = tele_events(spark, sf_small)
     assert te.columns == ["unit", "cycle", *EVENT_SENSORS]
+
+
+def test_rolling_with_composite_fleet_key(spark, sf_small):
+    from wearline.sources.adapters import tele_fleet
+
+    tf = tele_fleet(spark, sf_small)
+    got = rolling_features(tf, ["sensor_2"], 5, keys=("dataset", "unit"), chunk_rows=4)
+    w = Window.partitionBy("dataset", "unit").orderBy("cycle").rowsBetween(-4, 0)
+    want = tf.select(*tf.columns, F.avg("sensor_2").over(w).alias("sensor_2_rollmean"),
+                     F.stddev_samp("sensor_2").over(w).alias("sensor_2_rollstd"))
+    _assert_frames_equal(got, want, keys=("dataset", "unit", "cycle"))

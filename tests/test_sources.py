@@ -115,3 +115,17 @@ def test_tables_round_trip(spark, scratch):
     split = df.withColumn("split", F.when(F.col("dataset") == "FD001", "train").otherwise("validation"))
     tables.write_split(split, os.path.join(scratch, "split"))
     assert tables.read_split(spark, os.path.join(scratch, "split"), "train").count() == 1
+
+
+def test_null_request_is_rejected_not_failed(spark):
+    df = spark.createDataFrame([("nil", None)], rq.REQUEST)
+    assert [r.error for r in rq.validate_requests(df).collect()] == ["empty"]
+
+
+def test_profile_approx_distinct(spark, sf_small):
+    from wearline.operators.profile import profile
+    from wearline.sources.adapters import tele_events
+
+    te = tele_events(spark, sf_small)
+    exact, approx = profile(te).first(), profile(te, approx=True).first()
+    assert exact.n_rows == approx.n_rows and abs(exact.n_units - approx.n_units) <= max(2, exact.n_units // 20)
