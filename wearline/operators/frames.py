@@ -7,11 +7,14 @@ chunks of at most ``chunk_rows`` cycles, and every chunk also receives copies ("
 ``(unit, chunk)`` and filtered to the chunk's own rows equals the same frame partitioned by
 unit alone.
 
-Halo selection ships only small data: the last ``before`` rows of each chunk (a
-``WindowGroupLimit``, applied before the shuffle) are offered to the next ``before`` chunks,
-and each chunk keeps the last ``before`` rows offered. That is exact because every chunk has at
-least one row, so nothing older than ``before`` chunks back can be among a chunk's ``before``
-predecessors. The order column must be an integer cycle, unique within a unit.
+Halo selection ships only small data. The chunk list is a hash aggregate; only chunks that
+are followed by another chunk (units longer than one chunk) give halo rows, so the data is
+joined with that short list first and only those rows are sorted. Their last ``before`` rows
+per chunk (a ``WindowGroupLimit``, partial before the shuffle) are offered to the next
+``before`` chunks, and each chunk keeps the last ``before`` rows offered. That is exact
+because every chunk has at least one row, so nothing older than ``before`` chunks back can be
+among a chunk's ``before`` predecessors. The order column must be an integer cycle, unique
+within a unit.
 """
 
 from __future__ import annotations
