@@ -255,3 +255,14 @@ def test_window_summaries_match_numpy(spark):
         r = out[end]
         assert r.a_wfirst == w[0] and r.a_wmean == pytest.approx(w.mean()) and r.a_wstd == pytest.approx(w.std(ddof=1))
         assert r.a_wslope == pytest.approx(np.polyfit(c, w, 1)[0])
+
+
+def test_fixed_point_limbs_reconstruct_exactly(spark):
+    rng = random.Random(11)
+    xs = [-1234567.125, -0.5, -1e-9, 0.0, 3.0e-13, 0.1, 2.0 / 3.0, 4095.999, 8e6] + [rng.uniform(-5e5, 5e5) for _ in range(200)]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    limbs = compare.fixed_point_limbs(F.col("x"))
+    for r in df.select("x", *[c.alias(f"l{i}") for i, c in enumerate(limbs)]).collect():
+        want = math.floor(r.x * 2**40)
+        assert (r.l0 * 2**20 + r.l1) * 2**20 + r.l2 == want
+        assert 0 <= r.l1 < 2**20 and 0 <= r.l2 < 2**20

@@ -69,15 +69,22 @@ def wilcoxon(df: DataFrame, d: str = "d", buckets: int | None = None) -> DataFra
     return one.select(n.cast("bigint").alias("n"), "w_plus", "w_minus", w.alias("w"), "tie_term", z.alias("z"))
 
 
-def fixed_point_limbs(x: Column) -> tuple[Column, Column]:
-    """``floor(x * 2**40)`` split into a high and a low ``bigint`` limb.
+def fixed_point_limbs(x: Column) -> list[Column]:
+    """``floor(x * 2**40)`` as three ``bigint`` limbs: integer part, then two 20-bit fractions.
 
     Scaling by a power of two is exact in floating point, so both engines get the same
-    integers; sums of the limbs are exact and independent of summation order. Values must
-    satisfy ``|x| < 2**23``; larger ones fail loudly (ANSI cast overflow) instead of wrapping.
+    integers, and integer sums are exact and independent of summation order. Weighted sums of
+    the limbs stay inside ``bigint`` while ``n * |x| < 5e17`` (integer limb) and
+    ``n < 4.9e11`` rows (fraction limbs); past that the ANSI overflow check fails the job
+    rather than wrapping. ``|x|`` must be below ``2**23``.
     """
     fixed = F.floor(x * F.lit(float(2**FIXED_BITS))).cast("bigint")
-    return F.shiftright(fixed, LIMB_BITS), fixed.bitwiseAND(F.lit((1 << LIMB_BITS) - 1))
+    mask = F.lit((1 << LIMB_BITS) - 1)
+    return [
+        F.shiftright(fixed, FIXED_BITS),
+        F.shiftright(fixed, LIMB_BITS).bitwiseAND(mask),
+        fixed.bitwiseAND(mask),
+    ]
 
 
 def bootstrap_means(
@@ -94,24 +101,29 @@ def bootstrap_means(
     replicates are generated next to the data and pre-aggregated per partition before the
     shuffle, so a shuffle carries at most ``resamples`` rows per partition.
 
-    ``x`` enters as fixed point with 40 fractional bits (two ``bigint`` limbs, see
+    ``x`` enters as fixed point with 40 fractional bits (three ``bigint`` limbs, see
     :func:`fixed_point_limbs`) and ``w * x`` is summed in integers: the sums are exact, so
     every replicate mean is identical under any partitioning or merge order (a double sum is
     not, and a mean on a rounding half-point would flip between runs). Integer sums stay in
-    Spark's fast hash aggregate. Exact while ``n * |x|`` stays below about 5e11.
-    It approximates, and does not reproduce, a NumPy draw.
+    Spark's fast hash aggregate. It approximates, and does not reproduce, a NumPy draw.
     """
-    hi, lo = fixed_point_limbs(F.col(value))
-    rows = df.filter(F.col(value).isNotNull()).select(row_hash32(keys, seed).alias("_h"), hi.alias("_hi"), lo.alias("_lo"))
+    limbs = fixed_point_limbs(F.col(value))
+    names = [f"_l{i}" for i in range(len(limbs))]
+    rows = df.filter(F.col(value).isNotNull()).select(
+        row_hash32(keys, seed).alias("_h"), *[c.alias(n) for c, n in zip(limbs, names)]
+    )
     # The input is far smaller than the work it spawns (rows x resamples): spread its few
     # bytes per row over every core first (an explicit count, so AQE keeps it), so the
     # replicate expansion never sits in the handful of tasks a small input arrives in.
     rows = rows.repartition(df.sparkSession.sparkContext.defaultParallelism)
-    reps = rows.select("_h", "_hi", "_lo", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))).alias("rep"))
+    reps = rows.select("_h", *names, F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))).alias("rep"))
     w = poisson1_weight(replicate_uniform(F.col("_h"), F.col("rep"))).cast("bigint")
-    weighted = reps.select("rep", w.alias("_w"), (w * F.col("_hi")).alias("_whi"), (w * F.col("_lo")).alias("_wlo"))
-    agg = weighted.groupBy("rep").agg(F.sum("_whi").alias("_shi"), F.sum("_wlo").alias("_slo"), F.sum("_w").alias("_sw"))
-    total = F.col("_shi").cast("decimal(38,0)") * F.lit(1 << LIMB_BITS) + F.col("_slo").cast("decimal(38,0)")
+    weighted = reps.select("rep", w.alias("_w"), *[(w * F.col(n)).alias(f"_w{n}") for n in names])
+    agg = weighted.groupBy("rep").agg(F.sum("_w").alias("_sw"), *[F.sum(f"_w{n}").alias(f"_s{n}") for n in names])
+    # exact total in units of 2**-40: ((s0 * 2**20) + s1) * 2**20 + s2, in decimal
+    total = F.col("_s_l0").cast("decimal(38,0)")
+    for n in names[1:]:
+        total = total * F.lit(1 << LIMB_BITS) + F.col(f"_s{n}").cast("decimal(38,0)")
     mean = F.try_divide(total.cast("double") / F.lit(float(2**FIXED_BITS)), F.col("_sw").cast("double"))
     return agg.select(F.col("rep").cast("bigint").alias("rep"), mean.alias("mean"))
 

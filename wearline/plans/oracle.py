@@ -249,15 +249,16 @@ def _boot_means() -> str:
 {FP},
 {ER},
 fx AS (SELECT unit, cycle, CAST(floor(d * CAST(1099511627776 AS DOUBLE)) AS BIGINT) AS f FROM er WHERE d IS NOT NULL),
-rw AS (SELECT {unit_hash(['unit', 'cycle'], 8)} AS h, f >> 20 AS hi, f & 1048575 AS lo FROM fx),
-rp AS (SELECT h, hi, lo, CAST(r AS BIGINT) AS rep FROM rw, range(0, {BOOTSTRAP_RESAMPLES}) t(r)),
-m0 AS (SELECT rep, hi, lo, xor(h, (rep * {REP_MULT}) & {MASK32}) AS z FROM rp),
-m1 AS (SELECT rep, hi, lo, (xor(z, z >> 16) * {MIX_MULT}) & {MASK32} AS z FROM m0),
-m2 AS (SELECT rep, hi, lo, (xor(z, z >> 16) * {MIX_MULT}) & {MASK32} AS z FROM m1),
-m3 AS (SELECT rep, hi, lo, CAST(xor(z, z >> 16) AS DOUBLE) / CAST(4294967296 AS DOUBLE) AS u FROM m2),
-wt AS (SELECT rep, hi, lo, {steps} AS w FROM m3),
-bm AS (SELECT rep, CAST(CAST(sum(w * hi) AS HUGEINT) * 1048576 + sum(w * lo) AS DOUBLE) / CAST(1099511627776 AS DOUBLE)
-              / CASE WHEN sum(w) <> 0 THEN CAST(sum(w) AS DOUBLE) END AS mean
+rw AS (SELECT {unit_hash(['unit', 'cycle'], 8)} AS h, f >> 40 AS l0, (f >> 20) & 1048575 AS l1, f & 1048575 AS l2 FROM fx),
+rp AS (SELECT h, l0, l1, l2, CAST(r AS BIGINT) AS rep FROM rw, range(0, {BOOTSTRAP_RESAMPLES}) t(r)),
+m0 AS (SELECT rep, l0, l1, l2, xor(h, (rep * {REP_MULT}) & {MASK32}) AS z FROM rp),
+m1 AS (SELECT rep, l0, l1, l2, (xor(z, z >> 16) * {MIX_MULT}) & {MASK32} AS z FROM m0),
+m2 AS (SELECT rep, l0, l1, l2, (xor(z, z >> 16) * {MIX_MULT}) & {MASK32} AS z FROM m1),
+m3 AS (SELECT rep, l0, l1, l2, CAST(xor(z, z >> 16) AS DOUBLE) / CAST(4294967296 AS DOUBLE) AS u FROM m2),
+wt AS (SELECT rep, l0, l1, l2, {steps} AS w FROM m3),
+bm AS (SELECT rep,
+              CAST((CAST(sum(w * l0) AS HUGEINT) * 1048576 + sum(w * l1)) * 1048576 + sum(w * l2) AS DOUBLE)
+              / CAST(1099511627776 AS DOUBLE) / CASE WHEN sum(w) <> 0 THEN CAST(sum(w) AS DOUBLE) END AS mean
        FROM wt GROUP BY rep)"""
 
 
