@@ -118,3 +118,17 @@ def test_streaming_request_scoring_matches_batch(spark, sf_small, fitted, scratc
     assert streamed.keys() == batch.keys()
     for k, v in batch.items():
         assert streamed[k] == pytest.approx(v)
+
+
+def test_fleet_scoring_counts_by_observation(spark, sf_small, fitted, scratch):
+    from pyspark.sql import Observation
+
+    from wearline.sources.tables import write_scores
+
+    p, model = fitted
+    fleet = tele_fleet(spark, sf_small)
+    rows_seen, units_scored = Observation("rows"), Observation("units")
+    scores = score_fleet(fleet, model, p.params, EV, ("dataset", "unit"), rows_seen=rows_seen, units_scored=units_scored)
+    write_scores(scores, os.path.join(scratch, "scores"))
+    assert rows_seen.get["n"] == fleet.count()
+    assert units_scored.get["n"] == fleet.select("dataset", "unit").distinct().count()

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wearline.constants import KEPT_SENSORS, ROLLING_WINDOW
@@ -29,11 +29,21 @@ def score_fleet(
     keys: str | Iterable[str] = ("dataset", "unit"),
     n: int = ROLLING_WINDOW,
     impute: str = "before",
+    rows_seen: Observation | None = None,
+    units_scored: Observation | None = None,
 ) -> DataFrame:
-    """M4: ``dataset, unit, cycle, predicted_rul`` for the newest cycle of every unit."""
+    """M4: ``dataset, unit, cycle, predicted_rul`` for the newest cycle of every unit.
+
+    ``rows_seen`` / ``units_scored`` (A5) receive ``n`` = rows read and units scored from
+    the scoring job itself; no extra job counts them.
+    """
     keys = as_list(keys)
     feats = feature_columns(sensors)
+    if rows_seen is not None:
+        fleet = fleet.observe(rows_seen, F.count(F.lit(1)).alias("n"))
     state = current_state(fleet, sensors, n, keys)
+    if units_scored is not None:
+        state = state.observe(units_scored, F.count(F.lit(1)).alias("n"))
     scaled = scale_features(state, params, feats, impute)
     scored = model.transform(scaled)
     if "dataset" not in keys:

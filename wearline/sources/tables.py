@@ -71,7 +71,10 @@ def score_table(df: DataFrame, pred: str = "prediction") -> DataFrame:
 
 
 def write_scores(df: DataFrame, path: str, pred: str = "prediction", fmt: str = "parquet") -> None:
-    """Fleet predictions as a directory, partitioned by dataset."""
+    """Fleet predictions as a directory, partitioned by dataset (takes raw model output
+    with a ``prediction`` column or an already formatted score table)."""
+    if pred not in df.columns and "predicted_rul" in df.columns:
+        pred = "predicted_rul"
     w = score_table(df, pred).write.mode("overwrite").partitionBy("dataset").format(fmt)
     if fmt == "csv":
         w = w.option("header", True)
