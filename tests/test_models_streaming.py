@@ -132,3 +132,22 @@ def test_fleet_scoring_counts_by_observation(spark, sf_small, fitted, scratch):
     write_scores(scores, os.path.join(scratch, "scores"))
     assert rows_seen.get["n"] == fleet.count()
     assert units_scored.get["n"] == fleet.select("dataset", "unit").distinct().count()
+
+
+def test_train_then_fleet_jobs_on_text_files(spark, sf_small, scratch):
+    from wearline.plans.jobs import fleet_job, train_job
+    from wearline.sources.adapters import tele_text
+    from wearline.sources.tables import read_scores
+
+    text = tele_text(spark, sf_small)
+    text.write.mode("overwrite").text(os.path.join(scratch, "train_FD001.txt"))
+    text.write.mode("overwrite").text(os.path.join(scratch, "test_FD001.txt"))
+    text.write.mode("overwrite").text(os.path.join(scratch, "test_FD002.txt"))
+    metrics = train_job(spark, os.path.join(scratch, "train_FD001.txt"), os.path.join(scratch, "out"), EV, rounds=3).first()
+    assert metrics.n > 0 and metrics.mae >= 0
+    counts = fleet_job(spark, os.path.join(scratch, "test_FD00*.txt"), os.path.join(scratch, "out"),
+                       os.path.join(scratch, "scores"), EV)
+    n_units = tele_events(spark, sf_small).select("unit").distinct().count()
+    assert counts == {"rows_seen": 2 * text.count(), "units_scored": 2 * n_units}
+    scores = read_scores(spark, os.path.join(scratch, "scores"))
+    assert sorted(r.dataset for r in scores.select("dataset").distinct().collect()) == ["FD001", "FD002"]

@@ -55,7 +55,11 @@ def parse_lines(lines: DataFrame, value: str = "value", keep: Iterable[str] = ()
         .when(any_bad, F.lit("bad_number"))
         .when(key_bad, F.lit("bad_key"))
     )
-    return staged.select(*keep, *fields, error.alias("error"), F.col("_line").alias("line"))
+    # The parsed row leaves through a generator: its outputs are plain attributes, so plans
+    # built on top (labels, windows, joins) do not carry 26 field expressions into the
+    # optimizer's constraint inference, which otherwise grows with every reuse of the input.
+    packed = F.struct(*fields, error.alias("error"), F.col("_line").alias("line"))
+    return staged.select(*keep, F.inline(F.array(packed)))
 
 
 def parse_telemetry(lines: DataFrame, value: str = "value", keep: Iterable[str] = ()) -> DataFrame:
@@ -82,12 +86,13 @@ def tag_dataset(df: DataFrame, tag: str, out: str = "dataset") -> DataFrame:
 def read_fleet(spark: SparkSession, paths: str | list[str], pattern: str = r"(FD\d+)") -> DataFrame:
     """One text scan over every file; the dataset tag comes from each file's name.
 
-    Replaces one read per file plus a chain of unions; the tag is
-    ``regexp_extract(_metadata.file_name, pattern)``.
+    Replaces one read per file plus a chain of unions; the tag is ``pattern`` found in the
+    file's name, or else in its path (for datasets laid out as folders of part files).
     """
-    raw = spark.read.text(paths).select(
-        "value", F.regexp_extract(F.col("_metadata.file_name"), pattern, 1).alias("dataset")
-    )
+    in_name = F.regexp_extract(F.col("_metadata.file_name"), pattern, 1)
+    in_path = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
+    tag = F.when(in_name != "", in_name).otherwise(in_path)
+    raw = spark.read.text(paths).select("value", tag.alias("dataset"))
     parsed = parse_telemetry(raw, keep=["dataset"])
     parsed = parsed.select(*TELEMETRY_COLUMNS, "dataset")
     return fleet_key(parsed)
