@@ -94,3 +94,16 @@ def test_rolling_with_composite_fleet_key(spark, sf_small):
     want = tf.select(*tf.columns, F.avg("sensor_2").over(w).alias("sensor_2_rollmean"),
                      F.stddev_samp("sensor_2").over(w).alias("sensor_2_rollstd"))
     _assert_frames_equal(got, want, keys=("dataset", "unit", "cycle"))
+
+
+def test_rolling_skips_missing_readings_like_pandas(spark):
+    vals = [1.0, None, 4.0, 2.0, None, 8.0, 5.0]
+    pdf = pd.DataFrame({"unit": [1] * 7, "cycle": list(range(1, 8)), "sensor_2": vals})
+    df = spark.createDataFrame([(1, c, v) for c, v in zip(range(1, 8), vals)], "unit long, cycle long, sensor_2 double")
+    got = rolling_features(df, ["sensor_2"], 5, chunk_rows=3).orderBy("cycle").toPandas()
+    exp_mean = pdf["sensor_2"].rolling(5, min_periods=1).mean()
+    exp_std = pdf["sensor_2"].rolling(5, min_periods=1).std()
+    for g, e in zip(got["sensor_2_rollmean"], exp_mean):
+        assert (pd.isna(g) and pd.isna(e)) or g == pytest.approx(e)
+    for g, e in zip(got["sensor_2_rollstd"], exp_std):
+        assert (pd.isna(g) and pd.isna(e)) or g == pytest.approx(e)
