@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from wearline.llm import decontaminate, licenses, packing
+from wearline.llm import decontaminate, language_id, licenses, packing, toxicity
 
-_MODULES = [decontaminate, licenses, packing]
+_MODULES = [decontaminate, language_id, licenses, packing, toxicity]
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in _MODULES for name, sql in module.ORACLE_SQL.items()}
