@@ -2,9 +2,22 @@
 
 from __future__ import annotations
 
-from wearline.llm import decontaminate, language_id, licenses, packing, toxicity
+import functools
 
-_MODULES = [decontaminate, language_id, licenses, packing, toxicity]
+from wearline.llm import decontaminate, language_id, licenses, lm_score, packing, toxicity
+from wearline.llm.common import ship
 
-QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
+_MODULES = [decontaminate, language_id, licenses, lm_score, packing, toxicity]
+
+
+def _shipped(query):
+    @functools.wraps(query)
+    def run(spark, sf_dir):
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES = {name: _shipped(query) for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in _MODULES for name, sql in module.ORACLE_SQL.items()}
