@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import functools
 
-from wearline.llm import decontaminate, language_id, licenses, lm_score, packing, toxicity
+from wearline.llm import decontaminate, language_id, licenses, lm_score, near_duplicates, packing, toxicity
 from wearline.llm.common import ship
 
-_MODULES = [decontaminate, language_id, licenses, lm_score, packing, toxicity]
+_MODULES = [decontaminate, language_id, licenses, lm_score, near_duplicates, packing, toxicity]
 
 
 def _shipped(query):
