@@ -79,14 +79,16 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def log_odds(keys: np.ndarray, rows: np.ndarray, label: np.ndarray, size: int) -> np.ndarray:
-    """Smoothed log ratio of the per cent of the rows of either class that hold a key."""
+def class_counts(keys: np.ndarray, rows: np.ndarray, label: np.ndarray, size: int) -> np.ndarray:
+    """Rows of label 0 and of label 1 that hold each key."""
     pair = np.unique(keys.astype(np.int64) * len(label) + rows)
     key, row = pair // len(label), pair % len(label)
-    pos = np.bincount(key[label[row] > 0], minlength=size).astype(float)
-    neg = np.bincount(key[label[row] == 0], minlength=size).astype(float)
-    n_pos, n_neg = max(1.0, (label > 0).sum()), max(1.0, (label == 0).sum())
-    pos, neg = pos / n_pos * 100, neg / n_neg * 100
+    return np.stack([np.bincount(key[label[row] == c], minlength=size) for c in (0, 1)])
+
+
+def log_odds(counts: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Smoothed log ratio of the per cent of the rows of either class that hold a key."""
+    neg, pos = counts / np.maximum(1, rows)[:, None] * 100
     return np.log(pos + 2) - np.log(neg + 2)
 
 
@@ -104,18 +106,22 @@ class BiGRU:
             "att": small(2 * h), "out": small(2 * h), "bias": np.zeros(1, np.float32),
         }
 
-    def start_from(self, block: Block, label: np.ndarray) -> None:
+    def start_from(self, batches: list[tuple[Block, np.ndarray]]) -> None:
         """The first coordinate of both tables starts from how the classes use a word or n-gram."""
-        row_of_window = np.repeat(np.arange(len(label)), np.diff(block.row_at))
-        lens = block.length
-        at = np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens) + np.repeat(block.first, lens)
-        rows, words = np.repeat(row_of_window, lens), block.place[at]
-        self.p["word"][:, 0] += 0.25 * log_odds(block.word[words], rows, label, 1 << WORD_BITS)
-        pair = np.unique(words.astype(np.int64) * len(label) + rows)
-        word, row = pair // len(label), pair % len(label)
-        n = block.gram_at[word + 1] - block.gram_at[word]
-        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(block.gram_at[word], n)
-        self.p["gram"][:, 0] += 0.25 * log_odds(block.gram[at], np.repeat(row, n), label, 1 << GRAM_BITS)
+        of_word, of_gram, of_rows = np.zeros((2, 1 << WORD_BITS)), np.zeros((2, 1 << GRAM_BITS)), np.zeros(2)
+        for block, label in batches:
+            lens = block.length
+            at = np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens) + np.repeat(block.first, lens)
+            rows, words = np.repeat(np.repeat(np.arange(len(label)), np.diff(block.row_at)), lens), block.place[at]
+            of_rows += [(label == 0).sum(), (label == 1).sum()]
+            of_word += class_counts(block.word[words], rows, label, 1 << WORD_BITS)
+            pair = np.unique(words.astype(np.int64) * len(label) + rows)
+            word, row = pair // len(label), pair % len(label)
+            n = block.gram_at[word + 1] - block.gram_at[word]
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(block.gram_at[word], n)
+            of_gram += class_counts(block.gram[at], np.repeat(row, n), label, 1 << GRAM_BITS)
+        self.p["word"][:, 0] += 0.25 * log_odds(of_word, of_rows)
+        self.p["gram"][:, 0] += 0.25 * log_odds(of_gram, of_rows)
 
     def inputs(self, block: Block) -> np.ndarray:
         """The input vector of every distinct word."""

@@ -63,8 +63,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> BiGRU | float:
         return float(label.mean()) if len(label) else 0.0
     as_block = lambda t: read_block(*text_bytes(pa.array(t, pa.string())))
     model = BiGRU()
-    model.start_from(as_block(texts), label)
     batches = [(as_block(texts[i : i + BATCH]), label[i : i + BATCH]) for i in range(0, len(texts), BATCH)]
+    model.start_from(batches)
     weight = POSITIVE_WEIGHT * (label == 0).sum() / (label == 1).sum()
     model.fit(batches, (1.0, float(weight)), max(EPOCHS, -(-LEAST_STEPS // len(batches))))
     return model
