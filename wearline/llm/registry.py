@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import functools
 
-from wearline.llm import decontaminate, language_id, licenses, lm_score, near_duplicates, packing, repeats, toxicity
+from wearline.llm import decontaminate, language_id, licenses, lm_score, near_duplicates, packing, repeats, toxicity, warc
 from wearline.llm.common import ship
 
-_MODULES = [decontaminate, language_id, licenses, lm_score, near_duplicates, packing, repeats, toxicity]
+_MODULES = [decontaminate, language_id, licenses, lm_score, near_duplicates, packing, repeats, toxicity, warc]
 
 
 def _shipped(query):
