@@ -268,6 +268,8 @@ def _index_answers(asked: DataFrame, length: int, hot: int) -> DataFrame:
     return found.unionByName(windows.join(twice, ["w1", "w2"], "left_semi").select("d1", "d2", "p"))
 
 
+#: Columns that the steps add to the rows.
+_OWN = (*_KEYS, "n_bytes", "n_removed", "n_spans", "kept_sha256", "marks", "copied", "speaks", "open", "supplies", "found", "copies", "least")
 _DONE = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
 
@@ -287,8 +289,8 @@ def _resolved(docs: DataFrame, length: int, gram: int, hot: int, keep_text: bool
         columns = own.columns[:n_own]
         sizes = np.diff(text_bytes(own.column(text_at))[1])
         if keep_text:
-            # a cut inside a character leaves part of it; that part is replaced
-            columns[text_at] = pa.array([e[2].decode("utf-8", "replace") for e in ends], columns[text_at].type)
+            # a cut inside a character leaves part of it, which goes too
+            columns[text_at] = pa.array([e[2].decode("utf-8", "ignore") for e in ends], columns[text_at].type)
         columns += [
             pa.array(sizes, pa.int64()),
             pa.array([e[0] for e in ends], pa.int64()),
@@ -381,10 +383,10 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HO
 def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """``docs`` with the repeated bytes taken out of ``text``, every column kept.
 
-    A character that a cut divides becomes U+FFFD; ``n_chars``, where it is a column, is counted anew.
+    What a cut leaves of a divided character goes too; ``n_chars``, where it is a column, is counted anew.
     """
     own = docs.columns
-    clash = [c for c in own if c in (*_KEYS, "n_bytes", "n_removed", "n_spans", "kept_sha256", "marks", "copied", "speaks", "open", "supplies", "found", "copies", "least")]
+    clash = [c for c in own if c in _OWN]
     renamed = docs.withColumnsRenamed({c: f"own_{c}" for c in clash})
     out = _resolved(renamed, length, gram, hot, keep_text=True)
     if "n_chars" in own:
