@@ -148,6 +148,10 @@ def test_train_then_fleet_jobs_on_text_files(spark, sf_small, scratch):
     counts = fleet_job(spark, os.path.join(scratch, "test_FD00*.txt"), os.path.join(scratch, "out"),
                        os.path.join(scratch, "scores"), EV)
     n_units = tele_events(spark, sf_small).select("unit").distinct().count()
-    assert counts == {"rows_seen": 2 * text.count(), "units_scored": 2 * n_units}
+    assert counts == {"rows_seen": 2 * text.count(), "units_scored": 2 * n_units, "quarantined": 0}
+    assert metrics.n_quarantined == 0
+    read = lambda name: spark.read.parquet(os.path.join(scratch, "out", name))
+    assert read("thresholds").count() == 2 and read("roc_auc").count() == 1 and read("comparison").count() == 1
+    assert read("importance").count() == read("classifier_importance").count() == 6
     scores = read_scores(spark, os.path.join(scratch, "scores"))
     assert sorted(r.dataset for r in scores.select("dataset").distinct().collect()) == ["FD001", "FD002"]

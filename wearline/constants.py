@@ -42,6 +42,8 @@ SEED = 42
 TREE_ROUNDS = 100
 TREE_DEPTH = 5
 TREE_STEP = 0.1
+# Rounds without a better held-out error before boosting stops.
+PATIENCE = 10
 
 BOOTSTRAP_RESAMPLES = 10000
 CI_PERCENTILES = (0.025, 0.975)

@@ -5,17 +5,21 @@ All statistics are aggregates; p-values are computed from the single aggregated
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wearline.constants import BOOTSTRAP_RESAMPLES, CI_PERCENTILES, SEED
-from wearline.functions.stats import normal_pvalue, poisson1_weight, replicate_uniform, row_hash32, t_pvalue
+from wearline.functions.stats import ReplicateWeights, normal_pvalue, row_hash32, t_pvalue
 from wearline.operators.ranks import ordered_prefix
 
 FIXED_BITS = 40
 LIMB_BITS = 20
+LIMBS = 6
+ROWS_AT_ONCE = 256
 
 
 def one_row(first: DataFrame, *others: DataFrame) -> DataFrame:
@@ -32,10 +36,11 @@ def align(a: DataFrame, b: DataFrame, keys: Sequence[str] = ("unit", "cycle")) -
 
 
 def paired_t(df: DataFrame, d: str = "d") -> DataFrame:
-    """``n, mean_diff, sd_diff, t, dof`` of the paired difference (NULLs skipped)."""
-    n = F.count(F.col(d))
-    mean = F.avg(F.col(d))
-    sd = F.stddev_samp(F.col(d))
+    """``n, mean_diff, sd_diff, t, dof`` of the paired difference (NULL and NaN skipped)."""
+    x = _present(F.col(d))
+    n = F.count(x)
+    mean = F.avg(x)
+    sd = F.stddev_samp(x)
     one = df.agg(n.alias("n"), mean.alias("mean_diff"), sd.alias("sd_diff"))
     t = F.try_divide(F.col("mean_diff"), F.col("sd_diff") / F.sqrt(F.col("n")))
     return one.select("n", "mean_diff", "sd_diff", t.alias("t"), (F.col("n") - 1).alias("dof"))
@@ -49,7 +54,7 @@ def wilcoxon(df: DataFrame, d: str = "d", buckets: int | None = None) -> DataFra
     running count. ``w`` = min(W+, W-); ``z`` uses the tie-corrected variance
     ``n(n+1)(2n+1)/24 - sum(t^3 - t)/48``. The normal form is used at every ``n``.
     """
-    nz = df.filter(F.col(d).isNotNull() & (F.col(d) != 0)).select(F.abs(F.col(d)).alias("_a"), (F.col(d) > 0).alias("_pos"))
+    nz = df.select(_present(F.col(d)).alias("_d")).filter("_d IS NOT NULL AND _d <> 0").select(F.abs("_d").alias("_a"), (F.col("_d") > 0).alias("_pos"))
     g = nz.groupBy("_a").agg(
         F.count(F.lit(1)).cast("double").alias("_c"),
         F.sum(F.when(F.col("_pos"), 1).otherwise(0)).cast("double").alias("_np"),
@@ -69,22 +74,24 @@ def wilcoxon(df: DataFrame, d: str = "d", buckets: int | None = None) -> DataFra
     return one.select(n.cast("bigint").alias("n"), "w_plus", "w_minus", w.alias("w"), "tie_term", z.alias("z"))
 
 
-def fixed_point_limbs(x: Column) -> list[Column]:
-    """``floor(x * 2**40)`` as three ``bigint`` limbs: integer part, then two 20-bit fractions.
+def fixed_point_limbs(x: np.ndarray) -> np.ndarray:
+    """``floor(x * 2**40)`` as ``LIMBS`` integers of 20 bits each, the first one signed.
 
-    Scaling by a power of two is exact in floating point, so both engines get the same
-    integers, and integer sums are exact and independent of summation order. Weighted sums of
-    the limbs stay inside ``bigint`` while ``n * |x| < 5e17`` (integer limb) and
-    ``n < 4.9e11`` rows (fraction limbs); past that the ANSI overflow check fails the job
-    rather than wrapping. ``|x|`` must be below ``2**23``.
+    Splitting at powers of two is exact in floating point, so sums of the limbs are exact
+    integers whatever their order. Values of ``2**80`` or more do not fit and raise.
     """
-    fixed = F.floor(x * F.lit(float(2**FIXED_BITS))).cast("bigint")
-    mask = F.lit((1 << LIMB_BITS) - 1)
-    return [
-        F.shiftright(fixed, FIXED_BITS),
-        F.shiftright(fixed, LIMB_BITS).bitwiseAND(mask),
-        fixed.bitwiseAND(mask),
-    ]
+    if not np.isfinite(x).all() or (np.abs(x) >= 2.0**80).any():
+        raise ValueError("the bootstrap takes finite differences below 2**80")
+    rest, step, limbs = np.floor(x * 2.0**FIXED_BITS), 2.0**LIMB_BITS, []
+    for _ in range(LIMBS - 1):
+        limbs.append(rest % step)
+        rest = np.floor(rest / step)
+    return np.stack([*limbs, rest][::-1])
+
+
+def _present(x: Column) -> Column:
+    """NaN counts as missing, as NULL does, in every statistic of this module."""
+    return F.nanvl(x.cast("double"), F.lit(None).cast("double"))
 
 
 def bootstrap_means(
@@ -97,35 +104,44 @@ def bootstrap_means(
     """Poisson bootstrap of the mean; one row per replicate ``rep, mean``.
 
     Each (row, replicate) gets a Poisson(1) weight from a seeded hash of the row key and the
-    replicate number; a replicate's mean is sum(w * x) / sum(w) (Chamandy et al., 2012). The
-    replicates are generated next to the data and pre-aggregated per partition before the
-    shuffle, so a shuffle carries at most ``resamples`` rows per partition.
-
-    ``x`` enters as fixed point with 40 fractional bits (three ``bigint`` limbs, see
-    :func:`fixed_point_limbs`) and ``w * x`` is summed in integers: the sums are exact, so
-    every replicate mean is identical under any partitioning or merge order (a double sum is
-    not, and a mean on a rounding half-point would flip between runs). Integer sums stay in
-    Spark's fast hash aggregate. It approximates, and does not reproduce, a NumPy draw.
+    replicate number; a replicate's mean is sum(w * x) / sum(w) (Chamandy et al., 2012). Every
+    partition keeps one running total per replicate and sends ``resamples`` rows on; no row is
+    multiplied and the input is not shuffled.
+
+    ``x`` enters as fixed point with 40 fractional bits (see :func:`fixed_point_limbs`) and
+    ``w * x`` is summed in integers: the sums are exact, so every replicate mean is identical
+    under any partitioning or merge order. A total beyond 38 decimal digits fails the job.
+    NULL and NaN are skipped. It approximates, and does not reproduce, a NumPy draw.
     """
-    limbs = fixed_point_limbs(F.col(value))
-    names = [f"_l{i}" for i in range(len(limbs))]
-    rows = df.filter(F.col(value).isNotNull()).select(
-        row_hash32(keys, seed).alias("_h"), *[c.alias(n) for c, n in zip(limbs, names)]
-    )
-    # The input is far smaller than the work it spawns (rows x resamples): spread its few
-    # bytes per row over every core first (an explicit count, so AQE keeps it), so the
-    # replicate expansion never sits in the handful of tasks a small input arrives in.
-    rows = rows.repartition(df.sparkSession.sparkContext.defaultParallelism)
-    reps = rows.select("_h", *names, F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))).alias("rep"))
-    w = poisson1_weight(replicate_uniform(F.col("_h"), F.col("rep"))).cast("bigint")
-    weighted = reps.select("rep", w.alias("_w"), *[(w * F.col(n)).alias(f"_w{n}") for n in names])
-    agg = weighted.groupBy("rep").agg(F.sum("_w").alias("_sw"), *[F.sum(f"_w{n}").alias(f"_s{n}") for n in names])
-    # exact total in units of 2**-40: ((s0 * 2**20) + s1) * 2**20 + s2, in decimal
-    total = F.col("_s_l0").cast("decimal(38,0)")
+    names = [f"s{i}" for i in range(LIMBS)]
+
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, total, seen = None, None, False
+        for batch in batches:
+            h, x = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            if weights is None:
+                weights, total = ReplicateWeights(resamples), np.zeros((LIMBS + 1, resamples), np.int64)
+            for start in range(0, len(h), ROWS_AT_ONCE):
+                seen = True
+                w = weights.of(h[start : start + ROWS_AT_ONCE])
+                limbs = fixed_point_limbs(x[start : start + ROWS_AT_ONCE])
+                # at most 256 rows of 20 bits and small weights: exact in double
+                total[0] += w.sum(0).astype(np.int64)
+                total[1:] += (limbs @ w).astype(np.int64)
+        if seen:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(resamples)), *[pa.array(t) for t in total]], names=["rep", "sw", *names]
+            )
+
+    rows = df.select(row_hash32(keys, seed).alias("h"), _present(F.col(value)).alias("x")).filter("x IS NOT NULL")
+    parts = rows.mapInArrow(totals, "rep bigint, sw bigint, " + ", ".join(f"{n} bigint" for n in names))
+    agg = parts.groupBy("rep").agg(F.sum("sw").alias("sw"), *[F.sum(n).alias(n) for n in names])
+    # the total in units of 2**-40, in decimal
+    total = F.col(names[0]).cast("decimal(38,0)")
     for n in names[1:]:
-        total = total * F.lit(1 << LIMB_BITS) + F.col(f"_s{n}").cast("decimal(38,0)")
-    mean = F.try_divide(total.cast("double") / F.lit(float(2**FIXED_BITS)), F.col("_sw").cast("double"))
-    return agg.select(F.col("rep").cast("bigint").alias("rep"), mean.alias("mean"))
+        total = total * F.lit(1 << LIMB_BITS) + F.col(n).cast("decimal(38,0)")
+    mean = F.try_divide(total.cast("double") / F.lit(float(2**FIXED_BITS)), F.col("sw").cast("double"))
+    return agg.select("rep", mean.alias("mean"))
 
 
 def bootstrap_ci(reps: DataFrame, value: str = "mean", probs: Sequence[float] = CI_PERCENTILES) -> DataFrame:
@@ -149,7 +165,8 @@ def comparison_summary(
 ) -> DataFrame:
     """One row with both MAEs, the mean difference, t and Wilcoxon statistics and
     p-values, the bootstrap CI, and the winner and significance computed from them."""
-    d = df.select(*keys, F.col(a_err).alias("_ea"), F.col(b_err).alias("_eb"), (F.col(a_err) - F.col(b_err)).alias("d"))
+    ea, eb = _present(F.col(a_err)), _present(F.col(b_err))
+    d = df.select(*keys, ea.alias("_ea"), eb.alias("_eb"), (ea - eb).alias("d"))
     maes = d.agg(F.avg("_ea").alias(f"mae_{names[0]}"), F.avg("_eb").alias(f"mae_{names[1]}"), F.count(F.lit(1)).alias("n_rows"))
     t = paired_t(d).select("mean_diff", "t", "dof")
     wx = wilcoxon(d).select(F.col("w").alias("wilcoxon_w"), F.col("z").alias("wilcoxon_z"))

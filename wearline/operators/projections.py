@@ -26,9 +26,12 @@ def by_units(df: DataFrame, units: DataFrame | Sequence, keys: str | Iterable[st
     """Keep rows of the chosen units.
 
     A DataFrame of units becomes a left-semi join (no duplication, AQE may broadcast it);
-    a short literal list becomes ``isin`` and is pushed to the Parquet scan.
+    a short literal list becomes ``isin`` and is pushed to the Parquet scan; it names units by
+    one key, so several keys need a DataFrame.
     """
     keys = as_list(keys)
+    if not isinstance(units, DataFrame) and len(keys) > 1:
+        raise ValueError("units with several keys must be given as a DataFrame")
     if isinstance(units, DataFrame):
         return df.join(units.select(*keys).distinct(), keys, "left_semi")
     return df.filter(F.col(keys[0]).isin(list(units)))
@@ -67,7 +70,10 @@ def preview(df: DataFrame, n: int = 10, order: Sequence[str] = ("unit", "cycle")
     return df.orderBy(*order).limit(n)
 
 
-def trajectories(df: DataFrame, units: Sequence, sensors: Sequence[str], keys: Sequence[str] = ("unit", "cycle")) -> DataFrame:
-    """Long-form (unit, cycle, sensor, value) for chosen units and sensors (the data behind a plot)."""
-    picked = df.filter(F.col(keys[0]).isin(list(units))).select(*keys, *sensors)
+def trajectories(
+    df: DataFrame, units: DataFrame | Sequence, sensors: Sequence[str], keys: Sequence[str] = ("unit", "cycle")
+) -> DataFrame:
+    """Long-form (unit, cycle, sensor, value) for chosen units and sensors (the data behind a
+    plot); the last of ``keys`` is the order, the others name the unit."""
+    picked = by_units(df, units, list(keys[:-1])).select(*keys, *sensors)
     return picked.unpivot(list(keys), list(sensors), "sensor", "value")

@@ -15,11 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wearline.session import materialize
+
 BUCKET = "_bucket"
 
 
@@ -51,9 +52,9 @@ def ordered_prefix(
     if bounds is None:
         probs = [i / nb for i in range(1, nb)]
         if probs:
-            # The sample and the result read the same rows: keep them rather than computing
-            # the upstream twice (spills to disk; lost blocks are recomputed from lineage).
-            keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
+            # The split points and the result read the same rows: written once to the shared
+            # folder, so nothing stays cached in the session.
+            keyed = materialize(keyed)
             bounds = keyed.approxQuantile("_bk", probs, rel_err)
         else:
             bounds = []

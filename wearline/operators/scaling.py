@@ -37,7 +37,7 @@ def fit_scaler(df: DataFrame, cols: Sequence[str], tol: float = FLAT_TOLERANCE)
 def scaler_literals(params: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float | None, float]]:
     """Fitted parameters as Python numbers: one row per feature, a proven bound (len(cols))."""
     cols = as_list(cols)
-    rows = params.filter(F.col("feature").isin(cols)).select("feature", "mean", "scale").collect()
+    rows = params.filter(F.col("feature").isin(cols)).select("feature", "mean", "scale").limit(len(cols) + 1).collect()
     if len(rows) > len(cols):
         raise ValueError("scaler table has more than one row per feature")
     got = {r["feature"]: (r["mean"], r["scale"]) for r in rows}

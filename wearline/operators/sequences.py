@@ -75,10 +75,17 @@ def window_summaries(
     keys: str | Iterable[str] = "unit",
     order: str = "cycle",
     chunk_rows: int | None = CHUNK_ROWS,
+    short: str = "skip",
 ) -> DataFrame:
     """Per full ``n``-row window: first value, mean, sample std and slope against the cycle
-    of each sensor. The same rows as W6 with ``"skip"``, without materialising arrays."""
+    of each sensor. The same rows as W6 with the same ``short``, without materialising arrays.
+
+    With ``"pad"`` a unit shorter than ``n`` gives one window: its rows, preceded by copies of
+    its first row at the cycles before it; a column ``padded`` tells such windows.
+    """
     keys = as_list(keys)
+    if short not in ("skip", "pad"):
+        raise ValueError(f"unknown short-unit policy {short!r}")
     frame, part = chunk_frames(df, keys, order, n - 1, chunk_rows)
     w = Window.partitionBy(*part).orderBy(order).rowsBetween(-(n - 1), 0)
     cols = [F.count(F.lit(1)).over(w).alias("_wn")]
@@ -90,7 +97,27 @@ def window_summaries(
             F.regr_slope(F.col(s), F.col(order).cast("double")).over(w).alias(f"{s}_wslope"),
         ]
     out = own_rows(frame.select(*frame.columns, *cols))
-    return out.filter(F.col("_wn") == n).drop("_wn")
+    full = out.filter(F.col("_wn") == n).drop("_wn")
+    if short == "skip":
+        return full
+    # at most n rows of a unit leave each task before they meet
+    recent = last_k(df, n, keys, order)
+    whole = Window.partitionBy(*keys)
+    first = Window.partitionBy(*keys).orderBy(order)
+    rows = recent.withColumns({"_n": F.count(F.lit(1)).over(whole), "_i": F.row_number().over(first)}).filter(F.col("_n") < n)
+    copies = F.when(F.col("_i") == 1, F.sequence(F.lit(0), F.lit(n) - F.col("_n"))).otherwise(F.array(F.lit(0).cast("bigint")))
+    rows = rows.withColumn("_back", F.explode(copies.cast("array<bigint>")))
+    rows = rows.withColumn("_at", F.col(order) - F.col("_back"))
+    aggs = [F.max_by(F.struct(*[c for c in df.columns if c not in keys]), "_at").alias("_last")]
+    for s in sensors:
+        aggs += [
+            F.min_by(s, "_at").alias(f"{s}_wfirst"),
+            F.avg(s).alias(f"{s}_wmean"),
+            F.stddev_samp(s).alias(f"{s}_wstd"),
+            F.regr_slope(F.col(s), F.col("_at").cast("double")).alias(f"{s}_wslope"),
+        ]
+    padded = rows.groupBy(*keys).agg(*aggs).select(*keys, "_last.*", *summary_columns(sensors))
+    return full.withColumn("padded", F.lit(False)).unionByName(padded.withColumn("padded", F.lit(True)))
 
 
 def summary_columns(sensors: Sequence[str]) -> list[str]:

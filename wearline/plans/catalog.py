@@ -16,13 +16,12 @@ from wearline.constants import FAILURE_HORIZON, RECALL_CUTOFF, SEQUENCE_LENGTH
 from wearline.functions.columns import feature_columns, round_doubles, sensor_columns
 from wearline.operators import compare, labels, metrics, profile, projections, rolling, sequences, splits
 from wearline.operators.scaling import fit_scaler, scale_features
-from wearline.session import materialize
-from wearline.sources import adapters, requests, text
+from wearline.session import materialize, shared_path
+from wearline.sources import adapters, requests, tables, text
 
 EV = ["sensor_2", "sensor_3"]          # kept sensors carried by tele_events
 PARTS = adapters.PART_SENSORS          # kept sensors carried by tele_parts
 EV_FEATS = feature_columns(EV)
-QUICK_ROUNDS = 20                      # boosting rounds in registered queries (library default 100)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,7 +55,10 @@ def _avg_life(train: DataFrame):
 
 def _formula_predictions(spark, d) -> DataFrame:
     """Validation rows with two formula predictions: a = avg_life - cycle, b = avg_life / 2."""
-    train, val = _split(spark, d)
+    return _formula_predictions_of(*_split(spark, d))
+
+
+def _formula_predictions_of(train: DataFrame, val: DataFrame) -> DataFrame:
     life = _avg_life(train)
     return val.select("unit", "cycle", "rul", (life - F.col("cycle")).alias("pred_a"), (F.lit(0.5) * life).alias("pred_b"))
 
@@ -157,8 +159,8 @@ def j1_label_rul(spark, d):
 
 def j2_align(spark, d):
     """Formula predictions aligned with the end rows of 30-cycle validation sequences."""
-    preds = _formula_predictions(spark, d).select("unit", "cycle", "pred_a")
-    _, val = _split(spark, d)
+    train, val = _split(spark, d)
+    preds = _formula_predictions_of(train, val).select("unit", "cycle", "pred_a")
     seq_ends = sequences.sequences(val, EV, SEQUENCE_LENGTH, short="skip").select("unit", "cycle", F.col("rul").alias("true_rul"))
     return round_doubles(compare.align(seq_ends, preds))
 
@@ -313,9 +315,9 @@ def m6_window_summaries(spark, d):
 # ---- sets ---------------------------------------------------------------------------------
 
 def u1_union_fleet(spark, d):
-    fleet = adapters.tele_fleet(spark, d)
-    parts = [fleet.filter(F.col("dataset") == t) for t in ("click", "error", "purchase", "signup", "view")]
-    return text.union_fleet(*parts)
+    """Two fleets from separate tables: units of ``events`` by type, and parts of ``lineitem``."""
+    parts = text.tag_dataset(adapters.tele_parts(spark, d).select("unit", "cycle", F.lit(None).cast("double").alias("sensor_1"), *EV), "parts")
+    return text.union_fleet(adapters.tele_fleet(spark, d), parts)
 
 
 def u2_split_overlap(spark, d):
@@ -355,11 +357,27 @@ def _prepared(spark, d):
     return prepare(_te(spark, d), EV)
 
 
+_FITTED: dict[tuple[str, str], tuple] = {}
+
+
+def _regressor(spark, d):
+    """The prepared splits and the fitted regressor of a folder: fitted and saved to the shared
+    folder by the first query of the session that needs it, loaded from there by the others."""
+    from wearline.plans.models import fit_regressor, load_model, save_model
+
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _FITTED:
+        p, path = _prepared(spark, d), shared_path(spark, "regressor")
+        save_model(fit_regressor(p.train, p.features), path)
+        _FITTED[key] = (p, path)
+    p, path = _FITTED[key]
+    return p, load_model(path)
+
+
 def m1_regressor_predictions(spark, d):
-    from wearline.plans.models import fit_regressor, predict_keyed
+    from wearline.plans.models import predict_keyed
 
-    p = _prepared(spark, d)
-    model = fit_regressor(p.train, p.features, rounds=QUICK_ROUNDS)
+    p, model = _regressor(spark, d)
     return predict_keyed(model, p.validation)
 
 
@@ -368,15 +386,13 @@ def m2_classifier_probabilities(spark, d):
 
     p = _prepared(spark, d)
     train = labels.label_fail_within(p.train, FAILURE_HORIZON)
-    model = fit_classifier(train, p.features, rounds=QUICK_ROUNDS)
-    return predict_proba(model, p.validation)
+    return predict_proba(fit_classifier(train, p.features), p.validation)
 
 
 def a21_importance(spark, d):
-    from wearline.plans.models import fit_regressor, importance
+    from wearline.plans.models import importance
 
-    p = _prepared(spark, d)
-    model = fit_regressor(p.train, p.features, rounds=QUICK_ROUNDS)
+    p, model = _regressor(spark, d)
     return importance(model, p.features, spark)
 
 
@@ -387,43 +403,88 @@ def o2_top_importance(spark, d):
 
 
 def m4_score_fleet(spark, d):
-    from wearline.plans.models import fit_regressor
     from wearline.plans.scoring import score_fleet
 
-    p = _prepared(spark, d)
-    model = fit_regressor(p.train, p.features, rounds=QUICK_ROUNDS)
-    return score_fleet(adapters.tele_fleet(spark, d), model, p.params, EV, ("dataset", "unit"))
+    p, model = _regressor(spark, d)
+    return score_fleet(adapters.tele_fleet(spark, d), model, p.scaler, EV, ("dataset", "unit"))
+
+
+def m4_scored_units(spark, d):
+    """What of M4 does not depend on the fit: the unit, its newest cycle, and that it is scored."""
+    scored = m4_score_fleet(spark, d)
+    return scored.select("dataset", "unit", "cycle", F.col("predicted_rul").isNotNull().alias("is_scored"))
 
 
 def m5_score_requests(spark, d):
-    from wearline.plans.models import fit_regressor
     from wearline.plans.scoring import score_requests
 
-    p = _prepared(spark, d)
-    model = fit_regressor(p.train, p.features, rounds=QUICK_ROUNDS)
-    return score_requests(adapters.request_records(spark, d), model, p.params, EV)
+    p, model = _regressor(spark, d)
+    return score_requests(adapters.request_records(spark, d), model, p.scaler, EV)
+
+
+def m5_scored_requests(spark, d):
+    """What of M5 does not depend on the fit: readings used, error, and whether it is scored."""
+    scored = m5_score_requests(spark, d)
+    return scored.select("request_id", "cycles_used", "error", F.col("predicted_rul").isNotNull().alias("is_scored"))
 
 
 def a20_model_comparison(spark, d):
     """Trees on rolling features vs the window-summary challenger, aligned and compared."""
     from wearline.plans.comparison import model_comparison
 
-    return round_doubles(model_comparison(adapters.tele_parts(spark, d), PARTS, SEQUENCE_LENGTH, rounds=QUICK_ROUNDS))
+    return round_doubles(model_comparison(adapters.tele_parts(spark, d), PARTS, SEQUENCE_LENGTH))
 
 
 def m6_challenger_predictions(spark, d):
     """Challenger on 30-cycle window summaries, early-stopped on held-out training units (M6 + M7)."""
-    from wearline.plans.models import fit_regressor, predict_keyed
+    from wearline.plans.comparison import challenger_predictions
 
-    ws = sequences.window_summaries(_parts_labelled(spark, d), PARTS, SEQUENCE_LENGTH)
-    feats = sequences.summary_columns(PARTS)
-    ws = ws.fillna(0.0, subset=feats)
-    tagged = splits.assign_split(ws)
-    train = tagged.filter(F.col("split") == splits.TRAIN).drop("split")
-    val = tagged.filter(F.col("split") == splits.VALIDATION).drop("split")
-    es = splits.assign_split(train, share=0.15, out="_es").withColumn("is_es", F.col("_es") == splits.VALIDATION).drop("_es")
-    model = fit_regressor(es, feats, rounds=QUICK_ROUNDS, validation="is_es")
-    return predict_keyed(model, val)
+    return challenger_predictions(adapters.tele_parts(spark, d), PARTS).select("unit", "cycle", "prediction")
+
+
+def m8_keyed_predictions(spark, d):
+    """What of M8 does not depend on the fit: the validation rows that carry a prediction."""
+    return m1_regressor_predictions(spark, d).select("unit", "cycle", F.col("prediction").isNotNull().alias("is_scored"))
+
+
+def a20_statistics(spark, d):
+    """A20 but for its p-values (tested apart) and what follows from them."""
+    return a20_comparison_summary(spark, d).drop("t_pvalue", "wilcoxon_pvalue", "significant")
+
+
+# ---- tables written and read back ------------------------------------------------------------
+
+def s2_read_fleet(spark, d):
+    """Text files of one fleet, one folder for each dataset, read by one scan."""
+    path = shared_path(spark, "fleet-text")
+    adapters.fleet_text(spark, d).write.partitionBy("folder").text(path)
+    return text.read_fleet(spark, path, pattern=r"folder=(\w+)").select("dataset", "unit", "cycle", "sensor_2", "sensor_3", "fleet_unit")
+
+
+def s3_s5_split_csv(spark, d):
+    """S5 as CSV, S3 back with its types: the validation rows."""
+    path = shared_path(spark, "split-csv")
+    tables.write_split(_tagged(spark, d), path, fmt="csv")
+    return tables.read_split(spark, path, "validation", fmt="csv").select("unit", "cycle", "rul", "sensor_2", "sensor_3")
+
+
+def s4_s6_predictions(spark, d):
+    path = shared_path(spark, "predictions")
+    tables.write_predictions(_formula_predictions(spark, d), path, pred="pred_a")
+    return round_doubles(tables.read_predictions(spark, path))
+
+
+def s7_scores(spark, d):
+    path = shared_path(spark, "scores")
+    newest = rolling.latest_per_unit(adapters.tele_fleet(spark, d), ["dataset", "unit"])
+    tables.write_scores(newest.withColumnRenamed("sensor_2", "prediction"), path)
+    return tables.read_scores(spark, path)
+
+
+def s10_scaler_table(spark, d):
+    path = shared_path(spark, "scaler")
+    tables.write_scaler(a8_fit_scaler(spark, d), path)
+    return tables.read_scaler(spark, path)
 
 
 QUERIES: dict[str, Query] = {
@@ -490,4 +551,13 @@ QUERIES: dict[str, Query] = {
     "m5_score_requests": m5_score_requests,
     "a20_model_comparison": a20_model_comparison,
     "m6_challenger_predictions": m6_challenger_predictions,
+    "m4_scored_units": m4_scored_units,
+    "m5_scored_requests": m5_scored_requests,
+    "m8_keyed_predictions": m8_keyed_predictions,
+    "a20_statistics": a20_statistics,
+    "s2_read_fleet": s2_read_fleet,
+    "s3_s5_split_csv": s3_s5_split_csv,
+    "s4_s6_predictions": s4_s6_predictions,
+    "s7_scores": s7_scores,
+    "s10_scaler_table": s10_scaler_table,
 }

@@ -18,7 +18,7 @@ from wearline.constants import (
     BOOTSTRAP_RESAMPLES, EARLY_STOP_SHARE, KEPT_SENSORS, SEED, SEQUENCE_LENGTH, TREE_ROUNDS, VALIDATION_SHARE,
 )
 from wearline.operators import compare, labels, projections, sequences, splits
-from wearline.plans.models import fit_regressor, predict_keyed
+from wearline.plans.models import fit_early_stopped, fit_regressor, predict_keyed
 from wearline.plans.training import prepare
 from wearline.session import materialize
 
@@ -32,18 +32,22 @@ def challenger_predictions(
     early_stop_share: float = EARLY_STOP_SHARE,
     seed: int = SEED,
 ) -> DataFrame:
-    """M6 + M7 + M8: challenger fitted on training units' full windows, predicting the
-    validation units' full windows; ``unit, cycle, rul, prediction``."""
-    summaries = sequences.window_summaries(labels.label_rul(df), sensors, n)
+    """M6 + M7 + M8: challenger fitted on training units' windows, predicting the validation
+    units' full windows; ``unit, cycle, rul, prediction``.
+
+    A training unit shorter than a window gives one window padded with its first row; a
+    validation unit shorter than a window is not predicted.
+    """
+    summaries = sequences.window_summaries(labels.label_rul(df), sensors, n, short="pad")
     feats = sequences.summary_columns(sensors)
     summaries = summaries.fillna(0.0, subset=feats)
     # read by the challenger's fit and by its validation predictions
     tagged = materialize(splits.assign_split(summaries, share, seed))
     train = tagged.filter(F.col("split") == splits.TRAIN).drop("split")
-    val = tagged.filter(F.col("split") == splits.VALIDATION).drop("split")
+    val = tagged.filter((F.col("split") == splits.VALIDATION) & ~F.col("padded")).drop("split")
     es = splits.assign_split(train, early_stop_share, seed, out="_es")
-    es = es.withColumn("_is_es", F.col("_es") == splits.VALIDATION).drop("_es")
-    model = fit_regressor(es, feats, rounds=rounds, seed=seed, validation="_is_es")
+    fit_on, held_out = (es.filter(F.col("_es") == s).drop("_es") for s in (splits.TRAIN, splits.VALIDATION))
+    model = fit_early_stopped(fit_on, held_out, feats, rounds=rounds, seed=seed)
     return model.transform(val).select("unit", "cycle", "rul", "prediction")
 
 

@@ -2,8 +2,8 @@
 
 Training is distributed by Spark ML itself (per-round histogram aggregation on executors).
 Boosting persists its instances itself (memory, spilling to disk) because it rescans them,
-and node-id caches are checkpointed to the cluster's shared ``spark.checkpoint.dir`` when one
-is set, which cuts lineage and lets a lost executor's work be recovered from storage.
+and node-id caches are checkpointed to the cluster's shared ``spark.checkpoint.dir``, which
+cuts lineage and lets a lost executor's work be recovered from storage.
 """
 
 from __future__ import annotations
@@ -17,17 +17,17 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wearline.constants import SEED, TREE_DEPTH, TREE_ROUNDS, TREE_STEP
+from wearline.constants import PATIENCE, SEED, TREE_DEPTH, TREE_ROUNDS, TREE_STEP
 from wearline.session import checkpoint_dir
 
 VECTOR = "features"
 
 
 def _tree_kwargs(df: DataFrame, rounds: int, depth: int, step: float, seed: int) -> dict:
-    kw = dict(maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed, featuresCol=VECTOR)
-    if checkpoint_dir(df.sparkSession):
-        kw.update(cacheNodeIds=True, checkpointInterval=10)
-    return kw
+    checkpoint_dir(df.sparkSession)
+    return dict(
+        maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed, featuresCol=VECTOR, cacheNodeIds=True, checkpointInterval=10
+    )
 
 
 def _fit(df: DataFrame, feats: Sequence[str], estimator) -> PipelineModel:
@@ -44,20 +44,44 @@ def fit_regressor(
     depth: int = TREE_DEPTH,
     step: float = TREE_STEP,
     seed: int = SEED,
-    validation: str | None = None,
-    validation_tol: float = 0.01,
 ) -> PipelineModel:
-    """M1 (and M7 with ``validation``): boosted regression trees on the feature columns.
+    """M1: boosted regression trees on the feature columns."""
+    est = GBTRegressor(labelCol=label, predictionCol="prediction", **_tree_kwargs(df, rounds, depth, step, seed))
+    return _fit(df, feats, est)
+
+
+def best_round(errors: Sequence[float], patience: int = PATIENCE) -> int:
+    """The round (from 1) with the least error before ``patience`` rounds pass without a better one."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def fit_early_stopped(
+    df: DataFrame,
+    held_out: DataFrame,
+    feats: Sequence[str],
+    label: str = "rul",
+    rounds: int = TREE_ROUNDS,
+    depth: int = TREE_DEPTH,
+    step: float = TREE_STEP,
+    seed: int = SEED,
+    patience: int = PATIENCE,
+) -> PipelineModel:
+    """M7: boosted regression trees, kept up to the best round on ``held_out`` rows.
 
-    ``validation`` names a boolean column marking held-out rows; Spark then stops adding
-    trees once the held-out error stops improving by ``validation_tol`` (a tolerance rule,
-    not a patience count).
+    All rounds are fitted once and the held-out error of each is read off; the seed makes the
+    first rounds of a second fit the same trees, so the best prefix is refitted with just them.
     """
-    kw = _tree_kwargs(df, rounds, depth, step, seed)
-    if validation:
-        kw.update(validationIndicatorCol=validation, validationTol=validation_tol)
-    est = GBTRegressor(labelCol=label, predictionCol="prediction", **kw)
-    return _fit(df, feats, est)
+    model = fit_regressor(df, feats, label, rounds, depth, step, seed)
+    vectors = model.stages[0].transform(held_out)
+    errors = model.stages[-1].evaluateEachIteration(vectors, "squared")
+    keep = best_round(errors, patience)
+    return model if keep == rounds else fit_regressor(df, feats, label, keep, depth, step, seed)
 
 
 def fit_classifier(

@@ -227,6 +227,10 @@ gp AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECE
 SELECT {R('sum(pos * (nb + 0.5 * neg)) / CASE WHEN sum(pos) * sum(neg) > 0 THEN sum(pos) * sum(neg) END')} AS roc_auc FROM gp"""
 
 
+def _a16_tail() -> str:
+    return "WITH " + _a16().split(f"{ER},\n", 1)[1]
+
+
 def _a16() -> str:
     return f"""{BASE},
 {FP},
@@ -264,9 +268,12 @@ bm AS (SELECT rep,
 
 def _w6_long(pad: bool) -> str:
     sens = ", ".join(f"r.{s}" for s in PARTS)
-    skip = f"""SELECT e.unit, e.cycle, e.rul, CAST(r.idx - e.idx + 30 AS BIGINT) AS step, {sens}
-FROM tpl e JOIN tpl r ON r.unit = e.unit AND r.idx BETWEEN e.idx - 29 AND e.idx
-WHERE e.idx >= 30"""
+    row = ", ".join(f"{s} := {s}" for s in PARTS)
+    out = ", ".join(f"w[k].{s} AS {s}" for s in PARTS)
+    skip = f"""SELECT unit, cycle, rul, CAST(k AS BIGINT) AS step, {out}
+FROM (SELECT unit, cycle, rul, idx, w, unnest(range(1, 31)) AS k
+      FROM (SELECT unit, cycle, rul, idx, list(struct_pack({row})) OVER (PARTITION BY unit ORDER BY idx ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS w FROM tpl)
+      WHERE idx >= 30)"""
     if not pad:
         return f"WITH {TE},\n{TP}\n{skip}"
     first = ", ".join(f"f.{s}" for s in PARTS)
@@ -329,7 +336,7 @@ def oracle_sql() -> dict[str, str]:
     q["s8_explode_requests"] = _s8()
     q["p17_validate_requests"] = _p17()
     q["p3_fleet_key"] = f"""WITH {TF}
-SELECT dataset, unit, cycle, concat_ws('_', dataset, CAST(CAST(unit AS INTEGER) AS VARCHAR)) AS fleet_unit FROM tf"""
+SELECT dataset, unit, cycle, concat_ws('_', dataset, CAST(unit AS VARCHAR)) AS fleet_unit FROM tf"""
     q["p2_tag_dataset"] = f"WITH {TE}\nSELECT unit, cycle, sensor_1, sensor_2, sensor_3, 'FD001' AS dataset FROM te"
     q["p6_sensor_columns"] = f"WITH {TE}\nSELECT unit, cycle, sensor_1, sensor_2, sensor_3 FROM te"
     feats = ", ".join(_feats(EV))
@@ -415,7 +422,12 @@ FROM rl WHERE rd = 1"""
     q["w7_sequences_pad"] = _w6_long(pad=True)
     q["w8_sequence_ids"] = f"WITH {TE},\n{TP}\nSELECT unit, cycle, rul FROM tpl WHERE idx >= 30"
     q["m6_window_summaries"] = _m6_summaries()
-    q["u1_union_fleet"] = f"WITH {TF}\nSELECT * FROM tf"
+    q["u1_union_fleet"] = f"""WITH {TF},
+{TE},
+{TP}
+SELECT dataset, unit, cycle, sensor_1, sensor_2, sensor_3 FROM tf
+UNION ALL
+SELECT 'parts', unit, cycle, NULL, sensor_2, sensor_3 FROM tpl"""
     q["u2_split_overlap"] = f"""{BASE}
 SELECT count(*) AS n_overlap FROM (SELECT unit FROM tr INTERSECT SELECT unit FROM va)"""
     q["d1_split_by_unit"] = f"WITH {TE},\n{split_cte('ut', 'te', 0.2)}\nSELECT unit, split FROM ut"
@@ -424,4 +436,24 @@ SELECT unit, CASE WHEN {unit_hash(['unit'], 15)} < {int(0.2 * 2**60)} THEN 'vali
 FROM (SELECT DISTINCT unit FROM te)"""
     q["d2_early_stop_split"] = f"{BASE},\n{split_cte('es', 'tr', 0.15)}\nSELECT unit, split FROM es"
     q["m5_request_features"] = _request_features()
+    q["m4_scored_units"] = f"WITH {TF}\nSELECT dataset, unit, max(cycle) AS cycle, true AS is_scored FROM tf GROUP BY ALL"
+    q["m5_scored_requests"] = f"""WITH {TE},
+{_request_rows()}
+SELECT CAST(unit AS VARCHAR) AS request_id, CAST(count(*) AS INTEGER) AS cycles_used, CAST(NULL AS VARCHAR) AS error, true AS is_scored
+FROM rq GROUP BY unit"""
+    q["m8_keyed_predictions"] = f"{BASE}\nSELECT unit, cycle, true AS is_scored FROM va"
+    q["s2_read_fleet"] = f"""WITH {TF}
+SELECT dataset, unit, cycle, sensor_2, sensor_3, concat_ws('_', dataset, CAST(unit AS VARCHAR)) AS fleet_unit FROM tf"""
+    q["s3_s5_split_csv"] = f"{BASE}\nSELECT unit, cycle, rul, sensor_2, sensor_3 FROM va"
+    q["s4_s6_predictions"] = f"{BASE},\n{FP}\nSELECT unit, cycle, {R('pred_a')} AS prediction FROM fp"
+    q["s7_scores"] = f"WITH {TF}\nSELECT dataset, unit, max(cycle) AS cycle, max_by(sensor_2, cycle) AS predicted_rul FROM tf GROUP BY dataset, unit"
+    q["s10_scaler_table"] = _a8()
+    q["a20_statistics"] = f"""{_boot_means()},
+ci AS (SELECT quantile_cont(mean, 0.025) AS lo, quantile_cont(mean, 0.975) AS hi FROM bm),
+tt AS (SELECT avg(err_a) AS mae_a, avg(err_b) AS mae_b, count(*) AS n_rows, avg(d) AS m, count(d) AS k, stddev_samp(d) AS s FROM er),
+wx AS ({_a16_tail()})
+SELECT {R('mae_a')} AS mae_a, {R('mae_b')} AS mae_b, n_rows, {R('m')} AS mean_diff, {R('m / (s / sqrt(k))')} AS t, k - 1 AS dof,
+       w AS wilcoxon_w, z AS wilcoxon_z, {R('lo')} AS ci_lower, {R('hi')} AS ci_upper,
+       CASE WHEN m < 0 THEN 'a' WHEN m > 0 THEN 'b' ELSE 'tie' END AS winner
+FROM tt, wx, ci"""
     return q

@@ -59,7 +59,7 @@ def _values(readings: str, sensor: str, n: int) -> Column:
 
 def _mean(vals: Column) -> Column:
     total = F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x)
-    return total / F.size(vals)
+    return F.try_divide(total, F.size(vals))
 
 
 def _std(vals: Column) -> Column:
@@ -75,7 +75,7 @@ def request_features(
     ``n`` readings; equal to W1/W2 at the last row of the same history."""
     cols: list[Column] = []
     for s in sensors:
-        cols.append(F.element_at(F.col(readings), -1)[s].alias(s))
+        cols.append(F.try_element_at(F.col(readings), F.lit(-1))[s].alias(s))
     for s in sensors:
         cols.append(_mean(_values(readings, s, n)).alias(mean_col(s)))
     for s in sensors:
@@ -96,13 +96,11 @@ def score_requests(
     with an ``error`` and no prediction, so one bad request never fails the batch or stream."""
     feats = feature_columns(sensors)
     checked = validate_requests(df.select(id_col, "recent_cycles"))
-    good = checked.filter(F.col("error").isNull())
-    bad = checked.filter(F.col("error").isNotNull())
-    feats_df = request_features(good, sensors, n)
-    scored = model.transform(scale_features(feats_df, params, feats, "before"))
-    ok = scored.select(id_col, F.col("prediction").alias("predicted_rul"), "cycles_used", F.col("error"))
-    rejected = bad.select(
-        id_col, F.lit(None).cast("double").alias("predicted_rul"),
-        F.coalesce(F.size("recent_cycles"), F.lit(0)).cast("int").alias("cycles_used"), "error",
+    # one pass: a rejected request is scored as an empty one and its prediction dropped
+    usable = F.when(F.col("error").isNull(), F.col("recent_cycles"))
+    rows = checked.select(id_col, "error", F.coalesce(F.size("recent_cycles"), F.lit(0)).alias("_sent"), usable.alias("recent_cycles"))
+    scored = model.transform(scale_features(request_features(rows, sensors, n).fillna(0.0, subset=feats), params, feats, "before"))
+    ok = F.col("error").isNull()
+    return scored.select(
+        id_col, F.when(ok, F.col("prediction")).alias("predicted_rul"), F.greatest("_sent", F.lit(0)).cast("int").alias("cycles_used"), "error"
     )
-    return ok.unionByName(rejected)

@@ -23,13 +23,7 @@ class Prepared:
     validation: DataFrame
     params: DataFrame
     features: list[str]
-    tagged: DataFrame | None = None
-
-    def release(self) -> None:
-        """Drop the persisted feature table once the models are fitted (checkpoint files are
-        cleaned by the cluster's checkpoint policy)."""
-        if self.tagged is not None:
-            self.tagged.unpersist()
+    scaler: dict[str, tuple[float | None, float]]
 
 
 def prepare(
@@ -52,18 +46,17 @@ def prepare(
     feats = feature_columns(sensors)
     rolled = rolling_features(label_rul(df, keys), sensors, n, keys)
     # Read by the scaler fit now and by both splits (boosting, scoring) later: written once.
-    # With a shared checkpoint folder this is a reliable checkpoint (lineage cut, survives a
-    # lost executor); without one the table is persisted and lost blocks are recomputed.
     tagged = materialize(assign_split(rolled, share, seed, keys))
     train = tagged.filter(F.col("split") == TRAIN).drop("split")
     val = tagged.filter(F.col("split") == VALIDATION).drop("split")
     fit_on = train.fillna(0.0, subset=feats) if impute == "before" else train
-    params = fit_scaler(fit_on, feats)
+    # fitted once: the table that is stored and the literals that scale are the same numbers
+    params = materialize(fit_scaler(fit_on, feats))
     lits = scaler_literals(params, feats)
     return Prepared(
         train=scale_features(train, lits, feats, impute),
         validation=scale_features(val, lits, feats, impute),
         params=params,
         features=feats,
-        tagged=tagged,
+        scaler=lits,
     )

@@ -2,47 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
+def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
     The context's own setting wins; otherwise the session conf is read and applied to the
     context, so ``DataFrame.checkpoint()`` and ML checkpointing write to the shared folder.
-    Nothing is invented here: if neither is set, ``None`` comes back and callers skip
-    checkpointing rather than writing to a machine-local folder.
+    A session on one machine gets a folder of its own where none is named. On a cluster a
+    missing folder, or one on each machine's own disk (``file:``), raises: executors would
+    not see what others wrote.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    return None
-
-
-def materialize(df: DataFrame, spread: bool = True) -> DataFrame:
-    """Write a frame that several later jobs read, once.
-
-    With a shared checkpoint folder this is a reliable ``checkpoint()``: lineage is cut and a
-    lost executor's share is read back from storage rather than recomputed. Without one the
-    frame is persisted (memory, then disk) and lost blocks are recomputed from lineage.
-    ``localCheckpoint`` is never used.
-
-    ``spread``: a checkpointed table with fewer partitions than the cluster has cores (AQE
-    merges the partitions of small results) is redistributed over every core, because its
-    readers (boosting rounds, model scoring) are CPU-bound. Large tables already have more
-    partitions than cores and are left as they are; the count of a checkpointed frame is
-    known without running a job.
+    folder = sc.getCheckpointDir()
+    if not folder:
+        folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+        if not folder and sc.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="wearline-checkpoint-", dir="/tmp")
+        if not folder:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder)
+        folder = sc.getCheckpointDir()
+    if folder.startswith("file:") and not sc.master.startswith("local"):
+        raise ValueError(f"spark.checkpoint.dir is on each machine's own disk: {folder}")
+    return folder
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a frame that several later jobs read, once: a reliable ``checkpoint()``.
+
+    Lineage is cut and a lost executor's share is read back from storage rather than
+    recomputed. ``localCheckpoint`` is never used, and the frame keeps its partitioning, so
+    what is fitted on it does not depend on the size of the cluster.
     """
-    if checkpoint_dir(df.sparkSession):
-        out = df.checkpoint(eager=True)
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if spread and out.rdd.getNumPartitions() < cores:
-            out = out.repartition(cores)
-        return out
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

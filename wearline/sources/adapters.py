@@ -89,6 +89,13 @@ def tele_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return te.select(F.concat(lead, *fields, trail).alias("value"))
 
 
+def fleet_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``tele_fleet`` as text lines, with the folder that each line belongs to."""
+    fleet = tele_fleet(spark, sf_dir)
+    fields = [F.col(n).cast("string") if n in fleet.columns else F.lit("NaN") for n in TELEMETRY_COLUMNS]
+    return fleet.select(F.concat_ws("  ", *fields).alias("value"), F.col("dataset").alias("folder"))
+
+
 def request_records(spark: SparkSession, sf_dir: str, k: int = 5) -> DataFrame:
     """One scoring request per ``tele_events`` unit: its newest ``k`` readings, oldest first.
 

@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: A scaler table with more rows than this is not one.
+MAX_FEATURES = 100_000
+
 PREDICTIONS = T.StructType([
     T.StructField("unit", T.LongType()), T.StructField("cycle", T.LongType()), T.StructField("prediction", T.DoubleType()),
 ])
@@ -19,6 +22,13 @@ SCORES = T.StructType([
     T.StructField("dataset", T.StringType()), T.StructField("unit", T.LongType()),
     T.StructField("cycle", T.LongType()), T.StructField("predicted_rul", T.DoubleType()),
 ])
+def split_schema(columns: Sequence[str], split: str = "split") -> T.StructType:
+    """Types of a split's columns: keys and target whole numbers, tags text, all else double."""
+    whole, words = {"unit", "cycle", "rul", "max_cycle"}, {"dataset", "fleet_unit", split}
+    kind = lambda c: T.LongType() if c in whole else T.StringType() if c in words else T.DoubleType()
+    return T.StructType([T.StructField(c, kind(c)) for c in columns])
+
+
 SCALER = T.StructType([
     T.StructField("feature", T.StringType()), T.StructField("pos", T.IntegerType()),
     T.StructField("mean", T.DoubleType()), T.StructField("scale", T.DoubleType()),
@@ -43,7 +53,13 @@ def write_split(df: DataFrame, path: str, split: str = "split", fmt: str = "parq
 
 
 def read_split(spark: SparkSession, path: str, which: str | None = None, schema: T.StructType | None = None, fmt: str = "parquet") -> DataFrame:
-    """S3: a written split; ``which`` becomes a partition filter."""
+    """S3: a written split; ``which`` becomes a partition filter.
+
+    CSV carries no types: without a ``schema`` the header names the columns and
+    :func:`split_schema` gives their types.
+    """
+    if schema is None and fmt == "csv":
+        schema = split_schema(spark.read.option("header", True).csv(path).columns)
     df = _reader(spark, schema, fmt).load(path)
     return df if which is None else df.filter(F.col("split") == which)
 
@@ -96,4 +112,7 @@ def read_scaler(spark: SparkSession, path: str) -> DataFrame:
 
 def feature_order(params: DataFrame) -> list[str]:
     """The stored feature order (one row per feature, a proven bound)."""
-    return [r["feature"] for r in params.select("feature", "pos").orderBy("pos").collect()]
+    rows = params.select("feature", "pos").orderBy("pos").limit(MAX_FEATURES + 1).collect()
+    if len(rows) > MAX_FEATURES:
+        raise ValueError(f"a scaler table of more than {MAX_FEATURES} features")
+    return [r["feature"] for r in rows]

@@ -13,6 +13,14 @@ from wearline.functions.columns import as_list
 KEY_COLUMNS = ["unit", "cycle"]
 
 
+# A number as text: no suffix for a type, as Spark's cast would take ("1.0d", "2f").
+NUMBER = r"^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|[nN][aA][nN]|[iI]nf(?:inity)?)$"
+
+
+def _number(token: Column) -> Column:
+    return F.when(token.rlike(NUMBER), token.try_cast("double"))
+
+
 def parse_lines(lines: DataFrame, value: str = "value", keep: Iterable[str] = ()) -> DataFrame:
     """Parse every non-blank line; a NULL ``error`` marks a good row.
 
@@ -34,7 +42,7 @@ def parse_lines(lines: DataFrame, value: str = "value", keep: Iterable[str] = ()
     staged = staged.select(
         *keep, "_line", F.size("_tok").alias("_n"),
         *[F.get(F.col("_tok"), i).isNotNull().alias(f"_p{i}") for i in range(n)],
-        *[F.get(F.col("_tok"), i).try_cast("double").alias(f"_d{i}") for i in range(n)],
+        *[_number(F.get(F.col("_tok"), i)).alias(f"_d{i}") for i in range(n)],
     )
     fields: list[Column] = []
     any_bad = F.lit(False)
@@ -47,6 +55,7 @@ def parse_lines(lines: DataFrame, value: str = "value", keep: Iterable[str] = ()
             # "nan" is a number; any other token that fails to cast is not
             any_bad = any_bad | (F.col(f"_p{i}") & d.isNull())
     key_bad = F.lit(False)
+    # whole keys beyond bigint are no keys either
     for i in (0, 1):
         d = F.col(f"_d{i}")
         key_bad = key_bad | d.isNull() | (d != F.floor(d))
@@ -75,7 +84,7 @@ def malformed_lines(lines: DataFrame, value: str = "value", keep: Iterable[str]
 def fleet_key(df: DataFrame, dataset: str = "dataset", unit: str = "unit", out: str = "fleet_unit") -> DataFrame:
     """``<dataset>_<unit>``; rows without a unit are dropped first so they cannot collide."""
     df = df.filter(F.col(unit).isNotNull() & F.col(dataset).isNotNull())
-    return df.withColumn(out, F.concat_ws("_", F.col(dataset), F.col(unit).cast("int").cast("string")))
+    return df.withColumn(out, F.concat_ws("_", F.col(dataset), F.col(unit).cast("bigint").cast("string")))
 
 
 def tag_dataset(df: DataFrame, tag: str, out: str = "dataset") -> DataFrame:
@@ -87,15 +96,33 @@ def read_fleet(spark: SparkSession, paths: str | list[str], pattern: str = r"(FD
     """One text scan over every file; the dataset tag comes from each file's name.
 
     Replaces one read per file plus a chain of unions; the tag is ``pattern`` found in the
-    file's name, or else in its path (for datasets laid out as folders of part files).
+    file's name, or else in its path (for datasets laid out as folders of part files), or else
+    the file's name without its extension, so units of different files never merge.
+    """
+    parsed = parse_telemetry(fleet_lines(spark, paths, pattern), keep=["dataset"])
+    return fleet_key(parsed.select(*TELEMETRY_COLUMNS, "dataset"))
+
+
+def fleet_lines(spark: SparkSession, paths: str | list[str], pattern: str = r"(FD\d+)") -> DataFrame:
+    """``value, dataset``: the lines of every file with their dataset's tag."""
+    found = [F.nullif(F.regexp_extract(F.col(f"_metadata.{c}"), pattern, 1), F.lit("")) for c in ("file_name", "file_path")]
+    stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
+    return spark.read.text(paths).select("value", F.coalesce(*found, stem).alias("dataset"))
+
+
+def land_lines(lines: DataFrame, good_path: str, bad_path: str, keep: Iterable[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Parse once: good rows and quarantined lines as Parquet, both read back.
+
+    One job parses every line and writes the table, partitioned by whether the line is good;
+    whatever reads the telemetry afterwards reads columns and never parses text again.
     """
-    in_name = F.regexp_extract(F.col("_metadata.file_name"), pattern, 1)
-    in_path = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
-    tag = F.when(in_name != "", in_name).otherwise(in_path)
-    raw = spark.read.text(paths).select("value", tag.alias("dataset"))
-    parsed = parse_telemetry(raw, keep=["dataset"])
-    parsed = parsed.select(*TELEMETRY_COLUMNS, "dataset")
-    return fleet_key(parsed)
+    spark = lines.sparkSession
+    parsed = parse_lines(lines, keep=keep).withColumn("good", F.col("error").isNull())
+    parsed.write.partitionBy("good").parquet(good_path)
+    whole = spark.read.schema(parsed.schema).parquet(good_path)
+    bad = whole.filter("NOT good").select(*as_list(keep), "line", "error")
+    bad.write.parquet(bad_path)
+    return whole.filter("good").drop("good", "error", "line"), spark.read.schema(bad.schema).parquet(bad_path)
 
 
 def read_telemetry(spark: SparkSession, paths: str | list[str]) -> DataFrame:
