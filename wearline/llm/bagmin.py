@@ -106,3 +106,37 @@ def similarities(left: np.ndarray, left_at: np.ndarray, right: np.ndarray, right
     return np.where(total > 0, both / np.maximum(total - both, 1), 0.0)
 
 
+
+
+def linked(data: np.ndarray, offsets: np.ndarray, group: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Links that join the texts of at least that exact similarity; all pairs are looked at.
+
+    ``group`` numbers what is joined already. Returns a spanning forest: as few links as join
+    whatever is to be joined.
+    """
+    shingle, row, weight = bags(*shingles(data, offsets))
+    n = len(offsets) - 1
+    total = np.bincount(row, weight, n)
+    # a shingle that occurs w times stands for w elements: sets of them overlap as the multisets do
+    turn = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
+    element, row = mix64(np.repeat(shingle, weight) + turn.astype(np.uint64) * _STEP), np.repeat(row, weight)
+    _, number, times = np.unique(element, return_inverse=True, return_counts=True)
+    shared = times[number] > 1
+    number, row = number[shared], row[shared]
+    both = np.zeros((n, n), np.float32)
+    if len(number):
+        _, number = np.unique(number, return_inverse=True)
+        order = np.argsort(number, kind="stable")
+        number, row = number[order], row[order]
+        for first in range(0, number[-1] + 1, 4096):
+            a, b = np.searchsorted(number, (first, first + 4096))
+            held = np.zeros((n, 4096), np.float32)
+            held[row[a:b], number[a:b] - first] = 1
+            both += held @ held.T
+    near = (both >= similarity * (total[:, None] + total[None, :] - both)) & (both > 0)
+    out, label = [], group.copy()
+    for i, j in zip(*np.nonzero(np.triu(near, 1) & (group[:, None] != group[None, :])), strict=True):
+        if label[i] != label[j]:
+            out.append((int(i), int(j)))
+            label[label == label[j]] = label[i]
+    return out

@@ -3,11 +3,13 @@
 1. One pass gives every row its text's digest and 24 band keys of four components. Equal texts
    are one text from here on. Two texts with a weighted Jaccard similarity of 0.8 share no band
    with a probability of (1 - 0.8**4)**24 = 3e-6.
-2. Texts that share a band key form a bucket. In rounds, a few members of each bucket (its
-   leaders) are compared exactly with all members of other components, whose links are then
-   joined to components; a leader that has been compared is done with. A bucket ends when one
-   component or one member is left, so no link between components is lost, while a bucket of n
-   copies takes n comparisons and not n squared.
+2. Texts that share a band key form a bucket. First the bucket's smallest text is compared
+   exactly with each other text of it, and the links found are joined to components; so a bucket
+   of n copies takes n comparisons and not n squared. Buckets that still hold several components
+   are then compared in whole: cut into blocks of about ``BLOCK_BYTES``, every pair of blocks is
+   a tile of its own that one task takes, which compares all pairs of its texts by a product of
+   matrices and hands on only the links that join components. No link is lost, no task holds
+   more than two blocks, and no more rows leave a tile than texts enter it.
 3. A class is a component of texts; its id is the smallest ``doc_id`` in it.
 
 Words are runs of ASCII letters and digits and of all characters beyond ASCII, in ASCII lower
@@ -26,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearline.llm import bagmin
@@ -34,8 +36,8 @@ from wearline.llm.common import blocks, land, no_key_clash, table, text_bytes
 from wearline.llm.components import components
 
 SIMILARITY = 0.8
-#: Members of a bucket that are compared with all others in one round.
-LEADERS = 2
+#: Bytes of a bucket's texts in one block of a tile, about.
+BLOCK_BYTES = 1_000_000
 
 
 def digest_of(text):
@@ -74,7 +76,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(run, "a binary, b binary")
 
 
-def text_components(docs: DataFrame, rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def text_components(docs: DataFrame, rows: DataFrame, similarity: float = SIMILARITY, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """node, component over the digests that have a near duplicate of another text."""
     texts = rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
     placed = texts.select("digest", "doc_id", F.explode("bands").alias("band"))
@@ -84,36 +86,47 @@ def text_components(docs: DataFrame, rows: DataFrame, similarity: float = SIMILA
     wanted = members.select("digest", "doc_id").distinct()
     have = docs.select(F.col("doc_id").alias("id"), digest_of(F.col("text")).alias("digest"), F.coalesce("text", F.lit("")).alias("text"))
     found = have.join(wanted, "digest").filter(F.col("id").eqNullSafe(F.col("doc_id"))).select("digest", "text")
-    texts = land(found.dropDuplicates(["digest"]), "bucket-texts")
-
-    members, links, classes, done = members.select("band", "digest"), None, None, None
-    while True:
-        if classes is None:
-            open_ = members.withColumn("component", F.col("digest"))
-        else:
-            named = members.join(classes.withColumnRenamed("node", "digest"), "digest", "left")
-            open_ = named.select("band", "digest", F.coalesce("component", "digest").alias("component"))
-        mixed = open_.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-        open_ = land(open_.join(mixed.select("band"), "band"), "open-buckets")
-        if open_.isEmpty():
-            break
-        first = Window.partitionBy("band").orderBy("digest")
-        leaders = land(open_.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= LEADERS), "leaders")
-        pairs = (
-            open_.join(leaders.select("band", F.col("digest").alias("a"), F.col("component").alias("of")), "band")
-            .filter("a < digest AND of <> component")
-            .select("a", F.col("digest").alias("b"))
-            .distinct()
+    texts = land(found.dropDuplicates(["digest"]).withColumn("bytes", F.octet_length("text").cast("long")), "bucket-texts")
+
+    members = members.select("band", "digest")
+    leaders = members.groupBy("band").agg(F.min("digest").alias("a"))
+    pairs = land(members.join(leaders, "band").filter("a <> digest").select("a", F.col("digest").alias("b")).distinct(), "pairs")
+    links = land(verified(pairs, texts, similarity), "links")
+    found = components(links)
+
+    named = members.join(found.withColumnRenamed("node", "digest"), "digest", "left").join(texts.select("digest", "bytes"), "digest")
+    named = land(named.select("band", "digest", "bytes", F.coalesce("component", "digest").alias("component")), "named")
+    # a bucket of two unjoined texts has been compared already
+    mixed = named.groupBy("band").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"), F.sum("bytes").alias("bytes")
+    )
+    blocks_of = F.greatest(F.lit(1), F.ceil(F.col("bytes") / F.lit(block_bytes))).cast("int")
+    mixed = mixed.filter("low <> high AND n > 2").select("band", blocks_of.alias("blocks"))
+    more = land(tiles(named.join(mixed, "band"), texts, similarity), "links")
+    return components(links.unionByName(more))
+
+
+def tiles(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """a, b: links between components, from every pair of blocks of each bucket.
+
+    ``members`` has band, digest, component and the number of the bucket's blocks.
+    """
+
+    def run(t: pa.Table) -> pa.Table:
+        digest, component = (t.column(c).to_pylist() for c in ("digest", "component"))
+        number = {c: i for i, c in enumerate(sorted(set(component)))}
+        group = np.array([number[c] for c in component])
+        found = bagmin.linked(*text_bytes(t.column("text").combine_chunks()), group, similarity) if len(number) > 1 else []
+        return pa.table(
+            {"a": pa.array([digest[i] for i, _ in found], pa.binary()), "b": pa.array([digest[j] for _, j in found], pa.binary())}
         )
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = land(pairs, "pairs")
-        done = pairs if done is None else done.unionByName(pairs)
-        new = land(verified(pairs, texts, similarity), "links")
-        links = new if links is None else links.unionByName(new)
-        classes = components(links)
-        members = open_.select("band", "digest").join(leaders.select("band", "digest"), ["band", "digest"], "left_anti")
-    return classes if classes is not None else rows.select(F.col("digest").alias("node"), F.col("digest").alias("component")).limit(0)
+
+    own = F.pmod(F.hash("digest"), F.col("blocks"))
+    placed = members.withColumn("own", own).select(
+        "band", "digest", "component", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    )
+    placed = placed.select("band", "digest", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    return placed.join(texts.select("digest", "text"), "digest").groupBy("band", "i", "j").applyInArrow(run, "a binary, b binary")
 
 
 def _classes(docs: DataFrame, similarity: float) -> DataFrame:
