@@ -45,7 +45,7 @@ def duck(sf_small):
 @pytest.mark.parametrize("name", sorted(set(oracle_sql())))
 def test_query_has_the_rows_and_columns_of_its_sql(spark, sf_small, duck, name):
     df = QUERIES[name](spark, sf_small)
-    expected = duck.execute(oracle_sql()[name]).fetch_arrow_table()
+    expected = duck.execute(oracle_sql()[name]).to_arrow_table()
     assert sorted(df.columns) == sorted(expected.column_names)
     assert df.count() == expected.num_rows
 
