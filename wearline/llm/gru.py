@@ -92,6 +92,11 @@ def log_odds(counts: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return np.log(pos + 2) - np.log(neg + 2)
 
 
+def add_rows(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Sum of the values that fall on each row."""
+    return np.stack([np.bincount(rows, column, size) for column in values.T], axis=1).astype(values.dtype)
+
+
 class BiGRU:
     def __init__(self, seed: int = 7) -> None:
         rng = np.random.default_rng(seed)
@@ -199,7 +204,7 @@ class BiGRU:
         h = HIDDEN
         u, x_name = self.p["h" + name], "x" + name
         d_state = np.zeros_like(grad_states[0])
-        d_proj = np.zeros((len(vectors), 3 * h), np.float32)
+        parts = []
         for t, before, r, z, new, gh in reversed(cache):
             d_state = d_state + grad_states[t]
             live = (t < lens)[:, None]
@@ -209,10 +214,11 @@ class BiGRU:
             d_r = d_new * gh * r * (1 - r)
             d_x = np.concatenate((d_r, d_z, d_new), axis=1)
             d_g = np.concatenate((d_r, d_z, d_new * r), axis=1)
-            np.add.at(d_proj, places[:, t], d_x)
+            parts.append((places[:, t], d_x))
             grads["h" + name] += before.T @ d_g
             grads["b" + name] += d_x.sum(0)
             d_state = np.where(live, d * z + d_g @ u.T, d_state)
+        d_proj = add_rows(np.concatenate([p for p, _ in parts]), np.concatenate([d for _, d in parts]), len(vectors))
         grads[x_name] += vectors.T @ d_proj
         return d_proj @ self.p[x_name].T
 
@@ -243,9 +249,9 @@ class BiGRU:
         d_vec = d_vec + self._back("b", cb, d_sb, vectors, places, lens, grads)
         if len(block.word):
             d_word = d_vec[:, :WORD_DIM] if self.dropped is None else d_vec[:, :WORD_DIM] * ~self.dropped[block.word][:, None]
-            np.add.at(grads["word"], block.word, d_word)
+            grads["word"] += add_rows(block.word, d_word, 1 << WORD_BITS)
             n = np.diff(block.gram_at)
-            np.add.at(grads["gram"], block.gram, np.repeat(d_vec[:, WORD_DIM:] / np.sqrt(n)[:, None], n, axis=0))
+            grads["gram"] += add_rows(block.gram, np.repeat(d_vec[:, WORD_DIM:] / np.sqrt(n)[:, None], n, axis=0), 1 << GRAM_BITS)
         return loss, grads
 
     def fit(self, batches: list[tuple[Block, np.ndarray]], weight_of: tuple[float, float], epochs: int, rate: float = 0.01) -> list[float]:
