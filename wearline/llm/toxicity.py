@@ -70,19 +70,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> BiGRU | float:
     return model
 
 
-def with_score(docs: DataFrame, model: BiGRU | float) -> DataFrame:
-    """``docs`` and a column of scores."""
-    docs = no_key_clash(docs, SCORE)
+def with_score(docs: DataFrame, model: BiGRU | float, name: str = SCORE) -> DataFrame:
+    """``docs`` and a column of scores; a column of that name is replaced."""
+    docs = no_key_clash(docs, name)
     if isinstance(model, float):
-        return docs.withColumn(SCORE, F.lit(model))
+        return docs.withColumn(name, F.lit(model))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     text_at = docs.columns.index("text")
-    schema = T.StructType([*docs.schema.fields, T.StructField(SCORE, T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             scores = np.round(shared.value.score(read_block(*text_bytes(block.column(text_at)))), 6)
-            yield pa.RecordBatch.from_arrays([*block.columns, pa.array(scores, pa.float64())], names=[*block.schema.names, SCORE])
+            yield pa.RecordBatch.from_arrays([*block.columns, pa.array(scores, pa.float64())], names=[*block.schema.names, name])
 
     return docs.mapInArrow(run, schema)
 
@@ -100,7 +100,10 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that score below ``threshold``, every column kept."""
-    return with_score(docs, fit(docs, labels)).filter(F.col(SCORE) < threshold).select(*docs.columns)
+    name = SCORE
+    while name in docs.columns:
+        name += "_"
+    return with_score(docs, fit(docs, labels), name).filter(F.col(name) < threshold).select(*docs.columns)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
