@@ -42,6 +42,8 @@ SHARD_BYTES = 32_000_000  # of payload
 ROLL_BYTES = 8_000_000  # compressed
 #: Ids in the sample that the shards are cut by, about.
 SAMPLE_IDS = 20_000
+#: Repeated payloads that are sent to every task, at most (about 60 bytes each).
+BROADCAST_ROWS = 300_000
 #: Time stamp of all records, so that equal tables give equal archives.
 DATE = "2024-01-01T00:00:00Z"
 LEVEL = 4
@@ -225,6 +227,9 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES
     built = pages.select("page_id", "url", "html").mapInArrow(
         build, f"shard int, page_id {id_type}, url string, size bigint, digest string, member binary"
     )
+    if twins.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        # a checked size: the records need not be shuffled to meet it; a larger table is joined by shuffle
+        twins = F.broadcast(twins)
     # a revisit carries no payload from here on
     again = F.col("original").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") < F.col("original")))
     typed = built.join(twins, "digest", "left").select(
