@@ -6,7 +6,8 @@
 2. Texts that share a band key form a bucket. First the bucket's smallest text is compared
    exactly with each other text of it, and the links found are joined to components; so a bucket
    of n copies takes n comparisons and not n squared. Buckets that still hold several components
-   are then compared in whole: cut into blocks of about ``BLOCK_BYTES``, every pair of blocks is
+   are then compared in whole: cut into blocks of about ``BLOCK_BYTES`` or
+   ``BLOCK_TEXTS``, every pair of blocks is
    a tile of its own that one task takes, which compares all pairs of its texts by a product of
    matrices and hands on only the links that join components. No link is lost, no task holds
    more than two blocks, and no more rows leave a tile than texts enter it.
@@ -36,8 +37,8 @@ from wearline.llm.common import blocks, land, no_key_clash, table, text_bytes
 from wearline.llm.components import components
 
 SIMILARITY = 0.8
-#: Bytes of a bucket's texts in one block of a tile, about.
-BLOCK_BYTES = 1_000_000
+#: Bytes of a bucket's texts, and texts, in one block of a tile, about.
+BLOCK_BYTES, BLOCK_TEXTS = 500_000, 500
 
 
 def digest_of(text):
@@ -100,7 +101,7 @@ def text_components(docs: DataFrame, rows: DataFrame, similarity: float = SIMILA
     mixed = named.groupBy("band").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"), F.sum("bytes").alias("bytes")
     )
-    blocks_of = F.greatest(F.lit(1), F.ceil(F.col("bytes") / F.lit(block_bytes))).cast("int")
+    blocks_of = F.greatest(F.lit(1), F.ceil(F.col("bytes") / F.lit(block_bytes)), F.ceil(F.col("n") / F.lit(BLOCK_TEXTS))).cast("int")
     mixed = mixed.filter("low <> high AND n > 2").select("band", blocks_of.alias("blocks"))
     more = land(tiles(named.join(mixed, "band"), texts, similarity), "links")
     return components(links.unionByName(more))

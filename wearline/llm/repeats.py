@@ -37,7 +37,7 @@ LENGTH, GRAM = 400, 200
 #: Segments of one anchor that one task indexes; beyond, windows are counted by a shuffle.
 HOT = 5_000
 #: Bytes of segments in one index (whole anchors).
-INDEX_BYTES = 3_000_000
+INDEX_BYTES = 1_500_000
 #: A longer text is anchored in parts, each with windows of its own.
 PART_BYTES = 16_000_000
 _POSITION_BITS = 26
