@@ -103,3 +103,14 @@ def test_pieces_and_sequences(spark, scratch):
 
 def test_empty_table(spark, scratch):
     assert packing.op10_bin_completion(spark, write(scratch, documents=[])).count() == 0
+
+
+def test_solver_with_thousands_of_tiny_pieces():
+    rng = np.random.default_rng(5)
+    k, n = np.unique(rng.integers(1, 1025, 3000), return_counts=True)
+    for tiny in ({1: 50_000}, {1: 7, 2: 90_000}, {1: 40_000, 2: 1, 3: 700}):
+        counts = dict(zip(k.tolist(), n.tolist(), strict=True)) | tiny
+        patterns = packing.solve(counts, nodes=30)
+        assert _used(patterns) == counts and all(sum(i) <= 1024 for _, i in patterns)
+        assert sum(n for n, _ in patterns) <= packing.lower_bound(counts, 1024) + 2
+    assert sum(n for n, _ in packing.solve({1: 5000})) == 5

@@ -68,32 +68,32 @@ def _take(counts: dict[int, int], items: tuple[int, ...], times: int) -> dict[in
     return left
 
 
+def _greedy(counts: dict[int, int], capacity: int) -> tuple[int, ...]:
+    items, room = [], capacity
+    for k in sorted(counts, reverse=True):
+        fit = min(counts[k], room // k)
+        items += [k] * fit
+        room -= k * fit
+    return tuple(items)
+
+
 def first_fit(counts: dict[int, int], capacity: int) -> list[Pattern]:
     """Each sequence takes the largest piece that fits, again and again."""
     left, out = dict(counts), []
     while left:
-        items, room, here = [], capacity, dict(left)
-        while fit := [k for k in here if k <= room]:
-            k = max(fit)
-            items.append(k)
-            room -= k
-            here = _take(here, (k,), 1)
-        times = _times(tuple(items), left)
-        out.append((times, tuple(items)))
-        left = _take(left, tuple(items), times)
+        items = _greedy(left, capacity)
+        times = _times(items, left)
+        out.append((times, items))
+        left = _take(left, items, times)
     return out
 
 
 def _dominated(filling: tuple[int, ...], waste: int, lengths: list[int], counts: dict[int, int]) -> bool:
     """A free longer piece could stand for one piece, or for two, without more room."""
-    for x in lengths:
-        if counts[x] <= filling.count(x):
-            continue
-        if any(y < x <= y + waste for y in filling):
-            return True
-        if any(filling[i] + filling[j] <= x <= filling[i] + filling[j] + waste for i in range(len(filling)) for j in range(i)):
-            return True
-    return False
+    used = {y: filling.count(y) for y in set(filling)}
+    pairs = {a + b for a in used for b in used if a < b} | {2 * a for a, n in used.items() if n > 1}
+    better = {y + i for y in used for i in range(1, waste + 1)} | {p + i for p in pairs for i in range(waste + 1)}
+    return any(x in better and counts[x] > used.get(x, 0) for x in lengths)
 
 
 def fillings(counts: dict[int, int], room: int, slack: int) -> list[tuple[int, ...]]:
@@ -115,25 +115,26 @@ def fillings(counts: dict[int, int], room: int, slack: int) -> list[tuple[int, .
         reach[i] = bits
     found, steps = [], 0
 
-    def walk(i: int, left: int, chosen: tuple[int, ...], waste: int) -> None:
-        """Fillings that waste exactly ``waste``."""
+    def walk(waste: int) -> None:
+        """Fillings that waste exactly ``waste``, those of longer pieces first."""
         nonlocal steps
-        if left == waste:
-            found.append(chosen)
-            return
-        while i < len(lengths) and len(found) < FILLINGS and steps < STEPS:
+        stack: list[tuple[int, int, tuple[tuple[int, int], ...]]] = [(0, room, ())]
+        while stack and len(found) < FILLINGS and steps < STEPS:
+            i, left, chosen = stack.pop()
+            if left == waste:
+                found.append(tuple(k for k, n in chosen for _ in range(n)))
+                continue
             steps += 1
-            if not reach[i] >> (left - waste) & 1:
-                return
+            if i == len(lengths) or not reach[i] >> (left - waste) & 1:
+                continue
             k = lengths[i]
-            if k <= left - waste and chosen.count(k) < counts[k]:
-                walk(i, left - k, (*chosen, k), waste)
-            i += 1
+            for n in range(min(counts[k], (left - waste) // k) + 1):
+                stack.append((i + 1, left - k * n, (*chosen, (k, n)) if n else chosen))
 
     for waste in range(min(slack, room) + 1):
         if reach[0] >> (room - waste) & 1:
             before = len(found)
-            walk(0, room, (), waste)
+            walk(waste)
             found[before:] = [f for f in found[before:] if not _dominated(f, waste, lengths, counts)] or found[before : before + 1]
         if len(found) >= FILLINGS or steps >= STEPS:
             break
@@ -164,7 +165,8 @@ def solve(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES)
     # incumbent: complete each largest piece with the least waste, whatever it adds up to
     left, least_waste = counts, []
     while left:
-        items = next(_options(left, capacity, capacity))
+        # the enumeration may end, by its steps, before its first filling
+        items = next(_options(left, capacity, capacity), None) or _greedy(left, capacity)
         times = _times(items, left)
         least_waste.append((times, items))
         left = _take(left, items, times)
