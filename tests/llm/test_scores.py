@@ -70,6 +70,25 @@ def test_lm_scores_equal_the_rules(spark, scratch):
             assert r.score == pytest.approx(_slow_ppm([_lower(t).encode() for t in train], _lower(text).encode()), abs=1e-4)
 
 
+@pytest.mark.parametrize("bits", [22, 4])
+def test_rare_strings_count_in_large_tables(spark, scratch, monkeypatch, bits):
+    monkeypatch.setattr(lm_score, "GRAM_BITS", bits, raising=False)
+    rnd = random.Random(2)
+    texts = ["".join(rnd.choice("abcd ") for _ in range(rnd.randint(0, 60))) for _ in range(60)]
+    table = docs("x y " * 300_000, *texts, texts[5] + texts[6], "unseen: ÿ", None, ids=[*range(63), None])
+    assert _fold(0, 7) != 2 and any(_fold(i, 7) == 2 for i in range(61))
+    own = lambda s: text_bytes(pa.array([_lower(s)]))
+    code, times = ppm.count_codes(np.concatenate([ppm.codes(*own(r[1]))[0] for r in table if _fold(r[0], 7) != 2]))
+    nodes = []
+    for j in range(1, ppm.ORDER + 2):
+        kept, at = np.unique(code & np.uint64(256**j - 1), return_inverse=True)
+        nodes.append((kept, np.bincount(at, times).astype(np.int64)))
+    trie = ppm.Trie(nodes)
+    got = {r.doc_id: r.score for r in lm_score.op6_ppm_score(spark, write(scratch, documents=table)).collect()}
+    for i, text, *_ in table:
+        assert got[i] == pytest.approx(trie.slow(ppm.codes(*own(text))[0]).sum(), abs=1e-5)
+
+
 def test_byte_probabilities_add_up_to_one():
     rng = np.random.default_rng(3)
     data = rng.choice(np.frombuffer(b"abcd ", np.uint8), 4000, p=[0.5, 0.2, 0.1, 0.1, 0.1])

@@ -1,9 +1,9 @@
 """Prediction by partial matching over bytes: a pretrained context trie, in numpy.
 
 A text is read as four ``PAD`` bytes, its bytes and ``END`` (neither byte occurs in UTF-8). The
-trie holds strings of up to five bytes: a context of at most four bytes and the byte after it. A
-node is kept if at least one in ``2**NODE_BITS`` of all training bytes passes through it, so each
-depth holds at most ``2**NODE_BITS`` nodes at any size of the corpus.
+trie holds all strings of up to five bytes of the training rows: a context of at most four bytes
+and the byte after it. ``Trie`` holds them in memory; ``lm_score.py`` keeps them as tables, which
+grow with the corpus, and a task gets the ``Values`` of frequent strings only.
 
 The probability of a byte starts at the longest context with children. With T the sum of the
 children's counts and d their number, a child has c / (T + d) and the escape d / (T + d); after
@@ -15,9 +15,11 @@ up to 1 in every context.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+
+from wearline.llm.common import binary_array
 
 ORDER = 4
-NODE_BITS = 20
 PAD, END = 0xFE, 0xFF
 _EMPTY = np.uint64(2**63)
 
@@ -62,8 +64,54 @@ def merge_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray
     return code[starts], np.add.reduceat(n, starts) if len(starts) else n
 
 
+def code_bytes(code: np.ndarray, before: bytes) -> pa.Array:
+    """``before`` and the five bytes of each code, the oldest first."""
+    own = code.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - (ORDER + 1) :]
+    rows = np.concatenate((np.tile(np.frombuffer(before, np.uint8), (len(own), 1)), own), axis=1)
+    return binary_array(rows.reshape(-1), np.arange(len(rows) + 1) * rows.shape[1])
+
+
+class Values:
+    """Open addressing from codes, all different, to a value each."""
+
+    def __init__(self, keys: np.ndarray, value: np.ndarray) -> None:
+        bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 2))))
+        self.shift = np.uint64(64 - bits)
+        self.keys = np.full(1 << bits, _EMPTY, np.uint64)
+        self.values = np.zeros(1 << bits, np.float64)
+        left, step = np.arange(len(keys)), 0
+        while len(left):
+            slot = self._slot(keys[left], step)
+            free = self.keys[slot] == _EMPTY
+            _, once = np.unique(slot[free], return_index=True)
+            put = np.flatnonzero(free)[once]
+            self.keys[slot[put]], self.values[slot[put]] = keys[left[put]], value[left[put]]
+            left = np.delete(left, put)
+            step += 1
+        self.steps = step
+
+    def _slot(self, code: np.ndarray, step: int) -> np.ndarray:
+        start = (code * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+        return (start.astype(np.int64) + step) & (len(self.keys) - 1)
+
+    def get(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The value of each code, and whether it has one."""
+        out, there = np.zeros(len(code)), np.zeros(len(code), bool)
+        left = np.arange(len(code))
+        for step in range(self.steps + 1):
+            slot = self._slot(code[left], step)
+            key = self.keys[slot]
+            hit = key == code[left]
+            out[left[hit]] = self.values[slot[hit]]
+            there[left[hit]] = True
+            left = left[~hit & (key != _EMPTY)]
+            if not len(left):
+                break
+        return out, there
+
+
 class Trie:
-    """``nodes[j]``: codes and counts of the kept strings of j + 1 bytes, sorted by code."""
+    """``nodes[j]``: codes and counts of the strings of j + 1 bytes, sorted by code."""
 
     def __init__(self, nodes: list[tuple[np.ndarray, np.ndarray]]) -> None:
         self.code = [c for c, _ in nodes]
@@ -80,7 +128,8 @@ class Trie:
                 i, hit = self._find(self.code[m - 1], code & np.uint64(256**m - 1))
                 below[hit] = self.count[m - 1][i[hit]]
             self.seen_below.append(add(below))
-        self._table()
+        # the longest strings, whose probability needs no escape
+        self.longest = Values(self.code[ORDER], self.slow(self.code[ORDER]))
 
     @staticmethod
     def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,44 +160,9 @@ class Trie:
         out[open_] -= np.log10(256 - gone_kinds[open_])
         return out
 
-    def _table(self) -> None:
-        """Open addressing over the longest strings, whose probability needs no escape."""
-        keys = self.code[ORDER]
-        bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 4))))
-        self.shift = np.uint64(64 - bits)
-        self.keys = np.full(1 << bits, _EMPTY, np.uint64)
-        self.values = np.zeros(1 << bits, np.float64)
-        value, left, step = self.slow(keys), np.arange(len(keys)), 0
-        while len(left):
-            slot = self._slot(keys[left], step)
-            free = self.keys[slot] == _EMPTY
-            _, once = np.unique(slot[free], return_index=True)
-            put = np.flatnonzero(free)[once]
-            self.keys[slot[put]], self.values[slot[put]] = keys[left[put]], value[left[put]]
-            left = np.delete(left, put)
-            step += 1
-        self.steps = step
-
-    def _slot(self, code: np.ndarray, step: int) -> np.ndarray:
-        start = (code * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
-        return (start.astype(np.int64) + step) & (len(self.keys) - 1)
-
     def log10(self, code: np.ndarray) -> np.ndarray:
-        out = np.empty(len(code))
-        left = np.arange(len(code))
-        missed = []
-        for step in range(self.steps + 1):
-            slot = self._slot(code[left], step)
-            key = self.keys[slot]
-            hit = key == code[left]
-            out[left[hit]] = self.values[slot[hit]]
-            free = key == _EMPTY
-            missed.append(left[free])
-            left = left[~hit & ~free]
-            if not len(left):
-                break
-        missed = np.concatenate([*missed, left])
-        if len(missed):
-            kinds, back = np.unique(code[missed], return_inverse=True)
-            out[missed] = self.slow(kinds)[back]
+        out, there = self.longest.get(code)
+        if not there.all():
+            kinds, back = np.unique(code[~there], return_inverse=True)
+            out[~there] = self.slow(kinds)[back]
         return out
