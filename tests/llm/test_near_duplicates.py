@@ -97,6 +97,20 @@ def test_signatures_estimate_the_weighted_similarity():
     assert abs(np.mean(errors)) < 0.012 and np.std(errors) < 0.035
 
 
+def test_signatures_do_not_depend_on_the_block():
+    rng = np.random.default_rng(4)
+    sizes = [10, 20, 40, 200]
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    shingle, weight = rng.integers(0, 2**63, len(row)).astype(np.uint64), rng.integers(1, 4, len(row))
+    alone = bagmin.signatures(shingle, row, weight, len(sizes))
+    for others in (300, 3_000, 40_000):
+        more = rng.integers(0, 2**63, others).astype(np.uint64)
+        of = len(sizes) + np.arange(others) // 100
+        rows_ = int(of[-1]) + 1
+        block = bagmin.signatures(np.append(shingle, more), np.append(row, of), np.append(weight, np.ones(others, int)), rows_)
+        assert np.array_equal(block[: len(sizes)], alone)
+
+
 def test_similarity_counts_repeats():
     a, b = text_bytes(pa.array(["a b c d e a b c d e", "x y"])), text_bytes(pa.array(["a b c d e", "x y"]))
     assert bagmin.similarities(*a, *b).tolist() == [pytest.approx(1 / 6), 1.0]

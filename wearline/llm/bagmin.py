@@ -67,7 +67,9 @@ def signatures(shingle: np.ndarray, row: np.ndarray, weight: np.ndarray, rows: i
         a = mix64(seed[:, None] + number * _STEP)
         b = mix64(a ^ np.uint64(0xA0761D6478BD642F))
         gap = -np.log(((a >> np.uint64(11)).astype(np.float64) + 1) * _FRACTION) / (width * components)[:, None]
-        at = x[:, None] + np.cumsum(gap, axis=1)
+        # strictly one after the other: a point's bits don't depend on how many are taken at once
+        gap[:, 0] += x
+        at = np.cumsum(gap, axis=1)
         component = (b & np.uint64(0xFFFFFFFF)) * np.uint64(components) >> np.uint64(32)
         level = low[:, None] + ((b >> np.uint64(32)) * width[:, None].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
         counts = (level < w[:, None]) & (at < top[r][:, None])
