@@ -4,7 +4,8 @@ Each stage reads, from Parquet in the shared folder, what the one before it kept
 
 1. toxicity: documents that score at least the threshold go;
 2. near_duplicates: one document of each class stays, that of the smallest id;
-3. repeats: byte strings of 400 bytes that also stand elsewhere go, the documents stay;
+3. repeats: byte strings of 400 bytes and passages of over 50 words that also stand elsewhere go,
+   the documents stay;
 4. decontaminate: documents that leak a benchmark item go;
 5. packing: what is left, as pieces of sequences of 1024 tokens.
 
@@ -21,6 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from wearline.llm import decontaminate, near_duplicates, packing, repeats, toxicity
 from wearline.llm.common import land, ship, table
 
+#: Repeated passages of more words go; one more word of a single byte each, with blanks, makes the bytes.
+PASSAGE_WORDS = 50
+PASSAGE_BYTES, PASSAGE_GRAM = 2 * PASSAGE_WORDS + 1, 40
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
@@ -34,7 +39,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return repeats.remove(docs)
+    return repeats.remove(docs, PASSAGE_BYTES, PASSAGE_GRAM, words=PASSAGE_WORDS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

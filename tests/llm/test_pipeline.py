@@ -89,6 +89,22 @@ def test_stages_equal_brute_force(spark, folder):
     assert max(full.values()) <= 1024
 
 
+@pytest.mark.parametrize("size", [1, 5])
+def test_passages_of_over_fifty_words_go(spark, scratch, size):
+    rnd = random.Random(9)
+    word = lambda n: "".join(rnd.choice("abcdefghij") for _ in range(n))
+    own = lambda mark: " ".join(mark + word(6) + mark for _ in range(70))
+    long, short, wide = (" ".join(word(n) for _ in range(k)) for n, k in ((size, 51), (size, 50), (20, 25)))
+    texts = [f"{own('K')} {p} {own('L')}" for p in (long, short, wide)] + [f"{own('M')} {p} {own('N')}" for p in (long, short, wide)]
+    texts += [long[:-1] + "Q", "x " * 60, "x " * 60]
+    table = write(scratch, documents=docs(*texts))
+    d = corpus_pipeline.cut_repeats(spark, spark.read.parquet(f"{table}/documents.parquet"), table)
+    got = {r.doc_id: r.text for r in d.collect()}
+    cut = [texts[i].replace(f" {p} ", "") for i, p in enumerate((long, short, wide) * 2)]
+    assert [got[i] for i in (0, 3, 2, 5)] == [cut[i] for i in (0, 3, 2, 5)]
+    assert got[1] == texts[1] and got[4] == texts[4] and got[7] == got[8] == ""
+
+
 def test_run_gives_the_last_stage(spark, folder):
     out = corpus_pipeline.run(spark, folder)
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and out.count() > 100

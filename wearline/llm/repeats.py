@@ -1,6 +1,8 @@
 """Removal of long byte strings that also stand elsewhere in the corpus.
 
-A byte is removed if a string of ``LENGTH`` bytes that covers it also starts anywhere else.
+A byte is removed if a string of ``LENGTH`` bytes that covers it also starts anywhere else. With
+``words`` given, what shorter strings cover goes too, where the windows that follow each other and
+stand elsewhere make up a passage of more words than that (they may stand in different places).
 
 1. Anchors. Every window of ``LENGTH`` bytes picks one of its ``GRAM``-byte strings, the one with
    the smallest hash; equal windows pick the same one at the same relative place. The windows
@@ -32,6 +34,7 @@ from pyspark.sql import types as T
 
 from wearline.llm.common import SpanHashes, blocks, land, mix64, runs_of, table, text_bytes
 from wearline.llm.rlbwt import repeated_starts
+from wearline.llm.words import word_spans
 
 LENGTH, GRAM = 400, 200
 #: Segments of one anchor that one task indexes; beyond, windows are counted by a shuffle.
@@ -41,6 +44,9 @@ INDEX_BYTES = 1_500_000
 #: A longer text is anchored in parts, each with windows of its own.
 PART_BYTES = 16_000_000
 _POSITION_BITS = 26
+_byte = np.arange(256)
+#: Blanks part words.
+_IN_WORD = ~((_byte == 0x20) | ((_byte >= 0x09) & (_byte <= 0x0D)))
 
 
 # ---- numpy side --------------------------------------------------------------------------------
@@ -122,6 +128,16 @@ def covered(n: int, starts: np.ndarray, stops: np.ndarray, length: int) -> np.nd
     return np.cumsum(edge[:n]) > 0
 
 
+def passages(text: bytes, starts: np.ndarray, stops: np.ndarray, length: int, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of windows whose bytes hold over ``words`` words, parts included, or are ``LENGTH`` at least."""
+    first, after = runs_of(covered(max(0, len(text) - length + 1), starts, stops, 1))
+    end = after - 1 + length
+    begins, ends, _ = word_spans(np.frombuffer(text, np.uint8), np.array([0, len(text)]), _IN_WORD)
+    held = np.searchsorted(begins, end, "left") - np.searchsorted(ends, first, "right")
+    keep = (held > words) | (end - first >= LENGTH)
+    return first[keep], after[keep] - 1
+
+
 # ---- Spark side --------------------------------------------------------------------------------
 
 _KEYS = ["d1", "d2"]
@@ -180,8 +196,10 @@ def _judged(segments: DataFrame) -> DataFrame:
     return rows
 
 
-def _finish(n: int, text: bytes, starts: np.ndarray, stops: np.ndarray, length: int) -> tuple[int, int, bytes]:
+def _finish(n: int, text: bytes, starts: np.ndarray, stops: np.ndarray, length: int, words: int | None) -> tuple[int, int, bytes]:
     """Removed bytes, removed runs and the rest of a text."""
+    if words is not None:
+        starts, stops = passages(text, starts, stops, length, words)
     mask = covered(n, starts, stops, length)
     kept = np.frombuffer(text, np.uint8)[~mask].tobytes()
     return int(mask.sum()), len(runs_of(mask)[0]), kept
@@ -273,7 +291,7 @@ _OWN = (*_KEYS, "n_bytes", "n_removed", "n_spans", "kept_sha256", "marks", "copi
 _DONE = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
 
-def _resolved(docs: DataFrame, length: int, gram: int, hot: int, keep_text: bool) -> DataFrame:
+def _resolved(docs: DataFrame, length: int, gram: int, hot: int, keep_text: bool, words: int | None = None) -> DataFrame:
     """Every row of ``docs`` with the contract's columns; with ``keep_text`` its text is what is left."""
     docs = _keyed(docs)
     judged = land(_judged(_segments(docs, length, gram)), "repeat-segments")
@@ -313,9 +331,9 @@ def _resolved(docs: DataFrame, length: int, gram: int, hot: int, keep_text: bool
                 undecided = not copied[r] and any(not m["sure"] for m in marks[r] or ())
                 if not undecided:
                     if copied[r] and len(own) >= length:
-                        ends.append((len(own), 1, b""))
+                        ends.append(_finish(len(own), own, np.array([0]), np.array([len(own) - length]), length, words))
                     else:
-                        ends.append(_finish(len(own), own, *_windows(marks[r], "sure"), length))
+                        ends.append(_finish(len(own), own, *_windows(marks[r], "sure"), length, words))
                     done.append(r)
                 if undecided or (asks and (speaks[r] or not copied[r])):
                     left.append(r)
@@ -367,7 +385,7 @@ def _resolved(docs: DataFrame, length: int, gram: int, hot: int, keep_text: bool
                 own = raw[offsets[r] : offsets[r + 1]]
                 starts, stops = _windows(marks[r], "sure")
                 p = np.array(found[r] or (), np.int64)
-                ends.append(_finish(len(own), own, np.append(starts, p >> 12), np.append(stops, (p >> 12) + (p & 0xFFF)), length))
+                ends.append(_finish(len(own), own, np.append(starts, p >> 12), np.append(stops, (p >> 12) + (p & 0xFFF)), length, words))
             yield result(block, list(range(block.num_rows)), ends)
 
     done = passed.filter("kept_sha256 IS NOT NULL").select(*out_schema.names)
@@ -380,15 +398,16 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HO
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, words: int | None = None) -> DataFrame:
     """``docs`` with the repeated bytes taken out of ``text``, every column kept.
 
+    With ``words``, of ``length`` under ``LENGTH``, only passages of more words or of ``LENGTH`` bytes go.
     What a cut leaves of a divided character goes too; ``n_chars``, where it is a column, is counted anew.
     """
     own = docs.columns
     clash = [c for c in own if c in _OWN]
     renamed = docs.withColumnsRenamed({c: f"own_{c}" for c in clash})
-    out = _resolved(renamed, length, gram, hot, keep_text=True)
+    out = _resolved(renamed, length, gram, hot, keep_text=True, words=words)
     if "n_chars" in own:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*renamed.columns).withColumnsRenamed({f"own_{c}": c for c in clash})
