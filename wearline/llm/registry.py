@@ -4,10 +4,36 @@ from __future__ import annotations
 
 import functools
 
-from wearline.llm import decontaminate, language_id, licenses, lm_score, mtree, near_duplicates, packing, repeats, toxicity, warc
+from wearline.llm import (
+    cover_anchors,
+    decontaminate,
+    divergence,
+    language_id,
+    licenses,
+    lm_score,
+    mtree,
+    near_duplicates,
+    packing,
+    repeats,
+    toxicity,
+    warc,
+)
 from wearline.llm.common import ship
 
-_MODULES = [decontaminate, language_id, licenses, lm_score, mtree, near_duplicates, packing, repeats, toxicity, warc]
+_MODULES = [
+    cover_anchors,
+    decontaminate,
+    divergence,
+    language_id,
+    licenses,
+    lm_score,
+    mtree,
+    near_duplicates,
+    packing,
+    repeats,
+    toxicity,
+    warc,
+]
 
 
 def _shipped(query):
