@@ -10,6 +10,7 @@ import pyarrow.parquet as pq
 SCHEMAS = {
     "documents": [("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string()), ("n_chars", pa.int64())],
     "benchmark": [("item_id", pa.int64()), ("text", pa.string())],
+    "conversations": [("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())],
     "labels": [("doc_id", pa.int64()), ("quality", pa.int32()), ("toxic", pa.int32())],
     "pages": [("page_id", pa.int64()), ("url", pa.string()), ("html", pa.string())],
     "embeddings": [("vec_id", pa.int64()), ("embedding", pa.list_(pa.float32())), ("label", pa.int32())],

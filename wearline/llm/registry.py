@@ -14,6 +14,7 @@ from wearline.llm import (
     mtree,
     near_duplicates,
     packing,
+    prefix_trie,
     repeats,
     toxicity,
     warc,
@@ -30,6 +31,7 @@ _MODULES = [
     mtree,
     near_duplicates,
     packing,
+    prefix_trie,
     repeats,
     toxicity,
     warc,
