@@ -31,14 +31,13 @@ def rolling_features(
     """W1 + W2: mean and sample std of each sensor over the unit's last ``n`` rows, current included.
 
     Shorter prefixes are allowed (first row: mean = value, std = NULL). All columns come out
-    of one ``Window`` operator after one shuffle of the full data; units are split into chunks
-    so a huge unit does not land in one task, and the chunk list and halo rows take only
-    small shuffles (see :mod:`wearline.operators.frames`).
+    of one ``Window`` operator after one shuffle of the full data; a unit of more than
+    ``chunk_rows`` rows is split into ranges so it does not land in one task (see
+    :mod:`wearline.operators.frames`).
     """
     frame, part = chunk_frames(df, keys, order, n - 1, chunk_rows)
     w = Window.partitionBy(*part).orderBy(order).rowsBetween(-(n - 1), 0)
-    out = frame.select(*frame.columns, *_rolled(sensors, w))
-    return own_rows(out)
+    return own_rows(frame.select(*frame.columns, *_rolled(sensors, w)))
 
 
 def latest_per_unit(df: DataFrame, keys: str | Iterable[str] = "unit", order: str = "cycle") -> DataFrame:

@@ -1,8 +1,9 @@
 """Fixed-length sequence windows per unit (W6-W8) and their summaries (inputs of M6).
 
 A sequence ends at every row that has ``n - 1`` predecessors in its unit (stride 1); its
-target is the target at the window's last row. Frames run on the chunked layout of
-:mod:`wearline.operators.frames`, so a unit with a huge history is spread over many tasks.
+target is the target at the window's last row. Frames are those of
+:mod:`wearline.operators.frames`: one scan and one shuffle, and a unit with a huge history is
+spread over many tasks.
 ``collect_list`` drops bare NULLs, so each step is collected as an ``array`` of features,
 which keeps NULL features in place.
 """
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from wearline.constants import CHUNK_ROWS, SEQUENCE_LENGTH
 from wearline.functions.columns import as_list
-from wearline.operators.frames import chunk_frames, own_rows
+from wearline.operators.frames import LONG, chunk_frames, helpers, own_rows, plain
 from wearline.operators.rolling import last_k
 
 
@@ -36,27 +37,26 @@ def sequences(
     ``array<array<double>>`` of ``n`` steps, oldest first. With ``"pad"`` a unit shorter than
     ``n`` yields exactly one sequence: its rows preceded by copies of its first row.
     """
+    if short not in ("skip", "pad"):
+        raise ValueError(f"unknown short-unit policy {short!r}")
     keys = as_list(keys)
     feats = list(feats)
     step = F.array(*[F.col(f).cast("double") for f in feats])
-    frame, part = chunk_frames(df.select(*keys, order, target, *feats), keys, order, n - 1, chunk_rows)
+    frame, part = chunk_frames(df.select(*keys, order, target, *feats, *helpers(df)), keys, order, n - 1, chunk_rows)
     w = Window.partitionBy(*part).orderBy(order).rowsBetween(-(n - 1), 0)
-    windowed = frame.select(*frame.columns, F.collect_list(step).over(w).alias("seq"))
-    full = own_rows(windowed).filter(F.size("seq") == n).select(*keys, order, target, "seq")
+    seq = F.collect_list(step).over(w)
     if short == "skip":
-        return full
-    if short != "pad":
-        raise ValueError(f"unknown short-unit policy {short!r}")
-    # Units with fewer than n rows: W4 keeps at most n rows per unit before any collect.
-    recent = last_k(df.select(*keys, order, target, *feats), n, keys, order)
-    packed = F.struct(F.col(order).alias("_o"), F.col(target).alias("_t"), step.alias("_s"))
-    grouped = recent.groupBy(*keys).agg(F.sort_array(F.collect_list(packed)).alias("_rows")).filter(F.size("_rows") < n)
-    steps = F.transform("_rows", lambda r: r["_s"])
-    first = F.element_at("_rows", 1)["_s"]
-    padded = F.concat(F.array_repeat(first, F.lit(n) - F.size("_rows")), steps)
-    last = F.element_at("_rows", -1)
-    short_units = grouped.select(*keys, last["_o"].alias(order), last["_t"].alias(target), padded.alias("seq"))
-    return full.unionByName(short_units)
+        windowed = frame.select(*frame.columns, seq.alias("seq"))
+        return own_rows(windowed).filter(F.size("seq") == n).select(*keys, order, target, "seq")
+    # a unit is short where its last row's window holds less than n rows; the window then starts
+    # at the unit's first row
+    newest = F.max(order).over(Window.partitionBy(*part))
+    if LONG in frame.columns:
+        newest = F.coalesce(F.col(f"{LONG}.last"), newest)
+    windowed = own_rows(frame.select(*frame.columns, seq.alias("seq"), newest.alias("_newest")))
+    windowed = windowed.filter((F.size("seq") == n) | (F.col(order) == F.col("_newest")))
+    padded = F.concat(F.array_repeat(F.element_at("seq", 1), F.lit(n) - F.size("seq")), F.col("seq"))
+    return windowed.select(*keys, order, target, padded.alias("seq"))
 
 
 def explode_sequences(seqs: DataFrame, feats: Sequence[str], keys: Sequence[str] = ("unit", "cycle"), target: str = "rul") -> DataFrame:
@@ -101,6 +101,7 @@ def window_summaries(
     if short == "skip":
         return full
     # at most n rows of a unit leave each task before they meet
+    df = plain(df)
     recent = last_k(df, n, keys, order)
     whole = Window.partitionBy(*keys)
     first = Window.partitionBy(*keys).orderBy(order)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wearline.constants import KEPT_SENSORS, ROLLING_WINDOW, SEED, VALIDATION_SHARE
 from wearline.functions.columns import as_list, feature_columns
+from wearline.operators.frames import deal, is_dealt
 from wearline.operators.labels import label_rul
 from wearline.operators.rolling import rolling_features
 from wearline.operators.scaling import fit_scaler, scale_features, scaler_literals
@@ -44,7 +45,8 @@ def prepare(
     """
     keys = as_list(keys)
     feats = feature_columns(sensors)
-    rolled = rolling_features(label_rul(df, keys), sensors, n, keys)
+    # dealt once: labels and rolling features share one shuffle
+    rolled = rolling_features(label_rul(df if is_dealt(df) else deal(df, keys), keys), sensors, n, keys)
     # Read by the scaler fit now and by both splits (boosting, scoring) later: written once.
     tagged = materialize(assign_split(rolled, share, seed, keys))
     train = tagged.filter(F.col("split") == TRAIN).drop("split")

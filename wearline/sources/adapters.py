@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wearline.constants import ALL_SENSORS, OP_SETTINGS, TELEMETRY_COLUMNS
+from wearline.operators.frames import deal, helpers, number_cycles
 
 EVENT_SENSORS = ["sensor_1", "sensor_2", "sensor_3"]
 PART_SENSORS = ["sensor_2", "sensor_3", "sensor_4", "sensor_7"]
@@ -45,8 +46,22 @@ def tele_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("unit", cycle.alias("cycle"), *EVENT_SENSORS)
 
 
-def tele_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
+def dealt_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``tele_events`` dealt for windows (:func:`wearline.operators.frames.deal`): cycles are numbered
+    range by range, and windows on the result need no further shuffle."""
+    ev = table(spark, sf_dir, "events").select(F.col("user_id").alias("unit"), "ts", "event_id", *_event_sensors())
+    numbered = number_cycles(deal(ev, "unit", "ts"), "unit", ["ts", "event_id"])
+    return numbered.select("unit", "cycle", *EVENT_SENSORS, *helpers(numbered))
+
+
+def dealt_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``tele_parts`` dealt for windows, as :func:`dealt_events`."""
+    numbered = number_cycles(deal(_part_rows(spark, sf_dir), "unit", "l_shipdate"), "unit", ["l_shipdate", "l_orderkey", "l_linenumber"])
+    return numbered.select("unit", "cycle", *PART_SENSORS, *helpers(numbered))
+
+
+def _part_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").alias("unit"),
         "l_shipdate", "l_orderkey", "l_linenumber",
         F.col("l_quantity").alias("sensor_2"),
@@ -54,6 +69,10 @@ def tele_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_discount").alias("sensor_4"),
         F.col("l_tax").alias("sensor_7"),
     )
+
+
+def tele_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = _part_rows(spark, sf_dir)
     order = Window.partitionBy("unit").orderBy("l_shipdate", "l_orderkey", "l_linenumber")
     return li.select("unit", F.row_number().over(order).cast("bigint").alias("cycle"), *PART_SENSORS)
 
