@@ -14,10 +14,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearline.constants import PATIENCE, SEED, TREE_DEPTH, TREE_ROUNDS, TREE_STEP
+from wearline.plans.ensemble import TreeEnsemble, pipeline_prefix
 from wearline.session import checkpoint_dir
 
 VECTOR = "features"
@@ -74,14 +75,14 @@ def fit_early_stopped(
 ) -> PipelineModel:
     """M7: boosted regression trees, kept up to the best round on ``held_out`` rows.
 
-    All rounds are fitted once and the held-out error of each is read off; the seed makes the
-    first rounds of a second fit the same trees, so the best prefix is refitted with just them.
+    All rounds are fitted once and the held-out error of each is read off; the best prefix is
+    taken from the fitted trees, which are the trees that a fit of just those rounds gives.
     """
     model = fit_regressor(df, feats, label, rounds, depth, step, seed)
     vectors = model.stages[0].transform(held_out)
     errors = model.stages[-1].evaluateEachIteration(vectors, "squared")
     keep = best_round(errors, patience)
-    return model if keep == rounds else fit_regressor(df, feats, label, keep, depth, step, seed)
+    return model if keep == rounds else pipeline_prefix(model, keep)
 
 
 def fit_classifier(
@@ -112,12 +113,8 @@ def predict_proba(model: PipelineModel, df: DataFrame, keys: Sequence[str] = ("u
 
 
 def importance(model: PipelineModel, feats: Sequence[str], spark=None) -> DataFrame:
-    """One row per feature with the trees' importance (a vector of len(feats) values)."""
-    from pyspark.sql import SparkSession
-
-    values = model.stages[-1].featureImportances.toArray().tolist()
-    session = spark or SparkSession.getActiveSession()
-    return session.createDataFrame([(f, float(v)) for f, v in zip(feats, values)], "feature string, importance double")
+    """One row per feature with its share of the gains of the trees' nodes."""
+    return TreeEnsemble.of(model).importance(spark or SparkSession.getActiveSession()).filter(F.col("feature").isin(list(feats)))
 
 
 def top_importance(imp: DataFrame, k: int = 10) -> DataFrame:

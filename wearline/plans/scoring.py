@@ -1,6 +1,8 @@
 """Fleet scoring (M4) and request scoring (M5), distributed to the end.
 
-Fleet: latest state of every unit (W5) -> scale (M3) -> ``model.transform`` -> score table.
+Fleet: latest state of every unit (W5) -> scale (M3) -> ``model.transform`` -> score table. The
+model is a fitted pipeline, or a :class:`wearline.plans.ensemble.TreeEnsemble`, whose trees are
+an expression on the feature columns (no vectors are assembled).
 Requests: each request carries its own <= 5 readings, so features are array lambdas on the
 row itself (no window, no shuffle); the same function runs on a streaming DataFrame.
 """
@@ -17,13 +19,14 @@ from wearline.constants import KEPT_SENSORS, ROLLING_WINDOW
 from wearline.functions.columns import as_list, feature_columns, mean_col, std_col
 from wearline.operators.rolling import current_state
 from wearline.operators.scaling import scale_features
+from wearline.plans.ensemble import TreeEnsemble
 from wearline.sources.requests import validate_requests
 from wearline.sources.tables import score_table
 
 
 def score_fleet(
     fleet: DataFrame,
-    model: PipelineModel,
+    model: PipelineModel | TreeEnsemble,
     params: DataFrame | dict,
     sensors: Sequence[str] = KEPT_SENSORS,
     keys: str | Iterable[str] = ("dataset", "unit"),
@@ -86,7 +89,7 @@ def request_features(
 
 def score_requests(
     df: DataFrame,
-    model: PipelineModel,
+    model: PipelineModel | TreeEnsemble,
     params: DataFrame | dict,
     sensors: Sequence[str] = KEPT_SENSORS,
     n: int = ROLLING_WINDOW,
