@@ -20,6 +20,8 @@ FIXED_BITS = 40
 LIMB_BITS = 20
 LIMBS = 6
 ROWS_AT_ONCE = 256
+#: Up to so many ranks without ties, the signed-rank p-value is exact.
+EXACT_RANKS = 50
 
 
 def one_row(first: DataFrame, *others: DataFrame) -> DataFrame:
@@ -52,7 +54,8 @@ def wilcoxon(df: DataFrame, d: str = "d", buckets: int | None = None) -> DataFra
     Rows are grouped by ``|d|`` (one row per distinct magnitude with its count and signs);
     a magnitude's mid-rank is ``below + (count + 1) / 2`` with ``below`` a bucket-wise
     running count. ``w`` = min(W+, W-); ``z`` uses the tie-corrected variance
-    ``n(n+1)(2n+1)/24 - sum(t^3 - t)/48``. The normal form is used at every ``n``.
+    ``n(n+1)(2n+1)/24 - sum(t^3 - t)/48``. For small ``n`` without ties see
+    :func:`exact_signed_rank_p`.
     """
     nz = df.select(_present(F.col(d)).alias("_d")).filter("_d IS NOT NULL AND _d <> 0").select(F.abs("_d").alias("_a"), (F.col("_d") > 0).alias("_pos"))
     g = nz.groupBy("_a").agg(
@@ -74,6 +77,24 @@ def wilcoxon(df: DataFrame, d: str = "d", buckets: int | None = None) -> DataFra
     return one.select(n.cast("bigint").alias("n"), "w_plus", "w_minus", w.alias("w"), "tie_term", z.alias("z"))
 
 
+def exact_signed_rank_p(n: Column, w: Column, tie_term: Column) -> Column:
+    """Two-sided p of the signed-rank statistic from its exact null distribution.
+
+    Without ties each rank 1..n counts with either sign, so the number of sign choices with rank
+    sum s follows from those of n - 1 ranks: c_n(s) = c_(n-1)(s) + c_(n-1)(s - n). The counts are
+    built up as one array on the aggregated row; p = 2 P(W <= w), at most 1. NULL beyond
+    ``EXACT_RANKS`` ranks, where counts leave a double's whole numbers, with ties, and for no ranks.
+    """
+    ranks = F.least(n.cast("int"), F.lit(EXACT_RANKS))
+    most = (ranks * (ranks + 1) / 2).cast("int")
+    none = F.concat(F.array(F.lit(1.0)), F.array_repeat(F.lit(0.0), most))
+    add = lambda acc, k: F.transform(acc, lambda v, s: v + F.coalesce(F.get(acc, s - k), F.lit(0.0)))
+    counts = F.aggregate(F.sequence(F.lit(1), F.greatest(ranks, F.lit(1))), none, add)
+    below = F.aggregate(F.slice(counts, F.lit(1), w.cast("int") + 1), F.lit(0.0), lambda a, x: a + x)
+    p = F.least(F.lit(1.0), F.lit(2.0) * below / F.pow(F.lit(2.0), ranks.cast("double")))
+    return F.when((n >= 1) & (n <= EXACT_RANKS) & (tie_term == 0), p)
+
+
 def fixed_point_limbs(x: np.ndarray) -> np.ndarray:
     """``floor(x * 2**40)`` as ``LIMBS`` integers of 20 bits each, the first one signed.
 
@@ -169,11 +190,13 @@ def comparison_summary(
     d = df.select(*keys, ea.alias("_ea"), eb.alias("_eb"), (ea - eb).alias("d"))
     maes = d.agg(F.avg("_ea").alias(f"mae_{names[0]}"), F.avg("_eb").alias(f"mae_{names[1]}"), F.count(F.lit(1)).alias("n_rows"))
     t = paired_t(d).select("mean_diff", "t", "dof")
-    wx = wilcoxon(d).select(F.col("w").alias("wilcoxon_w"), F.col("z").alias("wilcoxon_z"))
+    exact = exact_signed_rank_p(F.col("n"), F.col("w"), F.col("tie_term"))
+    wx = wilcoxon(d).select(F.col("w").alias("wilcoxon_w"), F.col("z").alias("wilcoxon_z"), exact.alias("_exact_p"))
     ci = bootstrap_ci(bootstrap_means(d, "d", keys, resamples, seed))
     one = one_row(maes, t, wx, ci)
     one = one.withColumn("t_pvalue", t_pvalue(F.col("t"), F.col("dof").cast("double")))
-    one = one.withColumn("wilcoxon_pvalue", normal_pvalue(F.col("wilcoxon_z")))
+    # exact where the null distribution can be counted, else from the normal form
+    one = one.withColumn("wilcoxon_pvalue", F.coalesce("_exact_p", normal_pvalue(F.col("wilcoxon_z")))).drop("_exact_p")
     significant = (F.col("t_pvalue") < alpha) & (F.col("wilcoxon_pvalue") < alpha) & ((F.col("ci_upper") < 0) | (F.col("ci_lower") > 0))
     winner = F.when(F.col("mean_diff") < 0, F.lit(names[0])).when(F.col("mean_diff") > 0, F.lit(names[1])).otherwise(F.lit("tie"))
     return one.withColumn("winner", winner).withColumn("significant", significant)

@@ -7,6 +7,7 @@ never inputs) so two engines' summation orders compare equal.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from wearline.constants import FAILURE_HORIZON, RECALL_CUTOFF, SEQUENCE_LENGTH
 from wearline.functions.columns import feature_columns, round_doubles, sensor_columns
 from wearline.operators import compare, labels, metrics, profile, projections, rolling, sequences, splits
+from wearline.operators.frames import plain
+from wearline.operators.kernels import kernel_columns, kernel_features
 from wearline.operators.scaling import fit_scaler, scale_features
 from wearline.session import materialize, shared_path
 from wearline.sources import adapters, requests, tables, text
@@ -77,7 +80,7 @@ def _classified(spark, d) -> DataFrame:
 
 
 def _rolled(spark, d) -> DataFrame:
-    return rolling.rolling_features(_te(spark, d), EV)
+    return rolling.rolling_features(adapters.dealt_events(spark, d), EV)
 
 
 # ---- sources -----------------------------------------------------------------------------
@@ -92,7 +95,7 @@ def s8_explode_requests(spark, d):
 
 def s9_build_requests(spark, d):
     r = adapters.request_records(spark, d)
-    return r.select("request_id", F.size("recent_cycles").alias("cycles_used"), "recent_cycles")
+    return r.select("request_id", F.size("recent_cycles").alias("cycles_used"), requests.canonical_body().alias("body"))
 
 
 def p17_validate_requests(spark, d):
@@ -254,6 +257,13 @@ def a16_wilcoxon(spark, d):
     return round_doubles(compare.wilcoxon(_errors(spark, d)))
 
 
+def a16_wilcoxon_exact(spark, d):
+    """Unit groups instead of rows as the pairs: few enough for the exact null distribution."""
+    groups = _errors(spark, d).groupBy((F.col("unit") % 40).alias("part")).agg(F.avg("d").alias("d"))
+    one = compare.wilcoxon(groups)
+    return round_doubles(one.select("n", "w", compare.exact_signed_rank_p(F.col("n"), F.col("w"), F.col("tie_term")).alias("p")))
+
+
 def a17_mean_diff(spark, d):
     return round_doubles(_errors(spark, d).agg(F.avg("d").alias("mean_diff")))
 
@@ -289,7 +299,7 @@ def w5_current_state(spark, d):
 
 
 def _parts_labelled(spark, d):
-    return labels.label_rul(adapters.tele_parts(spark, d))
+    return labels.label_rul(adapters.dealt_parts(spark, d))
 
 
 def w6_sequences(spark, d):
@@ -312,6 +322,15 @@ def m6_window_summaries(spark, d):
     return round_doubles(ws.select("unit", "cycle", "rul", *sequences.summary_columns(PARTS)))
 
 
+def m6_kernel_features(spark, d):
+    """Convolution-kernel counts of every 30-cycle window; the level of each sensor is its mean."""
+    rows = adapters.dealt_parts(spark, d)
+    means = plain(rows).agg(*[F.round(F.avg(s), 6).alias(s) for s in PARTS]).first()
+    feats = kernel_columns(PARTS, SEQUENCE_LENGTH, 4, {s: [0.0] for s in PARTS})
+    levels = {s: [means[s]] for s in PARTS}
+    return kernel_features(rows, PARTS, SEQUENCE_LENGTH, 4, levels).select("unit", "cycle", *feats)
+
+
 # ---- sets ---------------------------------------------------------------------------------
 
 def u1_union_fleet(spark, d):
@@ -354,26 +373,43 @@ def m5_request_features(spark, d):
 def _prepared(spark, d):
     from wearline.plans.training import prepare
 
-    return prepare(_te(spark, d), EV)
+    return prepare(adapters.dealt_events(spark, d), EV)
 
 
+# What a session has fitted, by (application, folder): fitted and saved to the shared folder by the
+# first query that needs it, loaded from there by the others.
 _FITTED: dict[tuple[str, str], tuple] = {}
 
 
-def _regressor(spark, d):
-    """The prepared splits and the fitted regressor of a folder: fitted and saved to the shared
-    folder by the first query of the session that needs it, loaded from there by the others."""
-    from wearline.plans.models import fit_regressor, load_model, save_model
+def _fitted(spark, d):
+    """The prepared splits, where the fitted regressor is saved as a pipeline, and where as nodes."""
+    from wearline.plans.ensemble import TreeEnsemble
+    from wearline.plans.models import fit_regressor, save_model
 
     key = (spark.sparkContext.applicationId, d)
     if key not in _FITTED:
-        p, path = _prepared(spark, d), shared_path(spark, "regressor")
-        save_model(fit_regressor(p.train, p.features), path)
-        _FITTED[key] = (p, path)
-    p, path = _FITTED[key]
+        p, path, nodes = _prepared(spark, d), shared_path(spark, "regressor"), shared_path(spark, "ensemble")
+        model = fit_regressor(p.train, p.features)
+        save_model(model, path)
+        TreeEnsemble.of(model).save(spark, nodes, p.params)
+        _FITTED[key] = (p, path, nodes)
+    return _FITTED[key]
+
+
+def _regressor(spark, d):
+    from wearline.plans.models import load_model
+
+    p, path, _ = _fitted(spark, d)
     return p, load_model(path)
 
 
+def _ensemble(spark, d):
+    from wearline.plans.ensemble import TreeEnsemble
+
+    p, _, nodes = _fitted(spark, d)
+    return p, TreeEnsemble.load(spark, nodes)
+
+
 def m1_regressor_predictions(spark, d):
     from wearline.plans.models import predict_keyed
 
@@ -381,6 +417,31 @@ def m1_regressor_predictions(spark, d):
     return predict_keyed(model, p.validation)
 
 
+def _same(a: str, b: str):
+    return F.coalesce(F.abs(F.col(a) - F.col(b)) <= 1e-9 * F.greatest(F.abs(F.col(a)), F.lit(1.0)), F.lit(False))
+
+
+def m1_compiled_predictions(spark, d):
+    """Every validation row: whether the trees as an expression predict what the model predicts."""
+    p, model = _regressor(spark, d)
+    both = model.transform(p.validation).withColumnRenamed("prediction", "_model")
+    scored = _ensemble(spark, d)[1].transform(both)
+    return scored.select("unit", "cycle", _same("_model", "prediction").alias("same"))
+
+
+def m2_compiled_probabilities(spark, d):
+    """The classifier's probability of every validation row, against its trees as an expression."""
+    from pyspark.ml.functions import vector_to_array
+
+    from wearline.plans.ensemble import TreeEnsemble
+    from wearline.plans.models import fit_classifier
+
+    p = _prepared(spark, d)
+    model = fit_classifier(labels.label_fail_within(p.train, FAILURE_HORIZON), p.features)
+    both = model.transform(p.validation).select("*", vector_to_array("probability")[1].alias("_model"))
+    return TreeEnsemble.of(model).transform(both).select("unit", "cycle", _same("_model", "prob").alias("same"))
+
+
 def m2_classifier_probabilities(spark, d):
     from wearline.plans.models import fit_classifier, predict_proba
 
@@ -390,10 +451,31 @@ def m2_classifier_probabilities(spark, d):
 
 
 def a21_importance(spark, d):
-    from wearline.plans.models import importance
+    return _ensemble(spark, d)[1].importance(spark)
 
+
+def a21_importance_check(spark, d):
+    """Importances summed from the node table against the ones the model reports."""
     p, model = _regressor(spark, d)
-    return importance(model, p.features, spark)
+    reported = model.stages[-1].featureImportances.toArray().tolist()
+    own = spark.createDataFrame([(f, float(v)) for f, v in zip(p.features, reported, strict=True)], "feature string, reported double")
+    return a21_importance(spark, d).join(own, "feature").select("feature", _same("reported", "importance").alias("same"))
+
+
+def s11_fingerprint(spark, d):
+    """The saved model is loaded with the scaler of its fit and refused with another one."""
+    from wearline.plans.ensemble import TreeEnsemble
+
+    p, _, nodes = _fitted(spark, d)
+    other = p.params.withColumn("mean", F.col("mean") + 1e-9)
+    checks = []
+    for name, params in (("own scaler", p.params), ("another scaler", other)):
+        try:
+            TreeEnsemble.load(spark, nodes, params)
+            checks.append((name, True))
+        except ValueError:
+            checks.append((name, False))
+    return spark.createDataFrame(checks, "scaler string, loaded boolean")
 
 
 def o2_top_importance(spark, d):
@@ -405,7 +487,7 @@ def o2_top_importance(spark, d):
 def m4_score_fleet(spark, d):
     from wearline.plans.scoring import score_fleet
 
-    p, model = _regressor(spark, d)
+    p, model = _ensemble(spark, d)
     return score_fleet(adapters.tele_fleet(spark, d), model, p.scaler, EV, ("dataset", "unit"))
 
 
@@ -418,7 +500,7 @@ def m4_scored_units(spark, d):
 def m5_score_requests(spark, d):
     from wearline.plans.scoring import score_requests
 
-    p, model = _regressor(spark, d)
+    p, model = _ensemble(spark, d)
     return score_requests(adapters.request_records(spark, d), model, p.scaler, EV)
 
 
@@ -428,18 +510,44 @@ def m5_scored_requests(spark, d):
     return scored.select("request_id", "cycles_used", "error", F.col("predicted_rul").isNotNull().alias("is_scored"))
 
 
+def m5_stream_scores(spark, d):
+    """M5 as a stream over request files: half of them arrive, the stream ends, the rest arrives, it is
+    started again from its checkpoint, and once more with nothing new; the sink is read back."""
+    from wearline.operators.scaling import scaler_literals
+    from wearline.streaming.requests import read_request_stream, score_request_stream, start_scoring
+
+    p, model = _ensemble(spark, d)
+    params = scaler_literals(p.params, p.features)
+    path = shared_path(spark, "request-stream")
+    arriving = adapters.request_records(spark, d).select("request_id", "recent_cycles", (F.pmod(F.xxhash64("request_id"), F.lit(2))).alias("half"))
+    for half in (0, 1, None):
+        if half is not None:
+            arriving.filter(F.col("half") == half).drop("half").write.mode("append").json(f"{path}/in")
+        stream = score_request_stream(read_request_stream(spark, f"{path}/in", max_files_per_trigger=4), model, params, EV)
+        start_scoring(stream, f"{path}/out", name=f"scores_{uuid.uuid4().hex}", checkpoint_location=f"{path}/checkpoint").awaitTermination()
+    scored = spark.read.parquet(f"{path}/out")
+    return scored.select("request_id", "cycles_used", "error", F.col("predicted_rul").isNotNull().alias("is_scored"))
+
+
+def m6_kernel_predictions(spark, d):
+    """Ridge regression on convolution-kernel counts of 30-cycle windows (M6)."""
+    from wearline.plans.comparison import kernel_predictions
+
+    return kernel_predictions(adapters.dealt_parts(spark, d), PARTS)
+
+
 def a20_model_comparison(spark, d):
     """Trees on rolling features vs the window-summary challenger, aligned and compared."""
     from wearline.plans.comparison import model_comparison
 
-    return round_doubles(model_comparison(adapters.tele_parts(spark, d), PARTS, SEQUENCE_LENGTH))
+    return round_doubles(model_comparison(adapters.dealt_parts(spark, d), PARTS, SEQUENCE_LENGTH))
 
 
 def m6_challenger_predictions(spark, d):
     """Challenger on 30-cycle window summaries, early-stopped on held-out training units (M6 + M7)."""
     from wearline.plans.comparison import challenger_predictions
 
-    return challenger_predictions(adapters.tele_parts(spark, d), PARTS).select("unit", "cycle", "prediction")
+    return challenger_predictions(adapters.dealt_parts(spark, d), PARTS).select("unit", "cycle", "prediction")
 
 
 def m8_keyed_predictions(spark, d):
@@ -551,6 +659,14 @@ QUERIES: dict[str, Query] = {
     "m5_score_requests": m5_score_requests,
     "a20_model_comparison": a20_model_comparison,
     "m6_challenger_predictions": m6_challenger_predictions,
+    "a16_wilcoxon_exact": a16_wilcoxon_exact,
+    "a21_importance_check": a21_importance_check,
+    "m1_compiled_predictions": m1_compiled_predictions,
+    "m2_compiled_probabilities": m2_compiled_probabilities,
+    "m5_stream_scores": m5_stream_scores,
+    "m6_kernel_features": m6_kernel_features,
+    "m6_kernel_predictions": m6_kernel_predictions,
+    "s11_fingerprint": s11_fingerprint,
     "m4_scored_units": m4_scored_units,
     "m5_scored_requests": m5_scored_requests,
     "m8_keyed_predictions": m8_keyed_predictions,

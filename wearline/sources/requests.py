@@ -37,6 +37,15 @@ def build_requests(
     return grouped.select(*keys, rid.alias("request_id"), readings.alias("recent_cycles"))
 
 
+def canonical_body(readings: str = "recent_cycles", places: int = 6) -> Column:
+    """A request's readings as text that any engine can write: a list of objects, oldest first, sensors
+    in their order, every number with ``places`` decimals, ``null`` where one is missing."""
+    number = lambda r, s: F.coalesce(F.format_string(f"%.{places}f", r[s]), F.lit("null"))
+    fields = lambda r: F.concat_ws(",", *[F.concat(F.lit(f'"{s}":'), F.when(r[s].isNull(), "null").otherwise(number(r, s))) for s in ALL_SENSORS])
+    rows = F.transform(F.col(readings), lambda r: F.concat(F.lit("{"), fields(r), F.lit("}")))
+    return F.concat(F.lit("["), F.concat_ws(",", rows), F.lit("]"))
+
+
 def parse_request_json(df: DataFrame, body: str = "body") -> DataFrame:
     """Raw JSON bodies ``{"request_id": ..., "recent_cycles": [{...}, ...]}`` to typed records."""
     parsed = F.from_json(F.col(body), REQUEST)

@@ -17,10 +17,25 @@ KEY_COLUMNS = ["unit", "cycle"]
 NUMBER = r"^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|[nN][aA][nN]|[iI]nf(?:inity)?)$"
 
 
+#: A whole number written without a point or an exponent, which is read without a detour.
+WHOLE = r"^[+-]?\d+$"
+
+
 def _number(token: Column) -> Column:
     return F.when(token.rlike(NUMBER), token.try_cast("double"))
 
 
+def _key(token: Column) -> Column:
+    """A whole number: digits exactly, other spellings (``1.0``, ``1e3``) through a double.
+
+    Doubles hold every whole number up to 2**53; beyond, such a spelling names no key for certain
+    and gives NULL, as digits beyond 64 bits do.
+    """
+    d = _number(token)
+    spelled = F.when((d == F.floor(d)) & (F.abs(d) <= F.lit(float(2**53))), d.try_cast("bigint"))
+    return F.when(token.rlike(WHOLE), token.try_cast("bigint")).otherwise(spelled)
+
+
 def parse_lines(lines: DataFrame, value: str = "value", keep: Iterable[str] = ()) -> DataFrame:
     """Parse every non-blank line; a NULL ``error`` marks a good row.
 
@@ -42,23 +57,19 @@ def parse_lines(lines: DataFrame, value: str = "value", keep: Iterable[str] = ()
     staged = staged.select(
         *keep, "_line", F.size("_tok").alias("_n"),
         *[F.get(F.col("_tok"), i).isNotNull().alias(f"_p{i}") for i in range(n)],
-        *[_number(F.get(F.col("_tok"), i)).alias(f"_d{i}") for i in range(n)],
+        *[(_key if c in KEY_COLUMNS else _number)(F.get(F.col("_tok"), i)).alias(f"_d{i}") for i, c in enumerate(TELEMETRY_COLUMNS)],
     )
     fields: list[Column] = []
     any_bad = F.lit(False)
     for i, name in enumerate(TELEMETRY_COLUMNS):
         d = F.col(f"_d{i}")
         if name in KEY_COLUMNS:
-            fields.append(F.when(d == F.floor(d), d.try_cast("bigint")).alias(name))
+            fields.append(d.alias(name))
         else:
             fields.append(F.nanvl(d, F.lit(None).cast("double")).alias(name))
             # "nan" is a number; any other token that fails to cast is not
             any_bad = any_bad | (F.col(f"_p{i}") & d.isNull())
-    key_bad = F.lit(False)
-    # whole keys beyond bigint are no keys either
-    for i in (0, 1):
-        d = F.col(f"_d{i}")
-        key_bad = key_bad | d.isNull() | (d != F.floor(d))
+    key_bad = F.col("_d0").isNull() | F.col("_d1").isNull()
     error = (
         F.when(F.col("_n") != n, F.lit("field_count"))
         .when(any_bad, F.lit("bad_number"))
@@ -67,7 +78,8 @@ def parse_lines(lines: DataFrame, value: str = "value", keep: Iterable[str] = ()
     # The parsed row leaves through a generator: its outputs are plain attributes, so plans
     # built on top (labels, windows, joins) do not carry 26 field expressions into the
     # optimizer's constraint inference, which otherwise grows with every reuse of the input.
-    packed = F.struct(*fields, error.alias("error"), F.col("_line").alias("line"))
+    # only a rejected row keeps its line
+    packed = F.struct(*fields, error.alias("error"), F.when(error.isNotNull(), F.col("_line")).alias("line"))
     return staged.select(*keep, F.inline(F.array(packed)))
 
 
