@@ -1,5 +1,9 @@
 """License scan and decontamination against their SQL, on the cases that tables can hold."""
 
+import itertools
+import math
+import random
+
 import pytest
 
 from tests.llm.helpers import docs, rows, same_as_sql, write
@@ -51,13 +55,67 @@ def test_a_benchmark_in_blocks_gives_the_same_links(spark, scratch):
     assert rows(whole, *whole.columns) == rows(cut, *cut.columns)
 
 
-def test_clean_documents_stay_with_all_columns(spark, scratch):
-    folder = write(scratch, documents=DOCS, benchmark=BENCH[:2])
+@pytest.mark.parametrize("few", [decontaminate.FEW_LEAKS, 0])
+def test_clean_documents_stay_with_all_columns(spark, scratch, few):
+    # a leaking row without an id goes, a clean row that shares a leaking row's id stays
+    table = DOCS + [(None, f"x {ITEM} y", "en", "s", 1), (12, "a clean row", "en", "s", 2)]
+    folder = write(scratch, documents=table, benchmark=BENCH[:2])
     d, b = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
-    kept = decontaminate.keep_clean(d, b)
-    assert kept.columns == d.columns
-    leaked = {r.doc_id for r in decontaminate.links(d, b).collect()}
-    assert sorted(map(repr, (r.doc_id for r in kept.collect()))) == sorted(repr(r[0]) for r in DOCS if r[0] not in leaked)
+    kept = decontaminate.keep_clean(d, b, few)
+    assert kept.columns == d.columns and kept.dtypes == d.dtypes
+    leaking = {f"start {ITEM} end", _swap(ITEM, 4), _swap(ITEM, 3), ITEM.upper(), "w " * 20_000 + ITEM, f"x {ITEM} y"}
+    assert sorted((repr(r.doc_id), repr(r.text)) for r in kept.collect()) == sorted((repr(r[0]), repr(r[1])) for r in table if r[1] not in leaking)
+
+
+def test_removal_with_clashing_columns(spark):
+    df = spark.createDataFrame([(1, ITEM, "a", 2), (2, "clean", "b", 3)], "doc_id int, text string, d1 string, salt int")
+    items = spark.createDataFrame([(1, ITEM)], "item_id int, text string")
+    for few in (10, 0):
+        assert [tuple(r) for r in decontaminate.keep_clean(df, items, few).collect()] == [(2, "clean", "b", 3)]
+
+
+@pytest.mark.parametrize("n", [4, 8, 10, 12, 16, 20, 30, 38])
+def test_masks_hit_items_at_the_threshold(n):
+    """Ways to change as many of n tokens as a link allows, and the share of them that a mask hits."""
+    masks = decontaminate.MASKS if n >= decontaminate.LONG_ITEM else decontaminate.SHORT_MASKS
+    picks = [(len(m), [i for i, b in enumerate(m) if b == "1"]) for m in masks]
+    changed = n - math.ceil(decontaminate.COVERAGE * n)
+    if math.comb(n, changed) < 5000:
+        ways = list(itertools.combinations(range(n), changed))
+    else:
+        ways = [random.Random(i).sample(range(n), changed) for i in range(2000)]
+    hit = 0
+    for way in ways:
+        same = [i not in way for i in range(n)]
+        hit += any(all(same[s + i] for i in pick) for size, pick in picks for s in range(n - size + 1))
+    assert hit / len(ways) >= 0.9
+
+
+def test_links_at_the_threshold_are_found(spark):
+    """Items with 40 % of their tokens changed, and with a word put in, against a plain alignment."""
+    rnd = random.Random(6)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    rows_, items, expected = [], [], set()
+    for i in range(200):
+        n = (8, 12, 16, 25, 40)[i % 5]
+        item = [word() for _ in range(n)]
+        items.append((i, " ".join(item)))
+        for j, own in enumerate((set(rnd.sample(range(n), n - math.ceil(0.6 * n))), set(rnd.sample(range(n), n - math.ceil(0.6 * n) + 1)))):
+            rows_.append((2 * i + j, " ".join([word(), word()] + [word() if k in own else w for k, w in enumerate(item)] + [word()])))
+        expected.add((2 * i, i))
+        rows_.append((1000 + i, " ".join(item[: n // 2] + [word()] + item[n // 2 :])))
+        expected.add((1000 + i, i))
+    found = decontaminate.links(spark.createDataFrame(rows_, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string"))
+    got = {(r.doc_id, r.item_id) for r in found.collect()}
+    assert got <= expected and len(got & expected) / len(expected) >= 0.95
+
+
+def test_chance_hits_far_apart_make_no_link(spark):
+    item = " ".join(f"t{i}" for i in range(20))
+    parts = [" ".join(f"t{i}" for i in range(a, a + 5)) for a in (0, 5, 10, 15)]
+    far = (" " + " ".join(f"x{i}" for i in range(60)) + " ").join(parts)
+    df = spark.createDataFrame([(1, far), (2, " ".join(parts))], "doc_id int, text string")
+    assert [r.doc_id for r in decontaminate.links(df, spark.createDataFrame([(1, item)], "item_id int, text string")).collect()] == [2]
 
 
 def test_native_plans_hold_no_python(spark, scratch):
