@@ -69,6 +69,11 @@ def test_null_ids_and_kept_rows(spark, scratch):
     assert sorted(repr(r.doc_id) for r in kept.collect()) == sorted(repr(name(c)) for c in {id(v): v for v in classes.values()}.values())
 
 
+def test_kept_rows_with_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a b c d e f", "i", 7, "x"), (2, "a b c d e f", "j", 8, "y"), (3, "else", "k", 9, "z")], "doc_id int, text string, id string, n int, digest string")
+    assert rows(near_duplicates.keep_one(df), *df.columns) == [(1.0, "a b c d e f", "i", 7.0, "x"), (3.0, "else", "k", 9.0, "z")]
+
+
 def test_small_tiles_find_the_same(spark, scratch):
     d = spark.read.parquet(f"{write(scratch, documents=docs(*_family(3)))}/documents.parquet")
     signed = near_duplicates.signed(d)

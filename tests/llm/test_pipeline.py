@@ -118,7 +118,7 @@ def test_every_operator_is_registered_once():
     import __spark_entry__ as entry
 
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 

@@ -3,8 +3,9 @@
 The weight (count) of a shingle is cut into dyadic strips [0,1), [1,2), [2,4), [4,8) ...; each
 strip of each shingle has a Poisson process of its own whose rate is the strip's width, seeded by
 the shingle alone. Its points come in ascending order and carry a signature component and a
-discretised weight level, found by halving the strip; a point counts if its level lies under the
-shingle's weight. A component keeps the smallest point, so two multisets agree in a component
+whole-numbered weight level of the strip, drawn at once from the point's bits (counts of shingles
+are small, so halving the strip step by step would save nothing); a point counts if its level lies
+under the shingle's weight. A component keeps the smallest point, so two multisets agree in a component
 with a probability of exactly their weighted Jaccard similarity. A process is left as soon as its
 next point lies above every component of its document.
 """

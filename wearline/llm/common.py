@@ -26,8 +26,8 @@ def shared_folder(spark: SparkSession) -> str:
     cluster that would lose rows, so there the missing setting raises.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    master = spark.sparkContext.master
     if not folder:
-        master = spark.sparkContext.master
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="wearline-", dir="/tmp")
@@ -62,7 +62,21 @@ def land(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._landed_at = path
+    return out
+
+
+def discard(*landed: DataFrame) -> None:
+    """Delete the files of landed tables whose last reader has ended.
+
+    Only tables that nothing written later is going to read again: what was computed from them has
+    been landed itself, so a lost executor does not need them.
+    """
+    for df in landed:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._landed_at)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from wearline.llm.common import land
+from wearline.llm.common import discard, land
 
 
-def _size(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-    return r["n"], r["h"]
+def _landed(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, written, and their number and sum of hashes, which the writing job counts."""
+    seen = Observation()
+    counted = edges.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h"))
+    out = land(counted, "edges")
+    return out, (seen.get["n"], seen.get["h"])
 
 
 def _stars(edges: DataFrame, only_smaller: bool) -> DataFrame:
@@ -32,11 +35,11 @@ def components(edges: DataFrame) -> DataFrame:
     Each step is written to the shared folder. Ends when a step changes nothing; the number of
     steps grows with the logarithm of the longest chain.
     """
-    now = land(edges.filter("a <> b").select("a", "b").distinct(), "edges")
-    before = _size(now)
+    now, before = _landed(edges.filter("a <> b").select("a", "b").distinct())
     while before[0]:
-        now = land(_stars(_stars(now, False), True), "edges")
-        size = _size(now)
+        last = now
+        now, size = _landed(_stars(_stars(last, False), True))
+        discard(last)
         if size == before:
             break
         before = size

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearline.llm import bagmin
-from wearline.llm.common import blocks, land, no_key_clash, table, text_bytes
+from wearline.llm.common import blocks, land, table, text_bytes
 from wearline.llm.components import components
 
 SIMILARITY = 0.8
@@ -99,27 +99,34 @@ def text_components(docs: DataFrame, rows: DataFrame, similarity: float = SIMILA
     named = land(named.select("band", "digest", "bytes", F.coalesce("component", "digest").alias("component")), "named")
     # a bucket of two unjoined texts has been compared already
     mixed = named.groupBy("band").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"), F.sum("bytes").alias("bytes")
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"), F.sum("bytes").alias("bytes"),
+        F.bit_xor(F.xxhash64("digest")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "digest")).alias("y"),
     )
     blocks_of = F.greatest(F.lit(1), F.ceil(F.col("bytes") / F.lit(block_bytes)), F.ceil(F.col("n") / F.lit(BLOCK_TEXTS))).cast("int")
-    mixed = mixed.filter("low <> high AND n > 2").select("band", blocks_of.alias("blocks"))
-    more = land(tiles(named.join(mixed, "band"), texts, similarity), "links")
-    return components(links.unionByName(more))
+    # near copies share several bands: the same texts are compared once
+    mixed = mixed.filter("low <> high AND n > 2").groupBy("n", "bytes", "x", "y").agg(F.min("band").alias("band"))
+    mixed = mixed.select("band", blocks_of.alias("blocks"))
+    more = tiles(named.join(mixed, "band"), texts, similarity)
+    # the second graph is that of the first one's components
+    joined = components(land(more, "links")).withColumnRenamed("component", "whole")
+    done = found.join(joined, found["component"] == joined["node"], "left").select(found["node"], F.coalesce("whole", "component").alias("component"))
+    alone = joined.join(found.select("node"), "node", "left_anti").select("node", F.col("whole").alias("component"))
+    return done.unionByName(alone)
 
 
 def tiles(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """a, b: links between components, from every pair of blocks of each bucket.
+    """a, b: components that a link joins, from every pair of blocks of each bucket.
 
     ``members`` has band, digest, component and the number of the bucket's blocks.
     """
 
     def run(t: pa.Table) -> pa.Table:
-        digest, component = (t.column(c).to_pylist() for c in ("digest", "component"))
+        component = t.column("component").to_pylist()
         number = {c: i for i, c in enumerate(sorted(set(component)))}
         group = np.array([number[c] for c in component])
         found = bagmin.linked(*text_bytes(t.column("text").combine_chunks()), group, similarity) if len(number) > 1 else []
         return pa.table(
-            {"a": pa.array([digest[i] for i, _ in found], pa.binary()), "b": pa.array([digest[j] for _, j in found], pa.binary())}
+            {"a": pa.array([component[i] for i, _ in found], pa.binary()), "b": pa.array([component[j] for _, j in found], pa.binary())}
         )
 
     own = F.pmod(F.hash("digest"), F.col("blocks"))
@@ -148,13 +155,14 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row of each class, that of its smallest id, every column kept."""
     rows = land(_classes(docs, similarity), "classes")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "digest")
-    stay = rows.groupBy("component").agg(F.min(order).alias("s")).select(F.col("s.doc_id").alias("__id"), F.col("s.digest").alias("__digest"))
-    times = rows.groupBy(F.col("doc_id").alias("__id2"), F.col("digest").alias("__digest2")).agg(F.count("*").alias("__n"))
-    stay = stay.join(times, F.col("__id").eqNullSafe(F.col("__id2")) & (F.col("__digest") == F.col("__digest2"))).select("__id", "__digest", "__n")
-    kept = no_key_clash(docs, "__id", "__digest", "__n").withColumn("__d", digest_of(F.col("text")))
-    kept = kept.join(land(stay, "kept"), (F.col("__d") == F.col("__digest")) & F.col("doc_id").eqNullSafe(F.col("__id")))
-    single, repeated = kept.filter("__n = 1"), kept.filter("__n > 1").dropDuplicates(["__d"])
-    return single.unionByName(repeated).select(*docs.columns)
+    stay = rows.groupBy("component").agg(F.min(order).alias("s")).select("s.doc_id", "s.digest")
+    times = rows.groupBy(F.col("doc_id").alias("id"), F.col("digest").alias("own")).agg(F.count("*").alias("n"))
+    stay = stay.join(times, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("own"))).select("id", "own", "n")
+    # the caller's columns travel as one, so none clashes
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id"), digest_of(F.col("text")).alias("digest"))
+    kept = whole.join(land(stay, "kept"), (F.col("digest") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("id")))
+    single, repeated = kept.filter("n = 1"), kept.filter("n > 1").dropDuplicates(["digest"])
+    return single.unionByName(repeated).select("row.*")
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

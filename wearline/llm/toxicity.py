@@ -6,21 +6,24 @@ Every document is then scored over all of its overlapping windows; its score is
 
 Results for special rows: a null or empty text, or one without words, is scored as one window
 without words; repeated rows are scored alike, row by row; a null id is scored and counts as not
-held out; a label that is null marks nothing and several labels of one id count as their largest;
+held out; a label that is null marks nothing, several labels of one id count as their largest, and
+of several texts of an id the smallest is learned from;
 without labels of both classes every score is the share of label 1 (0 without any label).
 """
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wearline.llm.common import blocks, crc_mod, no_key_clash, table, text_bytes
+from wearline.llm.common import blocks, crc_mod, land, no_key_clash, table, text_bytes
 from wearline.llm.gru import BiGRU, read_block
 
 #: Labelled documents of label 0 and 1 that the network learns from, at most.
@@ -33,32 +36,24 @@ POSITIVE_WEIGHT = 0.35
 SCORE = "toxicity_score"
 
 
-def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Texts and labels of the sample; rows of the held-out fold are never read."""
+def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """order, doc_id, text, toxic of the sample; rows of the held-out fold are never read."""
     known = (
         labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (crc_mod("doc_id", 4) != 2))
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
         .withColumn("order", F.xxhash64("doc_id"))
     )
-    ranked = known.withColumn("n", F.row_number().over(Window.partitionBy("toxic").orderBy("order", "doc_id")))
-    chosen = ranked.filter(((F.col("toxic") == 0) & (F.col("n") <= SAMPLE[0])) | ((F.col("toxic") == 1) & (F.col("n") <= SAMPLE[1])))
-    # at most sum(SAMPLE) ids are broadcast
-    rows = (
-        docs.select("doc_id", "text")
-        .filter(F.octet_length("text") <= SAMPLE_BYTES)
-        .join(F.broadcast(chosen.select("doc_id", "toxic", "order")), "doc_id")
-        .dropDuplicates(["doc_id"])
-        .select("order", "doc_id", "text", "toxic")
-        .collect()
-    )
-    rows.sort(key=lambda r: (r["order"], r["doc_id"]))
-    return [r["text"] for r in rows], np.array([r["toxic"] for r in rows], float)
+    # each task hands on the first of its rows only
+    first = [known.filter(F.col("toxic") == c).orderBy("order", "doc_id").limit(n) for c, n in enumerate(SAMPLE)]
+    chosen = first[0].unionByName(first[1])
+    # at most sum(SAMPLE) ids are broadcast; of several texts of an id the smallest counts
+    rows = docs.select("doc_id", "text").filter(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(chosen), "doc_id")
+    return rows.groupBy("order", "doc_id", "toxic").agg(F.min("text").alias("text")).select("order", "doc_id", "text", "toxic")
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> BiGRU | float:
-    """The fitted network, or the share of label 1 where the sample lacks a class."""
-    texts, label = training_sample(docs, labels)
+def learned(texts: list[str], label: np.ndarray) -> BiGRU | float:
+    """The network fitted on these texts, or the share of label 1 where a class is missing."""
     if len(set(label.tolist())) < 2:
         return float(label.mean()) if len(label) else 0.0
     as_block = lambda t: read_block(*text_bytes(pa.array(t, pa.string())))
@@ -70,6 +65,24 @@ def fit(docs: DataFrame, labels: DataFrame) -> BiGRU | float:
     return model
 
 
+def fit(docs: DataFrame, labels: DataFrame) -> BiGRU | float:
+    """The fitted network, or the share of label 1 where the sample lacks a class.
+
+    One task reads the sample (at most ``sum(SAMPLE)`` texts of ``SAMPLE_BYTES``) and fits; the
+    driver gets the parameters (8 MB), to broadcast them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for batch in batches for r in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True)]
+        rows.sort(key=lambda r: (r[0], r[1]))
+        model = learned([r[2] for r in rows], np.array([r[3] for r in rows], float))
+        yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(pickle.dumps(model), 1)], pa.binary())], names=["model"])
+
+    sample = land(training_sample(docs, labels), "toxicity-sample")
+    packed = sample.repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(zlib.decompress(packed["model"])) if packed else 0.0
+
+
 def with_score(docs: DataFrame, model: BiGRU | float, name: str = SCORE) -> DataFrame:
     """``docs`` and a column of scores; a column of that name is replaced."""
     docs = no_key_clash(docs, name)
