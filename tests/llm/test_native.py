@@ -32,6 +32,18 @@ def test_license_scan_equals_its_sql(spark, scratch):
     assert by_id[10].first_word == 30_000 and by_id[5].labels == "gpl,gpl-3.0" and by_id[6].n_base == 0 and by_id[7].n_base == 2
 
 
+def test_licence_texts_are_found_whole_and_changed(spark, scratch):
+    texts = {k: words for k, (words, _) in licenses.TEXTS.items()}
+    table = docs(*[f"Copyright 2020 Somebody\n\n{w.upper()}." for w in texts.values()], ids=list(range(len(texts))))
+    mit = texts["mit-text"].split()
+    table += docs(" ".join("other" if i % 20 == 15 else w for i, w in enumerate(mit)), " ".join(mit[:60]), " ".join(mit[30:]), ids=[50, 51, 52])
+    got = {r.doc_id: r for r in same_as_sql(spark, write(scratch, documents=table), licenses, "op9_license_scan").collect()}
+    for i, label in enumerate(texts):
+        assert label in got[i].labels.split(",") and got[i].score == 1.0
+    assert "bsd-2-clause-text" in got[list(texts).index("bsd-3-clause-text")].labels and got[list(texts).index("bsd-2-clause-text")].labels == "bsd-2-clause-text"
+    assert got[50].labels == "mit-text" and 0.9 < got[50].score < 1.0 and got[51].labels == "mit-text" and got[51].score < 0.5 and got[52].labels == ""
+
+
 def test_license_scan_of_an_empty_table(spark, scratch):
     assert same_as_sql(spark, write(scratch, documents=[]), licenses, "op9_license_scan").count() == 0
 

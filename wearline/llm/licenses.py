@@ -22,7 +22,8 @@ from wearline.llm.common import land, table
 BASE_PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
 #: Templates of the method itself: label -> (words of the notice, its mandatory key phrases).
-#: A template counts where all its key phrases stand at their relative positions.
+#: A template counts where all its key phrases stand at their relative positions; its score is the
+#: share of all its words that do. The first key phrase is the one that is looked up.
 TEMPLATES = {
     "mit-notice": ("released under the mit license", ["under the mit license"]),
     "apache-2.0": ("licensed under the apache license version 2 0", ["apache license version 2 0"]),
@@ -41,6 +42,87 @@ TEMPLATES = {
     "bsd-3-clause": ("licensed under the bsd 3 clause license", ["bsd 3 clause"]),
 }
 
+# Wording of the licences themselves (their texts, or the notice that they ask for in
+# every file), as words of the contract, in their order; then the key phrases that must stand there.
+TEXTS = {
+    "mit-text": (
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation"
+        " files the software to deal in the software without restriction including without limitation the rights to use copy modify"
+        " merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is"
+        " furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be"
+        " included in all copies or substantial portions of the software the software is provided as is without warranty of any kind"
+        " express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and"
+        " noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability"
+        " whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or"
+        " other dealings in the software",
+        ["modify merge publish distribute sublicense", "permission is hereby granted free of charge"],
+    ),
+    "isc-text": (
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided"
+        " that the above copyright notice and this permission notice appear in all copies the software is provided as is and the"
+        " author disclaims all warranties with regard to this software including all implied warranties of merchantability and"
+        " fitness in no event shall the author be liable for any special direct indirect or consequential damages or any damages"
+        " whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action"
+        " arising out of or in connection with the use or performance of this software",
+        ["with or without fee is hereby granted", "this permission notice appear in all copies"],
+    ),
+    "bsd-2-clause-text": (
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following"
+        " conditions are met 1 redistributions of source code must retain the above copyright notice this list of conditions and the"
+        " following disclaimer 2 redistributions in binary form must reproduce the above copyright notice this list of conditions and"
+        " the following disclaimer in the documentation and or other materials provided with the distribution",
+        ["redistribution and use in source and binary forms", "redistributions in binary form must reproduce"],
+    ),
+    "bsd-3-clause-text": (
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following"
+        " conditions are met 1 redistributions of source code must retain the above copyright notice this list of conditions and the"
+        " following disclaimer 2 redistributions in binary form must reproduce the above copyright notice this list of conditions and"
+        " the following disclaimer in the documentation and or other materials provided with the distribution 3 neither the name of"
+        " the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this"
+        " software without specific prior written permission",
+        ["used to endorse or promote products derived", "redistribution and use in source and binary forms"],
+    ),
+    "apache-2.0-notice": (
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you"
+        " may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to"
+        " in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any"
+        " kind either express or implied see the license for the specific language governing permissions and limitations under the"
+        " license",
+        ["except in compliance with the license", "apache license version 2 0"],
+    ),
+    "gpl-3.0-notice": (
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as"
+        " published by the free software foundation either version 3 of the license or at your option any later version this program"
+        " is distributed in the hope that it will be useful but without any warranty without even the implied warranty of"
+        " merchantability or fitness for a particular purpose see the gnu general public license for more details",
+        ["gnu general public license as published by the free software foundation", "either version 3 of the license"],
+    ),
+    "gpl-2.0-notice": (
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as"
+        " published by the free software foundation either version 2 of the license or at your option any later version this program"
+        " is distributed in the hope that it will be useful but without any warranty without even the implied warranty of"
+        " merchantability or fitness for a particular purpose see the gnu general public license for more details",
+        ["gnu general public license as published by the free software foundation", "either version 2 of the license"],
+    ),
+    "mpl-2.0-notice": (
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed"
+        " with this file you can obtain one at http mozilla org mpl 2 0",
+        ["terms of the mozilla public license v 2 0"],
+    ),
+    "zlib-text": (
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any"
+        " damages arising from the use of this software permission is granted to anyone to use this software for any purpose"
+        " including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+        ["to alter it and redistribute it freely", "permission is granted to anyone to use this software"],
+    ),
+    "unlicense-text": (
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell"
+        " or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial"
+        " and by any means",
+        ["free and unencumbered software released into the public domain"],
+    ),
+}
+
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -52,7 +134,7 @@ def _find(words: list[str], part: list[str]) -> int:
 def _entries() -> list[tuple]:
     """One entry for each base phrase and template: the key phrase looked up, and what it proves."""
     out = [("base", label, p.split(), 0, p.split(), [p.split()]) for p, label in BASE_PHRASES.items()]
-    for label, (notice, keys) in TEMPLATES.items():
+    for label, (notice, keys) in (TEMPLATES | TEXTS).items():
         words = notice.split()
         first = keys[0].split()
         out.append(("method", label, first, _find(words, first), words, [k.split() for k in keys]))
