@@ -1,3 +1,4 @@
+import collections
 import random
 import zlib
 
@@ -64,7 +65,7 @@ def test_solver_packs_every_piece_and_matches_exhaustive_search():
     for _ in range(60):
         lengths = sorted((rnd.randint(1, 20) for _ in range(rnd.randint(1, 9))), reverse=True)
         counts = {k: lengths.count(k) for k in set(lengths)}
-        patterns = packing.solve(counts, 20)
+        patterns = packing.solve(counts, 20).patterns
         assert _used(patterns) == counts and all(sum(i) <= 20 for _, i in patterns)
         assert packing.lower_bound(counts, 20) <= sum(n for n, _ in patterns) == _fewest(lengths, 20)
 
@@ -73,10 +74,10 @@ def test_solver_on_many_pieces_is_near_the_bound():
     rng = np.random.default_rng(2)
     k, n = np.unique(rng.integers(1, 1025, 200_000), return_counts=True)
     counts = dict(zip(k.tolist(), n.tolist(), strict=True))
-    patterns = packing.solve(counts, nodes=50)
+    patterns = packing.solve(counts, budget=packing.Budget(nodes=50)).patterns
     assert _used(patterns) == counts
     assert sum(n for n, _ in patterns) <= 1.002 * packing.lower_bound(counts, 1024)
-    assert packing.solve({}) == []
+    assert packing.solve({}).patterns == []
 
 
 def test_pieces_and_sequences(spark, scratch):
@@ -110,7 +111,28 @@ def test_solver_with_thousands_of_tiny_pieces():
     k, n = np.unique(rng.integers(1, 1025, 3000), return_counts=True)
     for tiny in ({1: 50_000}, {1: 7, 2: 90_000}, {1: 40_000, 2: 1, 3: 700}):
         counts = dict(zip(k.tolist(), n.tolist(), strict=True)) | tiny
-        patterns = packing.solve(counts, nodes=30)
+        patterns = packing.solve(counts, budget=packing.Budget(nodes=30)).patterns
         assert _used(patterns) == counts and all(sum(i) <= 1024 for _, i in patterns)
         assert sum(n for n, _ in patterns) <= packing.lower_bound(counts, 1024) + 2
-    assert sum(n for n, _ in packing.solve({1: 5000})) == 5
+    assert sum(n for n, _ in packing.solve({1: 5000}).patterns) == 5
+
+
+def test_plan_tells_why_the_search_ended():
+    whole = packing.solve({600: 3, 424: 3})
+    assert (whole.sequences, whole.bound, whole.ended) == (3, 3, "bound")
+    # seven pieces of 3 in sequences of 8: two each, one below what the total length allows
+    plan = packing.solve({3: 1, 5: 1, 7: 1}, 9)
+    assert plan.ended in ("bound", "complete") and plan.sequences == 2
+    rnd = random.Random(3)
+    counts = collections.Counter(rnd.randint(180, 500) for _ in range(400))
+    short = packing.solve(counts, budget=packing.Budget(nodes=1, fillings=1, steps=50))
+    assert short.sequences >= short.bound and (short.ended == "budget" or short.sequences == short.bound)
+    longer = packing.solve(counts)
+    assert longer.sequences <= short.sequences and longer.bound == short.bound
+
+
+def test_pack_reports_its_plan(spark):
+    plans = []
+    df = spark.createDataFrame([(i, "word " * (40 * i)) for i in range(12)], "doc_id int, text string")
+    out = packing.pack(df, report=plans.append).collect()
+    assert plans[0].sequences == len({r.sequence_id for r in out}) >= plans[0].bound

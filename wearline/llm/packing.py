@@ -6,7 +6,8 @@
    around the largest remaining piece the undominated fillings are enumerated by waste, a branch
    whose waste exceeds what would still beat the incumbent is cut, and best-fit solutions are the
    first incumbents. A filling is used as often as its pieces allow, so the solution is a few
-   thousand patterns at any number of documents.
+   thousand patterns at any number of documents. The search has a ``Budget``; its ``Plan`` tells
+   the lower bound and whether the budget ended it.
 3. Pieces of one length are numbered (counts per task and length, then running sums) and take
    the slots of the patterns by their number.
 
@@ -17,8 +18,10 @@ columns are ignored.
 
 from __future__ import annotations
 
+import logging
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +34,30 @@ from wearline.llm.tokens import byte_bpe
 
 CAPACITY = 1024
 END_ID = 2
-#: Branches the search looks at before it keeps its best solution.
-NODES = 2500
-#: Fillings looked at around one piece, and steps of their enumeration.
-FILLINGS, STEPS = 6, 4000
+_LOG = logging.getLogger(__name__)
+
+
+@dataclass(frozen=True)
+class Budget:
+    """Where the search ends if it has not reached the lower bound or tried everything before:
+    branches in all, and for each branch the fillings around its piece and the steps to list them."""
+
+    nodes: int = 2500
+    fillings: int = 6
+    steps: int = 4000
+
+
+@dataclass(frozen=True)
+class Plan:
+    """Patterns of a packing; ``ended`` tells why the search did: ``bound`` (as few sequences as the
+    lower bound, so no packing has fewer), ``complete`` (all undominated fillings tried) or ``budget``
+    (a limit was met, so ``sequences - bound`` is the most that a longer search could save)."""
+
+    patterns: list
+    sequences: int
+    bound: int
+    branches: int
+    ended: str
 
 
 # ---- solver over the histogram of lengths ------------------------------------------------------
@@ -96,11 +119,12 @@ def _dominated(filling: tuple[int, ...], waste: int, lengths: list[int], counts:
     return any(x in better and counts[x] > used.get(x, 0) for x in lengths)
 
 
-def fillings(counts: dict[int, int], room: int, slack: int) -> list[tuple[int, ...]]:
-    """Undominated sets of pieces for ``room`` that waste at most ``slack``, least waste first."""
+def fillings(counts: dict[int, int], room: int, slack: int, budget: Budget = Budget()) -> tuple[list[tuple[int, ...]], bool]:
+    """Undominated sets of pieces for ``room`` that waste at most ``slack``, least waste first, and
+    whether the budget ended the list."""
     lengths = sorted((k for k in counts if k <= room), reverse=True)
     if not lengths or room <= 0:
-        return [()] if room <= slack else []
+        return ([()] if room <= slack else []), False
     # reach[i]: the sums that lengths[i:] can make, as bits
     reach, full = [1] * (len(lengths) + 1), (1 << (room + 1)) - 1
     for i in range(len(lengths) - 1, -1, -1):
@@ -119,7 +143,7 @@ def fillings(counts: dict[int, int], room: int, slack: int) -> list[tuple[int, .
         """Fillings that waste exactly ``waste``, those of longer pieces first."""
         nonlocal steps
         stack: list[tuple[int, int, tuple[tuple[int, int], ...]]] = [(0, room, ())]
-        while stack and len(found) < FILLINGS and steps < STEPS:
+        while stack and len(found) < budget.fillings and steps < budget.steps:
             i, left, chosen = stack.pop()
             if left == waste:
                 found.append(tuple(k for k, n in chosen for _ in range(n)))
@@ -136,28 +160,28 @@ def fillings(counts: dict[int, int], room: int, slack: int) -> list[tuple[int, .
             before = len(found)
             walk(waste)
             found[before:] = [f for f in found[before:] if not _dominated(f, waste, lengths, counts)] or found[before : before + 1]
-        if len(found) >= FILLINGS or steps >= STEPS:
-            break
-    return found[:FILLINGS]
+        if len(found) >= budget.fillings or steps >= budget.steps:
+            return found[: budget.fillings], True
+    return found, False
 
 
-def _options(counts: dict[int, int], capacity: int, slack: int) -> Iterator[tuple[int, ...]]:
-    """Sets around the largest piece, best first: one piece that fits exactly dominates all others."""
+def _options(counts: dict[int, int], capacity: int, slack: int, budget: Budget) -> tuple[Iterator[tuple[int, ...]], bool]:
+    """Sets around the largest piece, best first, and whether the budget left some out: one piece
+    that fits exactly dominates all others."""
     largest = max(counts)
     rest = _take(counts, (largest,), 1)
     room = capacity - largest
     if room in rest:
-        yield largest, room
-        return
-    for filling in fillings(rest, room, slack):
-        yield largest, *filling
+        return iter([(largest, room)]), False
+    found, short = fillings(rest, room, slack, budget)
+    return iter([(largest, *f) for f in found]), short
 
 
-def solve(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[Pattern]:
+def solve(counts: dict[int, int], capacity: int = CAPACITY, budget: Budget = Budget()) -> Plan:
     """Patterns that hold every piece, in as few sequences as the search finds."""
     counts = {k: n for k, n in counts.items() if n}
     if not counts:
-        return []
+        return Plan([], 0, 0, 0, "bound")
     size = lambda patterns: sum(n for n, _ in patterns)
     total = sum(k * n for k, n in counts.items())
     least = lower_bound(counts, capacity)
@@ -166,15 +190,15 @@ def solve(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES)
     left, least_waste = counts, []
     while left:
         # the enumeration may end, by its steps, before its first filling
-        items = next(_options(left, capacity, capacity), None) or _greedy(left, capacity)
+        items = next(_options(left, capacity, capacity, budget)[0], None) or _greedy(left, capacity)
         times = _times(items, left)
         least_waste.append((times, items))
         left = _take(left, items, times)
     if size(least_waste) < size(best):
         best = least_waste
     # depth first: (what is left, patterns so far, waste so far, options not yet tried)
-    stack = [(counts, (), 0, None)]
-    while stack and nodes > 0 and size(best) > least:
+    stack, branches, short = [(counts, (), 0, None)], 0, False
+    while stack and branches < budget.nodes and size(best) > least:
         left, chain, waste, options = stack.pop()
         slack = (size(best) - 1) * capacity - total - waste
         if slack < 0:
@@ -187,8 +211,9 @@ def solve(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES)
             best = found[::-1]
             continue
         if options is None:
-            nodes -= 1
-            options = _options(left, capacity, slack)
+            branches += 1
+            options, cut_off = _options(left, capacity, slack, budget)
+            short |= cut_off
         items = next(options, None)
         if items is None:
             continue
@@ -196,8 +221,11 @@ def solve(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES)
         times = _times(items, left)
         # the waste bound also limits how often a wasteful filling can be used
         lost = (capacity - sum(items)) * times
+        # taken as often as its pieces allow: other shares of a filling are not tried
+        short |= times > 1
         stack.append((_take(left, items, times), ((times, items), chain), waste + lost, None))
-    return best
+    ended = "bound" if size(best) == least else "budget" if stack or short else "complete"
+    return Plan(best, size(best), least, branches, ended)
 
 
 def slots(patterns: list[Pattern]) -> dict[str, np.ndarray]:
@@ -263,15 +291,22 @@ def pieces_of(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID) -
     return docs.select("doc_id", "text").mapInArrow(run, _PIECES.format(id=id_type))
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, nodes: int = NODES) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece."""
+def pack(docs: DataFrame, capacity: int = CAPACITY, budget: Budget = Budget(), report: Callable[[Plan], None] | None = None) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece.
+
+    ``report`` gets the plan: sequences, lower bound and why the search ended, which is logged too.
+    """
     pieces = land(pieces_of(docs, capacity), "pieces")
     per_task = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     first = per_task.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     # one row for each length: at most ``capacity``
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    where = slots(solve(counts, capacity, nodes))
+    plan = solve(counts, capacity, budget)
+    _LOG.info("%d sequences, lower bound %d, %d branches, ended by %s", plan.sequences, plan.bound, plan.branches, plan.ended)
+    if report is not None:
+        report(plan)
+    where = slots(plan.patterns)
     step = np.int64(1) << np.int64(48)
     keys = where["length"] * step + where["first"]
 
