@@ -56,8 +56,9 @@ def test_index_finds_repeated_strings():
             assert repeated_starts(data, at, length).tolist() == expected
 
 
-@pytest.mark.parametrize("hot", [5000, 2])
-def test_spans_equal_brute_force(spark, hot):
+@pytest.mark.parametrize("hot, least", [(5000, 64), (2, 64), (5000, 1), (2, 1)])
+def test_spans_equal_brute_force(spark, monkeypatch, hot, least):
+    monkeypatch.setattr("wearline.llm.common.HOT_LEAST", least)
     rows = _rows()
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     assert sorted((tuple(r) for r in repeats.spans(df, 40, 20, hot).collect()), key=repr) == brute(rows, 40)
@@ -77,7 +78,19 @@ def test_query_on_special_rows(spark, scratch):
     long = "x".join(str(i * i) for i in range(300))
     table = docs(None, "", "short", "short", long, long[200:700] + "tail", "é" * 400, ids=[None, 1, 2, 2, 4, 5, 6])
     got = repeats.op7_run_length_dedup(spark, write(scratch, documents=table))
-    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute([(r[0], r[1]) for r in table], 400)
+    found = got.collect()
+    assert sorted((tuple(r)[:5] for r in found), key=repr) == brute([(r[0], r[1]) for r in table], 400)
+    assert {r.doc_id: r.text for r in found}[5] == "tail" and all(hashlib.sha256(r.text.encode()).hexdigest() == r.kept_sha256 for r in found)
+
+
+def test_reported_passages(spark):
+    rnd = random.Random(4)
+    word = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    many, wide = " ".join(word(8) for _ in range(55)), " ".join(word(30) for _ in range(20))
+    rows = [(1, f"one {many} two"), (2, f"{many}"), (3, f"x {wide}"), (4, f"{wide} y"), (5, "alone")]
+    got = {r.doc_id: r for r in repeats.cuts(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert [p.strip() for p in got[1].passages] == [many] and got[2].passages == [many] and got[2].text == ""
+    assert got[3].n_spans == 1 and got[3].passages == [] and got[5].text == "alone" and got[5].passages == []
 
 
 def test_empty_table(spark, scratch):

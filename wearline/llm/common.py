@@ -79,6 +79,25 @@ def discard(*landed: DataFrame) -> None:
         path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+#: Keys of more than 1 in this many rows (and of more than ``HOT_LEAST``) are looked up by broadcast.
+HOT_SHARE, HOT_LEAST = 65_536, 64
+
+
+def hot_bar(rows: int) -> int:
+    return max(HOT_LEAST, rows // HOT_SHARE)
+
+
+def looked_up(rows: DataFrame, facts: DataFrame, keys: list[str], weight: str, bar: int) -> DataFrame:
+    """Inner join of ``rows`` with ``facts`` (one row for each key), whose ``weight`` counts the key's rows.
+
+    Keys of more than ``bar`` rows, of which there are at most ``rows / bar``, are in a broadcast
+    table, so their rows stay where they are; the rest is joined by a shuffle.
+    """
+    hot, usual = facts.filter(F.col(weight) > bar), facts.filter(F.col(weight) <= bar)
+    own = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return rows.join(F.broadcast(hot), keys).unionByName(own.join(usual, keys))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

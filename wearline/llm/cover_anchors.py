@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wearline.llm.common import SpanHashes, blocks, land, mix64, runs_of, table, text_bytes
+from wearline.llm.common import SpanHashes, blocks, discard, hot_bar, land, looked_up, mix64, runs_of, table, text_bytes
 from wearline.llm.words import word_spans
 
 WORDS = 35
@@ -43,10 +43,6 @@ WORDS = 35
 PERIOD, COVER = 21, (0, 1, 4, 14, 16)
 #: A longer text is hashed in pieces.
 PIECE_BYTES = 4_000_000
-#: Keys of more than 1 in this many rows are looked up by broadcast, which bounds their number.
-HOT_SHARE = 65_536
-_HOT_LEAST = 64
-
 _byte = np.arange(256)
 _IN_WORD = ~((_byte == 0x20) | ((_byte >= 0x09) & (_byte <= 0x0D)))
 _OTHER_BYTES = mix64(np.arange(1_001, 1_257, dtype=np.uint64))
@@ -135,21 +131,6 @@ def covered_words(count: int, starts: np.ndarray, words: int) -> np.ndarray:
 # ---- Spark side --------------------------------------------------------------------------------
 
 
-def hot_bar(rows: int) -> int:
-    return max(_HOT_LEAST, rows // HOT_SHARE)
-
-
-def looked_up(rows: DataFrame, facts: DataFrame, keys: list[str], weight: str, bar: int) -> DataFrame:
-    """Inner join of ``rows`` with ``facts`` (one row for each key), whose ``weight`` counts the key's rows.
-
-    Keys of more than ``bar`` rows, of which there are at most ``rows / bar``, are in a broadcast
-    table, so their rows stay where they are; the rest is joined by a shuffle.
-    """
-    hot, usual = facts.filter(F.col(weight) > bar), facts.filter(F.col(weight) <= bar)
-    own = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    return rows.join(F.broadcast(hot), keys).unionByName(own.join(usual, keys))
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     return docs.withColumns({"d1": F.xxhash64(text), "d2": F.xxhash64(F.lit(1), text)})
@@ -177,6 +158,7 @@ def _marks(texts: DataFrame, words: int, period: int, cover: Sequence[int]) -> D
     again = rows.groupBy("h").agg(F.count("*").alias("n"), F.min("g").alias("low"), F.max("g").alias("high")).filter("n > 1")
     again = land(again.select("h", "n", (F.col("low") != F.col("high")).alias("mixed")), "cover-again")
     met = land(looked_up(rows, again, ["h"], "n", bar).drop("n"), "cover-met")
+    discard(rows, again)
     kinds = met.filter("mixed").groupBy("h", "g").agg(F.count("*").alias("n"), F.min(F.struct(*_KEYS, "p")).alias("one"))
     kinds = land(kinds, "cover-kinds")
     same = looked_up(met.filter("mixed"), kinds.filter("n > 1").select("h", "g", "n"), ["h", "g"], "n", bar)

@@ -32,8 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.llm.common import SpanHashes, land, table
-from wearline.llm.cover_anchors import hot_bar, looked_up
+from wearline.llm.common import SpanHashes, hot_bar, land, looked_up, table
 
 #: Turns of a block; a longer conversation is a block of its own.
 BLOCK_TURNS = 500_000

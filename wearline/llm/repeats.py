@@ -9,7 +9,8 @@ stand elsewhere make up a passage of more words than that (they may stand in dif
    that share an anchor make up its segment; each window lies in exactly one segment.
 2. Segments meet by the hash of their anchor. Two equal segments prove all their windows
    repeated. An anchor that stands nowhere else proves that none of its windows is. What is left
-   are the segments at the edges of repeats.
+   are the segments at the edges of repeats. (So the bytes inside long repeats are decided here,
+   by hashes of whole segments, and the transform decides the edges.)
 3. Those, with one segment for each kind of equal ones of the same anchor, are indexed in groups
    of whole anchors by a run-length transform (``rlbwt.py``), whose matching statistics say which
    windows stand elsewhere. Anchors with more than ``HOT`` such segments don't go to one task:
@@ -28,15 +29,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wearline.llm.common import SpanHashes, blocks, land, mix64, runs_of, table, text_bytes
+from wearline.llm.common import SpanHashes, blocks, discard, hot_bar, land, looked_up, mix64, runs_of, table, text_bytes
 from wearline.llm.rlbwt import repeated_starts
 from wearline.llm.words import word_spans
 
 LENGTH, GRAM = 400, 200
+#: Removed passages of more words are reported.
+PASSAGE_WORDS = 50
 #: Segments of one anchor that one task indexes; beyond, windows are counted by a shuffle.
 HOT = 5_000
 #: Bytes of segments in one index (whole anchors).
@@ -178,31 +181,36 @@ def _segments(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _judged(segments: DataFrame) -> DataFrame:
-    """d1, d2, p, h, sure, ask: segments proven repeated, and those that the index needs."""
-    # equal rows come from several tasks only for a text with copies, which is repeated anyway
-    own = Window.partitionBy("h").orderBy("g", "d1", "d2", "p")
-    rows = segments.select(
-        "*",
-        F.lag("g").over(own).alias("before"),
-        F.lead("g").over(own).alias("after"),
-        F.min("g").over(Window.partitionBy("h")).alias("low"),
-        F.max("g").over(Window.partitionBy("h")).alias("high"),
-    )
-    first = F.col("before").isNull() | (F.col("before") != F.col("g"))
-    sure = (F.col("before") == F.col("g")) | (F.col("after") == F.col("g"))
-    rows = rows.filter("before IS NOT NULL OR after IS NOT NULL").select(
-        "d1", "d2", "p", "h", F.coalesce(sure, F.lit(False)).alias("sure"), ((F.col("low") != F.col("high")) & first).alias("ask")
-    )
-    return rows
-
-
-def _finish(n: int, text: bytes, starts: np.ndarray, stops: np.ndarray, length: int, words: int | None) -> tuple[int, int, bytes]:
-    """Removed bytes, removed runs and the rest of a text."""
+    """d1, d2, p, h, sure, ask: segments proven repeated, and those that the index needs.
+
+    Anchors are counted before they move; the counts of frequent ones go to every task, so that no
+    task takes all segments of one anchor.
+    """
+    rows = land(segments, "repeat-anchors")
+    bar = hot_bar(rows.count())
+    again = rows.groupBy("h").agg(F.count("*").alias("n"), F.min("g").alias("low"), F.max("g").alias("high")).filter("n > 1")
+    again = land(again.select("h", "n", (F.col("low") != F.col("high")).alias("mixed")), "repeat-again")
+    met = land(looked_up(rows, again, ["h"], "n", bar).drop("n"), "repeat-met")
+    discard(rows, again)
+    # equal segments of one anchor prove each other; one of each kind is indexed
+    kinds = met.filter("mixed").groupBy("h", "g").agg(F.count("*").alias("n"), F.min(F.struct("d1", "d2", "p")).alias("one"))
+    judged = looked_up(met.filter("mixed"), land(kinds, "repeat-kinds"), ["h", "g"], "n", bar)
+    asks = F.struct("d1", "d2", "p") == F.col("one")
+    alike = met.filter("NOT mixed").select("d1", "d2", "p", "h", F.lit(True).alias("sure"), F.lit(False).alias("ask"))
+    return alike.unionByName(judged.select("d1", "d2", "p", "h", (F.col("n") > 1).alias("sure"), asks.alias("ask")))
+
+
+def _finish(n: int, text: bytes, starts: np.ndarray, stops: np.ndarray, length: int, words: int | None) -> tuple[int, int, bytes, list[bytes]]:
+    """Removed bytes, removed runs, the rest of a text, and the runs of over ``PASSAGE_WORDS`` words."""
+    if not len(starts):
+        return 0, 0, text, []
     if words is not None:
         starts, stops = passages(text, starts, stops, length, words)
     mask = covered(n, starts, stops, length)
+    first, after = runs_of(mask)
+    cut = [text[a:b] for a, b in zip(first.tolist(), after.tolist(), strict=True)]
     kept = np.frombuffer(text, np.uint8)[~mask].tobytes()
-    return int(mask.sum()), len(runs_of(mask)[0]), kept
+    return int(mask.sum()), len(cut), kept, [c for c in cut if len(c.split()) > PASSAGE_WORDS]
 
 
 _MARKS = "array<struct<p:bigint,h:bigint,sure:boolean,ask:boolean>>"
@@ -260,7 +268,9 @@ def _index_answers(asked: DataFrame, length: int, hot: int) -> DataFrame:
     schema = "d1 bigint, d2 bigint, p bigint"
     # rows that repeat an id and a text supply the same segments: they count once
     one = ["h", "d1", "d2", "start"]
-    apart = usual.repartition("h").dropDuplicates(one).sortWithinPartitions(*one)
+    # an explicit number of partitions: the rows are few, the work on each is not
+    many_tasks = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    apart = usual.repartition(many_tasks, "h").dropDuplicates(one).sortWithinPartitions(*one)
     found = apart.select("h", "d1", "d2", "start", "segment").mapInArrow(run, schema)
     if many.isEmpty():
         return found
@@ -287,8 +297,8 @@ def _index_answers(asked: DataFrame, length: int, hot: int) -> DataFrame:
 
 
 #: Columns that the steps add to the rows.
-_OWN = (*_KEYS, "n_bytes", "n_removed", "n_spans", "kept_sha256", "marks", "copied", "speaks", "open", "supplies", "found", "copies", "least")
-_DONE = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+_OWN = (*_KEYS, "n_bytes", "n_removed", "n_spans", "kept_sha256", "passages", "marks", "copied", "speaks", "open", "supplies", "found", "copies", "least")
+_DONE = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, passages array<string>"
 
 
 def _resolved(docs: DataFrame, length: int, gram: int, hot: int, keep_text: bool, words: int | None = None) -> DataFrame:
@@ -301,7 +311,7 @@ def _resolved(docs: DataFrame, length: int, gram: int, hot: int, keep_text: bool
     out_schema = T.StructType([*docs.schema.fields, *T.StructType.fromDDL(_DONE).fields])
     opened = opened.select(*names, "marks", (F.coalesce("copies", F.lit(1)) > 1).alias("copied"), F.col("doc_id").eqNullSafe(F.col("least")).alias("speaks"))
 
-    def result(block: pa.RecordBatch, rows: list[int], ends: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    def result(block: pa.RecordBatch, rows: list[int], ends: list[tuple[int, int, bytes, list[bytes]]]) -> pa.RecordBatch:
         """The given rows with what was removed from them."""
         own = block.take(pa.array(rows, pa.int64()))
         columns = own.columns[:n_own]
@@ -314,6 +324,7 @@ def _resolved(docs: DataFrame, length: int, gram: int, hot: int, keep_text: bool
             pa.array([e[0] for e in ends], pa.int64()),
             pa.array([e[1] for e in ends], pa.int64()),
             pa.array([hashlib.sha256(e[2]).hexdigest() for e in ends], pa.string()),
+            pa.array([[c.decode("utf-8", "ignore") for c in e[3]] for e in ends], pa.list_(pa.string())),
         ]
         return pa.RecordBatch.from_arrays(columns, names=out_schema.names)
 
@@ -345,7 +356,7 @@ def _resolved(docs: DataFrame, length: int, gram: int, hot: int, keep_text: bool
             if left:
                 own = block.take(pa.array(left, pa.int64()))
                 n = len(left)
-                blank = [pa.nulls(n, k) for k in (pa.int64(), pa.int64(), pa.int64(), pa.string())]
+                blank = [pa.nulls(n, k) for k in (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string()))]
                 columns = [*own.columns[:n_own], *blank, own.column(n_own), pa.array(supplies), pa.array([True] * n)]
                 yield pa.RecordBatch.from_arrays(columns, names=pending_schema.names)
 
@@ -413,9 +424,15 @@ def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = H
     return out.select(*renamed.columns).withColumnsRenamed({f"own_{c}": c for c in clash})
 
 
+def cuts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+    """``spans`` with the text that is left (``text``) and the removed passages of over ``PASSAGE_WORDS`` words."""
+    out = _resolved(docs.select("doc_id", "text"), length, gram, hot, keep_text=True)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text", "passages")
+
+
 def op7_run_length_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What every whole text of ``documents`` loses."""
-    return spans(table(spark, sf_dir, "documents"))
+    """What every whole text of ``documents`` loses, and what is left of it."""
+    return cuts(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {"op7_run_length_dedup": op7_run_length_dedup}

@@ -30,22 +30,27 @@ def suffix_array(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
         inside = place + i < ends
         at = np.minimum(place + i, n - 1)
         key = (key << np.uint64(9)) | np.where(inside, symbol[at], np.uint64(0))
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     sorted_key = key[order]
+    # a suffix's rank is the first row of those that are equal to it so far
     new = np.concatenate(([True], sorted_key[1:] != sorted_key[:-1]))
     rank = np.empty(n, np.int64)
-    rank[order] = np.cumsum(new) - 1
-    width, classes = _PACK, int(new.sum())
-    while classes < n:
-        nxt = place + width
+    rank[order] = np.maximum.accumulate(np.where(new, place, 0))
+    alone = new & np.append(new[1:], True)
+    rows, width = np.flatnonzero(~alone), _PACK
+    while len(rows):
+        # only rows of suffixes that are not told apart yet are sorted again, within their groups
+        own = order[rows]
+        nxt = own + width
         # a suffix that has ended is told apart by its place, before all that go on
-        second = np.where(nxt < ends, rank[np.minimum(nxt, n - 1)] + n, place)
-        key = rank * (2 * n) + second
-        order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
-        new = np.concatenate(([True], sorted_key[1:] != sorted_key[:-1]))
-        rank[order] = np.cumsum(new) - 1
-        width, classes = 2 * width, int(new.sum())
+        second = np.where(nxt < ends[own], rank[np.minimum(nxt, n - 1)] + n, own)
+        key = rank[own] * (2 * n) + second
+        by = np.argsort(key)
+        own, key = own[by], key[by]
+        order[rows] = own
+        new = np.concatenate(([True], key[1:] != key[:-1]))
+        rank[own] = np.maximum.accumulate(np.where(new, rows, 0))
+        rows, width = rows[~(new & np.append(new[1:], True))], 2 * width
     return order
 
 
