@@ -128,6 +128,42 @@ def test_a_wrong_bit_is_outvoted():
     assert model.decode(np.zeros((1, 7)))[2][0]
 
 
+def _plain_language(model, text):
+    """Margins and decoding in plain Python: each n-gram's weight by itself, each codeword's loss bit by bit."""
+    letters = [int(language_id._LETTERS[b]) for b in text.encode()]
+    margins = [float(b) for b in model.bias]
+    for order in language_id.ORDERS:
+        count = max(1, len(letters) - order + 1)
+        for i in range(len(letters) - order + 1):
+            h = order
+            for b in letters[i : i + order]:
+                h = (h * 0x01000193 ^ b) & 0xFFFFFFFF
+            h = (h * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - language_id.BITS)
+            margins = [m + float(w) / count for m, w in zip(margins, model.weights[h])]
+    loss = [sum(math.log1p(math.exp(-m if bit else m)) for m, bit in zip(margins, word)) for word in model.code.tolist()]
+    p = [math.exp(-x) for x in loss]
+    return model.languages[loss.index(min(loss))], max(p) / sum(p)
+
+
+def test_language_predictions_equal_plain_decoding(spark):
+    rnd = random.Random(7)
+    letters = {"aa": "abcdefg", "bb": "efghijkl", "cc": "klmnopqé"}
+    make = lambda k: " ".join("".join(rnd.choice(letters[k]) for _ in range(rnd.randint(1, 8))) for _ in range(12))
+    table = [(i, make(k), k) for i in range(90) for k in [("aa", "bb", "cc")[i % 3]]] + [(100, "é", None), (101, "x", None), (102, "a" * 300, None)]
+    df = spark.createDataFrame(table, "doc_id bigint, text string, lang string")
+    model = language_id.fit(df)
+    got = {r.doc_id: r for r in language_id.predict(df, model).collect()}
+    for i, text, _ in table:
+        name, p = _plain_language(model, text)
+        assert got[i].lang_pred == name and got[i].score == pytest.approx(p, abs=2e-6)
+
+
+def test_language_sample_of_repeated_ids_is_fixed(spark):
+    rows = [(1, "b b b", "xx"), (1, "a a a", "xx"), (2, "c c", "yy")]
+    a, b = (language_id.training_sample(spark.createDataFrame(r, "doc_id bigint, text string, lang string").repartition(3)) for r in (rows, rows[::-1]))
+    assert [(x[0], x[1].tolist(), x[2].tolist()) for x in a] == [(x[0], x[1].tolist(), x[2].tolist()) for x in b]
+
+
 def test_language_special_rows(spark, scratch):
     rnd = random.Random(5)
     make = lambda letters: " ".join("".join(rnd.choice(letters) for _ in range(5)) for _ in range(20))
@@ -176,6 +212,62 @@ def test_gradients_of_the_network():
         assert g[at] == pytest.approx((up - down) / (2 * step), rel=2e-3, abs=1e-6)
 
 
+def _plain_score(net, text):
+    """The network in plain Python: word by word, gate by gate, window by window."""
+    block = gru.read_block(*text_bytes(pa.array([text])))
+    p = {k: v.astype(float).tolist() for k, v in net.p.items() if k not in ("word", "gram")}
+    vectors = []
+    for j in range(len(block.word)):
+        grams = block.gram[block.gram_at[j] : block.gram_at[j + 1]]
+        mean = [sum(float(net.p["gram"][g][d]) for g in grams) / math.sqrt(len(grams)) for d in range(gru.GRAM_DIM)]
+        vectors.append([float(x) for x in net.p["word"][block.word[j]]] + mean)
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+    h = gru.HIDDEN
+
+    def read(inputs, side):
+        state, out = [0.0] * h, []
+        for x in inputs:
+            a = [p["b" + side][k] + sum(x[i] * p["x" + side][i][k] for i in range(len(x))) for k in range(3 * h)]
+            g = [sum(state[i] * p["h" + side][i][k] for i in range(h)) for k in range(3 * h)]
+            r = [sigmoid(a[k] + g[k]) for k in range(h)]
+            z = [sigmoid(a[h + k] + g[h + k]) for k in range(h)]
+            new = [math.tanh(a[2 * h + k] + r[k] * g[2 * h + k]) for k in range(h)]
+            state = [(1 - z[k]) * new[k] + z[k] * state[k] for k in range(h)]
+            out.append(state)
+        return out
+
+    best = -math.inf
+    for first, length in zip(block.first.tolist(), block.length.tolist()):
+        inputs = [vectors[j] for j in block.place[first : first + length]]
+        states = [f + b for f, b in zip(read(inputs, "f"), read(inputs[::-1], "b")[::-1])]
+        weight = [math.exp(sum(s[i] * p["att"][i] for i in range(2 * h))) for s in states]
+        pooled = [sum(w * s[i] for w, s in zip(weight, states)) / sum(weight) if states else 0.0 for i in range(2 * h)]
+        best = max(best, p["bias"][0] + sum(pooled[i] * p["out"][i] for i in range(2 * h)))
+    return sigmoid(best)
+
+
+def test_scores_equal_a_plain_network():
+    rnd = random.Random(3)
+    words = [f"word{i}" for i in range(40)] + ["é", "x", "long" * 9]
+    texts = [" ".join(rnd.choice(words) for _ in range(n)) for n in (1, 2, 31, 32, 33, 57, 100)] + ["", "!!", "One"]
+    net = gru.BiGRU(seed=5)
+    for k in ("att", "out"):
+        net.p[k] *= 3
+    got = net.score(gru.read_block(*text_bytes(pa.array(texts))))
+    assert got.tolist() == pytest.approx([_plain_score(net, t) for t in texts], abs=1e-5)
+
+
+def test_toxicity_sample_is_bounded_and_fixed(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", (5, 2))
+    rows = [(i, f"text {i}") for i in range(40)] + [(1, "another text"), (1, "a text")]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 1)) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    seen = [
+        sorted(tuple(r) for r in toxicity.training_sample(spark.createDataFrame(r, "doc_id bigint, text string").repartition(3), labels).collect())
+        for r in (rows, rows[::-1])
+    ]
+    assert seen[0] == seen[1] and sorted(r[3] for r in seen[0]) == [0] * 5 + [1] * 2
+
+
 def test_windows_cover_every_word():
     for n in (0, 1, 31, 32, 33, 56, 57, 200):
         first, length, row_at = gru.windows(np.array([0, n]))

@@ -129,7 +129,9 @@ def training_sample(docs: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]
             )
 
     # at most PER_LANGUAGE ids of each language are broadcast
-    sampled = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"]).dropDuplicates(["doc_id", "lang"])
+    sampled = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
+    # of several texts of an id the smallest is learned from
+    sampled = sampled.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = sampled.mapInArrow(run, f"doc_id {id_type}, lang string, keys array<int>, shares array<float>").toArrow().to_pydict()
     order = sorted(range(len(rows["doc_id"])), key=lambda i: (rows["lang"][i], rows["doc_id"][i]))
