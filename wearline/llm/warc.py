@@ -35,7 +35,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.llm.common import blocks, fresh_path, land, table
+from wearline.llm.common import blocks, discard, fresh_path, land, table
 
 REVISIT_BYTES = 1000
 SHARD_BYTES = 32_000_000  # of payload
@@ -273,7 +273,8 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES
         names = ["shard", "part", "temporary", "name", "records", "bytes", "sha1"]
         yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], k) for i, k in enumerate(kinds)], names=names)
 
-    placed = typed.repartition(shards.count, "shard").sortWithinPartitions("shard", "page_id", "url", "digest")
+    # each shard in a partition of its own
+    placed = typed.repartitionById(shards.count, "shard").sortWithinPartitions("shard", "page_id", "url", "digest")
     written = land(placed.mapInArrow(write, _MANIFEST), "warc-written")
 
     def rename(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,10 +287,20 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES
             yield batch
 
     # the manifest appears, whole, only after every file has its name
-    written.mapInArrow(rename, _MANIFEST).write.parquet(f"{folder}/manifest.parquet")
+    _spread(written).mapInArrow(rename, _MANIFEST).write.parquet(f"{folder}/manifest.parquet")
+    # what is left there are the files of attempts that another one overtook
+    files, root = open_folder(attempt_folder)
+    if files.get_file_info(root).type == fs.FileType.Directory:
+        files.delete_dir(root)
+    discard(thin, written)
     return written.sparkSession.read.parquet(f"{folder}/manifest.parquet")
 
 
+def _spread(manifest: DataFrame) -> DataFrame:
+    """The files of a manifest over as many tasks as there are files: adaptive execution would merge the few rows."""
+    return manifest.repartition(max(1, manifest.count()), "name")
+
+
 def _name(shard: int, part: int) -> str:
     return f"pages-{shard:06d}-{part:05d}.warc.gz"
 
@@ -332,8 +343,7 @@ def read_archives(manifest: DataFrame, folder: str, payloads: bool = True) -> Da
                 if rows:
                     yield as_batch(rows)
 
-    per_file = manifest.select("name").repartition("name")
-    return per_file.mapInArrow(run, schema + (", payload binary" if payloads else ""))
+    return _spread(manifest.select("name")).mapInArrow(run, schema + (", payload binary" if payloads else ""))
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
