@@ -88,12 +88,32 @@ def test_blocks_of_queries_and_small_trees(spark, monkeypatch):
     centres = rng.integers(-200, 200, (6, 8))
     vectors = [(i, (centres[i % 6] + rng.integers(-9, 9, 8))) for i in range(600)]
     df = spark.createDataFrame([(i, v.tolist()) for i, v in vectors], "vec_id bigint, v array<bigint>")
-    monkeypatch.setattr(mtree, "TREE_ROWS", 150)
-    monkeypatch.setattr(mtree, "QUERY_BLOCK", 20)
-    got = mtree.top_k(df, df.filter("vec_id % 20 = 0"), 3)
+    monkeypatch.setattr(mtree, "TREE_ROWS", 50)
+    monkeypatch.setattr(mtree, "QUERY_BLOCK", 3)
+    visits = []
+    got = mtree.top_k(df, df.filter("vec_id % 20 = 0"), 3, visits.append)
+    assert visits[0].queries == 30 and visits[0].trees >= 12 and visits[0].visited < 30 * visits[0].trees / 2
     assert rows(got, "query_id", "rank", "vec_id", "score") == _brute(vectors, [x for x in vectors if x[0] % 20 == 0], 3)
 
 
+def test_equal_vectors_and_repeated_rows(spark, monkeypatch):
+    """A vector that fills most of the table, repeated ids, repeated rows: as without any reduction."""
+    rng = np.random.default_rng(5)
+    vectors = [(i, np.array([9, 9, 1])) for i in range(200)] + [(7, np.array([9, 9, 1]))] * 9 + [(i, rng.integers(-9, 12, 3)) for i in range(300, 360)] * 2
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in vectors], "vec_id bigint, v array<bigint>")
+    assert mtree.candidates(df, 3).count() < 200
+    monkeypatch.setattr(mtree, "TREE_ROWS", 20)
+    queries = [(0, vectors[0][1]), (7, vectors[0][1]), (310, vectors[219][1])]
+    q = spark.createDataFrame([(i, v.tolist()) for i, v in queries], "vec_id bigint, v array<bigint>")
+    assert rows(mtree.top_k(df, q, 3), "query_id", "rank", "vec_id", "score") == _brute(vectors, queries, 3)
+
+
+def test_too_long_vectors_raise(spark):
+    df = spark.createDataFrame([(1, [2**31, 2**31])], "vec_id bigint, v array<bigint>")
+    with pytest.raises(ValueError, match="64 bits"):
+        mtree.top_k(df, df)
+
+
 def test_fewer_candidates_than_k_and_shorter_vectors(spark):
     df = spark.createDataFrame([(0, [1, 2]), (1, [3]), (2, [5, -1])], "vec_id bigint, v array<bigint>")
     got = mtree.top_k(df, df.filter("vec_id = 0"), 5)

@@ -4,46 +4,54 @@ Inner products become distances: with M the largest norm, a vector y gets one mo
 sqrt(M**2 - |y|**2) and a query 0, so that the squared distance is |q|**2 + M**2 - 2 q.y and the
 nearest vector has the largest product.
 
-Build: the rows are dealt to trees of at most about ``TREE_ROWS`` rows. Each tree is loaded top
-down: pivots, every vector to its nearest pivot, until a page holds at most ``PAGE`` vectors. A
-node stores its pivot, its covering radius and its distance to the parent's pivot; a leaf also
-stores its vectors' distances to its pivot. Nodes are rows of a table in the shared folder.
-
-Search: best first. A node is visited in the order of the least distance its ball allows; before
-the distance to a child's pivot (or to a vector) is computed, the triangle inequality over the
-stored distance to the parent's pivot must not exclude it already. A tree is left when the least
-distance allowed exceeds the k-th best. Scores are exact integers; ties go to the smaller id.
-
-Queries go to the tasks in blocks of at most ``QUERY_BLOCK``; every block meets every tree.
+Cells: at most ``CELLS`` pivots, taken from the vectors in the order of a hash, go to every task;
+each vector belongs to the cell of its nearest pivot. A cell has a covering radius, and is dealt
+out to trees of about ``TREE_ROWS`` rows by a hash. Of equal vectors only as many are kept as
+can be among the best k of any query, the smallest ids.
+
+Build: each tree is loaded top down: pivots, every vector to its nearest pivot, until a page holds
+at most ``PAGE`` vectors. A node stores its pivot, its covering radius and its distance to the
+parent's pivot; a leaf also stores its vectors' distances to its pivot. Nodes are rows of a table
+in the shared folder.
+
+Search: a query first searches one tree of its nearest cell; its k-th best score there is a bound.
+Then it goes to the other trees of those cells only whose ball can hold something better. In a
+tree the search is best first: a node is visited in the order of the least distance its ball
+allows; before the distance to a child's pivot (or to a vector) is computed, the triangle
+inequality over the stored distance to the parent's pivot must not exclude it already. A tree is
+left when the least distance allowed exceeds the bound. Scores are exact integers; ties go to the
+smaller id. Queries meet a tree in blocks of about ``QUERY_BLOCK``; a tree that more queries
+visit is copied for each block.
 
 Results for special rows: null vectors and vectors with a null or non-finite component take no
 part (nor does a null id); shorter vectors are continued with zeros; rows that share the query's
 id are not its candidates; repeated rows are candidates of their own; queries that share an id
-and a vector are one query; a table without vectors gives no rows.
+and a vector are one query; a table without vectors gives no rows; vectors whose squared length
+passes 2**62, so that scores could leave 64 bits, raise.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wearline.llm.common import land, table
+from wearline.llm.common import discard, land, table
 
 SCALE, QUERY_EVERY, K = 256, 50, 5
 TREE_ROWS, PAGE, FAN_OUT = 8192, 96, 12
-QUERY_BLOCK = 4096
+CELLS, QUERY_BLOCK = 512, 4096
 #: Relative slack of the bounds, for rounding of distances.
 SLACK = 1e-9
 
 _NODES = (
-    "tree int, node int, parent int, leaf boolean, radius double, to_parent double, pivot array<double>, "
+    "tree bigint, node int, parent int, leaf boolean, radius double, to_parent double, pivot array<double>, "
     "ids array<bigint>, distances array<double>, vectors array<bigint>"
 )
 
@@ -120,13 +128,14 @@ class Tree:
             if n["leaf"]
         }
 
-    def search(self, query_id: int, query: np.ndarray, norm2: float, k: int) -> tuple[list[tuple[int, int]], int]:
-        """(score, id) of the best k, best first, and how many distances were computed."""
+    def search(self, query_id: int, query: np.ndarray, norm2: float, k: int, least_score: int | None = None) -> tuple[list[tuple[int, int]], int]:
+        """(score, id) of the best k, best first, and how many distances were computed; vectors that
+        score under ``least_score`` may be left out."""
         q = np.append(query.astype(float), 0.0)
         base = float((query.astype(float) ** 2).sum()) + norm2
         slack = SLACK * math.sqrt(base) + 1e-9
         best: list[tuple[int, int]] = []  # a heap, worst first: (score, -id)
-        limit = math.inf
+        limit = math.inf if least_score is None else math.sqrt(max(0.0, base - 2 * least_score))
 
         d_root = float(_distances(self.pivots[0], q))
         heap, computed = [(max(0.0, d_root - self.radius[0]), 0, d_root)], 1
@@ -151,7 +160,7 @@ class Tree:
                     elif (s, -i) > best[0]:
                         heapq.heapreplace(best, (s, -i))
                 if len(best) == k:
-                    limit = math.sqrt(max(0.0, base - 2 * best[0][0]))
+                    limit = min(limit, math.sqrt(max(0.0, base - 2 * best[0][0])))
                 continue
             below = self.children[node]
             below = below[np.abs(d - self.to_parent[below]) - self.radius[below] <= limit + slack]
@@ -178,90 +187,209 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
-def build(vectors: DataFrame, rows: int, width: int, norm2: float) -> DataFrame:
-    """The nodes of all trees, written to the shared folder."""
+@dataclass(frozen=True)
+class Visits:
+    """What a search did: queries, trees, and (query, tree) pairs visited, of queries x trees."""
+
+    queries: int
+    trees: int
+    visited: int
+
+
+def candidates(vectors: DataFrame, k: int) -> DataFrame:
+    """The rows that can be among the best k of some query: of equal vectors those of the k + 1
+    smallest ids (one may be the query's), each at most k times."""
+    times = vectors.groupBy("v", "vec_id").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("n"))
+    first = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
+    kept = times.withColumn("i", first).filter(F.col("i") <= k + 1)
+    return kept.select("vec_id", "v", F.explode(F.sequence(F.lit(1), "n")).alias("i")).drop("i")
+
+
+def pivots_of(vectors: DataFrame, rows: int, width: int, norm2: float) -> np.ndarray:
+    """Different vectors, at most ``CELLS``, in the order of a hash."""
+    want = min(CELLS, max(1, math.ceil(rows / TREE_ROWS)))
+    # a few times ``CELLS`` rows at most
+    first = vectors.select("v").orderBy(F.xxhash64("v"), "v").limit(4 * want).toArrow().column("v").combine_chunks()
+    return lifted(np.unique(_matrix(first, width), axis=0)[:want], norm2)
+
+
+def in_cells(vectors: DataFrame, pivots: np.ndarray, width: int, norm2: float) -> DataFrame:
+    """vec_id, v, cell, away: each vector's nearest pivot and its distance, written."""
+    shared = vectors.sparkSession.sparkContext.broadcast(pivots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [(b.column(0).to_numpy(), _matrix(b.column(1), width)) for b in batches if b.num_rows]
-        if not held:
-            return
-        ids, v = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-        part = TaskContext.get().partitionId()
-        for first in range(0, len(ids), TREE_ROWS * 2):
-            own_ids, own = ids[first : first + TREE_ROWS * 2], v[first : first + TREE_ROWS * 2]
-            nodes = load(lifted(own, norm2))
-            leaf_only = lambda f, nodes=nodes: [f(n) if n["leaf"] else [] for n in nodes]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([part * 4096 + first // (TREE_ROWS * 2)] * len(nodes), pa.int32()),
-                    pa.array(range(len(nodes)), pa.int32()),
-                    pa.array([n["parent"] for n in nodes], pa.int32()),
-                    pa.array([n["leaf"] for n in nodes]),
-                    pa.array([n["radius"] for n in nodes]),
-                    pa.array([n["to_parent"] for n in nodes]),
-                    pa.array([n["pivot"] for n in nodes], pa.list_(pa.float64())),
-                    pa.array(leaf_only(lambda n, own_ids=own_ids: own_ids[n["rows"]]), pa.list_(pa.int64())),
-                    pa.array(leaf_only(lambda n: n["distances"]), pa.list_(pa.float64())),
-                    pa.array(leaf_only(lambda n, own=own: own[n["rows"]].ravel()), pa.list_(pa.int64())),
-                ],
-                names=[f.split()[0] for f in _NODES.split(", ")],
-            )
-
-    trees = max(1, math.ceil(rows / TREE_ROWS))
-    return land(vectors.select("vec_id", "v").repartition(trees).mapInArrow(run, _NODES), "mtree")
-
-
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
-    """query_id, rank, vec_id, score; both tables have vec_id and v (integers)."""
+        for whole in batches:
+            for start in range(0, whole.num_rows, 2048):
+                block = whole.slice(start, 2048)
+                points = lifted(_matrix(block.column(1), width), norm2)
+                cell, away = np.zeros(len(points), np.int32), np.full(len(points), np.inf)
+                for c, pivot in enumerate(shared.value):
+                    d = _distances(points, pivot)
+                    cell, away = np.where(d < away, np.int32(c), cell), np.minimum(d, away)
+                yield pa.RecordBatch.from_arrays([*block.columns[:2], pa.array(cell), pa.array(away)], names=["vec_id", "v", "cell", "away"])
+
+    return land(vectors.select("vec_id", "v").mapInArrow(run, "vec_id bigint, v array<bigint>, cell int, away double"), "mtree-cells")
+
+
+def build(placed: DataFrame, trees: int, width: int, norm2: float) -> DataFrame:
+    """The nodes of all trees (rows tree, vec_id, v), written to the shared folder.
+
+    A tree that the hash filled far beyond its share is built in parts of its own number.
+    """
+
+    def emit(tree: int, ids: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+        nodes = load(lifted(v, norm2))
+        leaf_only = lambda f: [f(n) if n["leaf"] else [] for n in nodes]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([tree] * len(nodes), pa.int64()),
+                pa.array(range(len(nodes)), pa.int32()),
+                pa.array([n["parent"] for n in nodes], pa.int32()),
+                pa.array([n["leaf"] for n in nodes]),
+                pa.array([n["radius"] for n in nodes]),
+                pa.array([n["to_parent"] for n in nodes]),
+                pa.array([n["pivot"] for n in nodes], pa.list_(pa.float64())),
+                pa.array(leaf_only(lambda n: ids[n["rows"]]), pa.list_(pa.int64())),
+                pa.array(leaf_only(lambda n: n["distances"]), pa.list_(pa.float64())),
+                pa.array(leaf_only(lambda n: v[n["rows"]].ravel()), pa.list_(pa.int64())),
+            ],
+            names=[f.split()[0] for f in _NODES.split(", ")],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, part, held, size = None, 0, [], 0
+
+        def close() -> Iterator[pa.RecordBatch]:
+            if held:
+                ids, v = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
+                yield emit(now | part << 40, ids, v)
+                held.clear()
+
+        for batch in batches:
+            tree, ids, v = batch.column(0).to_numpy(), batch.column(1).to_numpy(), _matrix(batch.column(2), width)
+            cuts = np.flatnonzero(np.concatenate(([True], tree[1:] != tree[:-1]))) if len(tree) else []
+            for start, stop in zip(cuts, [*cuts[1:], len(tree)], strict=True):
+                if now != int(tree[start]):
+                    yield from close()
+                    now, part, size = int(tree[start]), 0, 0
+                for at in range(start, stop, TREE_ROWS):
+                    end = min(at + TREE_ROWS, stop)
+                    if held and size + end - at > 3 * TREE_ROWS:
+                        yield from close()
+                        part, size = part + 1, 0
+                    held.append((ids[at:end], v[at:end]))
+                    size += end - at
+        yield from close()
+
+    rows = placed.select("tree", "vec_id", "v").repartition(trees, "tree").sortWithinPartitions("tree", "vec_id")
+    return land(rows.mapInArrow(run, _NODES), "mtree")
+
+
+_HITS = "q bigint, query_id bigint, vec_id bigint, score bigint"
+
+
+def searched(nodes: DataFrame, visits: DataFrame, width: int, norm2: float, k: int) -> DataFrame:
+    """The best of each tree for each of its visitors (q, vec_id, v, tree, least), written.
+
+    The visitors of a tree come in blocks, each with a copy of its nodes.
+    """
+    crowd = visits.groupBy("tree").agg(F.ceil(F.count("*") / F.lit(QUERY_BLOCK)).cast("int").alias("blocks"))
+    crowd = land(crowd, "mtree-crowd")
+    asked = visits.join(crowd, "tree").withColumn("block", F.pmod(F.xxhash64("q"), F.col("blocks")).cast("int"))
+    copies = crowd.select(F.col("tree").alias("of"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("copy"))
+    trees = nodes.join(copies, F.col("tree") == F.col("of")).drop("of")
+
+    def run(own: pa.Table, visitors: pa.Table) -> pa.Table:
+        out = []
+        if own.num_rows and visitors.num_rows:
+            tree = Tree(own.to_pylist())
+            vectors = _matrix(visitors.column("v").combine_chunks(), width)
+            asks = zip(*(visitors.column(c).to_pylist() for c in ("q", "vec_id", "least")), vectors, strict=True)
+            for q, query_id, least, v in asks:
+                out += [(q, query_id, i, s) for s, i in tree.search(query_id, v, norm2, k, least)[0]]
+        return pa.table([pa.array([o[c] for o in out], pa.int64()) for c in range(4)], names=[f.split()[0] for f in _HITS.split(", ")])
+
+    both = trees.groupBy("tree", "copy").cogroup(asked.groupBy("tree", "block"))
+    return land(both.applyInArrow(lambda a, b: run(a, b), _HITS), "mtree-hits")
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, report: Callable[[Visits], None] | None = None) -> DataFrame:
+    """query_id, rank, vec_id, score; both tables have vec_id and v (integers).
+
+    ``report`` is told how many trees were visited.
+    """
     # product of a vector with itself, in the type that holds any sum of squares
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     size = vectors.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width"), F.max(square).alias("norm2")).first()
-    schema = "query_id bigint, rank int, vec_id bigint, score bigint"
     spark = vectors.sparkSession
     if not size["n"]:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
     width, norm2 = max(1, size["width"]), size["norm2"]
-    nodes = build(vectors, size["n"], width, norm2)
-    queries = land(queries.select("vec_id", "v").distinct(), "queries")
-    asked = queries.count()
-    n_blocks = max(1, math.ceil(asked / (QUERY_BLOCK // 2)))
-    found = None
-    for b in range(n_blocks):
-        block = queries.filter(F.pmod(F.xxhash64("vec_id", "v"), F.lit(n_blocks)) == b) if n_blocks > 1 else queries
-        # at most about QUERY_BLOCK rows, whatever the table's size
-        rows = block.toArrow()
-        shared = spark.sparkContext.broadcast(
-            (
-                np.array(rows.column("vec_id").to_numpy()),
-                np.concatenate([_matrix(c, width) for c in rows.column("v").chunks]) if rows.num_rows else np.zeros((0, width), np.int64),
-            )
-        )
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, b=b) -> Iterator[pa.RecordBatch]:
-            ids, vectors_ = shared.value
-
-            def answer(nodes: list[dict]) -> pa.RecordBatch:
-                tree, out = Tree(nodes), []
-                for j, (i, q) in enumerate(zip(ids.tolist(), vectors_, strict=True)):
-                    out += [(b << 32 | j, i, v, s) for s, v in tree.search(i, q, norm2, k)[0]]
-                return pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], pa.int64()) for c in range(4)], names=["q", "query_id", "vec_id", "score"])
-
-            held: list[dict] = []
-            for batch in batches:
-                for node in batch.to_pylist():
-                    if held and held[0]["tree"] != node["tree"]:
-                        yield answer(held)
-                        held = []
-                    held.append(node)
-            if held:
-                yield answer(held)
+    if norm2 >= 2.0**62:
+        raise ValueError("vectors are too long for scores of 64 bits")
+    pivots = pivots_of(vectors, size["n"], width, norm2)
+    cells = in_cells(candidates(vectors, k), pivots, width, norm2)
+    # one row for each pivot
+    facts = {r["cell"]: r for r in cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("away").alias("radius")).collect()}
+    parts = [math.ceil(facts[c]["n"] / TREE_ROWS) if c in facts else 0 for c in range(len(pivots))]
+    radius = np.array([facts[c]["radius"] if c in facts else -np.inf for c in range(len(pivots))])
+    first = np.concatenate(([0], np.cumsum(parts)))
+    number = lambda values: F.get(F.array(*[F.lit(int(x)) for x in values]), F.col("cell"))
+    placed = cells.withColumn("tree", (number(first[:-1]) + F.pmod(F.xxhash64("vec_id", "v"), number(parts))).cast("bigint"))
+    nodes = build(placed, int(first[-1]), width, norm2)
+    # a tree built in parts has several numbers
+    built = nodes.filter("parent = -1").select("tree", (F.col("tree") % (1 << 40)).alias("base"))
+    built = land(built, "mtree-roots")
+
+    asked = land(queries.select("vec_id", "v").distinct().withColumn("q", F.monotonically_increasing_id()), "queries")
+    shared = spark.sparkContext.broadcast((pivots, radius, first, np.array(parts)))
+
+    def to_cells(batches: Iterator[pa.RecordBatch], again: bool) -> Iterator[pa.RecordBatch]:
+        """The trees that each query visits: at first one of its nearest cell, then all others that its bound allows."""
+        pivots, radius, first, parts = shared.value
+        live = np.flatnonzero(parts)
+        for whole in batches:
+            for start in range(0, whole.num_rows, 256):
+                block = whole.slice(start, 256)
+                v = _matrix(block.column(1), width).astype(float)
+                points = np.column_stack((v, np.zeros(len(v))))
+                away = np.stack([_distances(points, pivots[c]) for c in live], axis=1)
+                near = live[away.argmin(1)]
+                one = first[near] + block.column(2).to_numpy() % parts[near]
+                if again:
+                    least = block.column(3).to_numpy(zero_copy_only=False).astype(float)
+                    base = (v**2).sum(1) + norm2
+                    limit = np.where(np.isnan(least), np.inf, np.sqrt(np.maximum(0, base - 2 * least)))
+                    open_ = away - radius[live] <= (limit + SLACK * np.sqrt(base) + 1e-9)[:, None]
+                    row, which = np.nonzero(open_)
+                    cell = live[which]
+                    row, tree = np.repeat(row, parts[cell]), np.concatenate([np.arange(first[c], first[c] + parts[c]) for c in cell] or [np.zeros(0, int)])
+                    other = tree != one[row]
+                    row, tree = row[other], tree[other]
+                else:
+                    row, tree = np.arange(len(v)), one
+                rows = block.take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([*rows.columns[:4], pa.array(tree.astype(np.int64))], names=["vec_id", "v", "q", "least", "base"])
+
+    visits = "vec_id bigint, v array<bigint>, q bigint, least bigint, base bigint"
+    no_bound = asked.select("vec_id", "v", "q", F.lit(None).cast("bigint").alias("least"))
+    near = no_bound.mapInArrow(lambda it: to_cells(it, False), visits)
+    near = land(near.join(built, "base").drop("base"), "mtree-near")
+    start = searched(nodes, near, width, norm2, k)
+    ranked = start.withColumn("i", F.row_number().over(Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id")))
+    bounds = ranked.filter(F.col("i") <= k).groupBy("q").agg(F.count("*").alias("n"), F.min("score").alias("least"))
+    bounds = bounds.filter(F.col("n") == k).select("q", "least")
+    bounded = asked.join(bounds, "q", "left").select("vec_id", "v", "q", "least")
+    others = bounded.mapInArrow(lambda it: to_cells(it, True), visits)
+    others = land(others.join(built, "base").drop("base"), "mtree-others")
+    rest = searched(nodes, others, width, norm2, k)
+    if report is not None:
+        report(Visits(asked.count(), built.count(), near.count() + others.count()))
+    discard(cells, nodes, near, others)
 
-        per_tree = nodes.repartition("tree").sortWithinPartitions("tree", "node")
-        part = land(per_tree.mapInArrow(run, "q bigint, query_id bigint, vec_id bigint, score bigint"), "mtree-hits")
-        found = part if found is None else found.unionByName(part)
     order = Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    found = start.unionByName(rest).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return found.select("query_id", "rank", "vec_id", "score")
 
 
 def op3_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
