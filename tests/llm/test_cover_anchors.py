@@ -58,6 +58,7 @@ def test_equal_windows_share_an_anchor():
 @pytest.mark.parametrize("least", [64, 1])
 def test_spans_equal_brute_force(spark, monkeypatch, least):
     monkeypatch.setattr("wearline.llm.common.HOT_LEAST", least)
+    monkeypatch.setattr("wearline.llm.common.FEW_FACTS", 0 if least == 1 else 200_000)
     table = _rows()
     df = spark.createDataFrame(table, "doc_id bigint, text string").repartition(3)
     for width, period, cover in ((6, 3, (0, 1)), (5, 5, (0, 1, 2)), (9, 7, (0, 1, 3))):

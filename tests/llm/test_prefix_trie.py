@@ -110,6 +110,7 @@ def test_query_equals_sql_on_special_rows(spark, scratch):
 @pytest.mark.parametrize("block, piece, least", [(1, 1, 64), (7, 3, 1), (500_000, 65_536, 1)])
 def test_small_blocks_and_pieces_give_the_same_trie(spark, monkeypatch, block, piece, least):
     monkeypatch.setattr("wearline.llm.common.HOT_LEAST", least)
+    monkeypatch.setattr("wearline.llm.common.FEW_FACTS", 0 if least == 1 else 200_000)
     df = spark.createDataFrame(_turns(8), "conv_id bigint, turn bigint, role string, text string").repartition(5)
     conversations = prefix_trie.rebuilt(df)
     assert rows(prefix_trie.trie(conversations, block, piece), *COLUMNS) == rows(prefix_trie.trie(conversations), *COLUMNS)

@@ -81,6 +81,8 @@ def discard(*landed: DataFrame) -> None:
 
 #: Keys of more than 1 in this many rows (and of more than ``HOT_LEAST``) are looked up by broadcast.
 HOT_SHARE, HOT_LEAST = 65_536, 64
+#: Facts of a lookup that are broadcast whatever they weigh.
+FEW_FACTS = 200_000
 
 
 def hot_bar(rows: int) -> int:
@@ -91,8 +93,11 @@ def looked_up(rows: DataFrame, facts: DataFrame, keys: list[str], weight: str, b
     """Inner join of ``rows`` with ``facts`` (one row for each key), whose ``weight`` counts the key's rows.
 
     Keys of more than ``bar`` rows, of which there are at most ``rows / bar``, are in a broadcast
-    table, so their rows stay where they are; the rest is joined by a shuffle.
+    table, so their rows stay where they are; the rest is joined by a shuffle. Where there are no
+    more than ``FEW_FACTS`` facts in all, all of them are broadcast.
     """
+    if facts.limit(FEW_FACTS + 1).count() <= FEW_FACTS:
+        return rows.join(F.broadcast(facts), keys)
     hot, usual = facts.filter(F.col(weight) > bar), facts.filter(F.col(weight) <= bar)
     own = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
     return rows.join(F.broadcast(hot), keys).unionByName(own.join(usual, keys))

@@ -34,12 +34,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wearline.llm.common import SpanHashes, blocks, discard, hot_bar, land, looked_up, mix64, runs_of, table, text_bytes
+from wearline.llm.cover_anchors import resolved
 from wearline.llm.rlbwt import repeated_starts
 from wearline.llm.words import word_spans
 
-LENGTH, GRAM = 400, 200
-#: Removed passages of more words are reported.
+LENGTH, GRAM = 400, 100
+#: Repeated passages of more words are reported, and go from the text that ``cuts`` returns.
 PASSAGE_WORDS = 50
+#: A difference cover for windows of one word more (``cover_anchors.py``).
+_PERIOD, _COVER = 31, (0, 1, 3, 8, 12, 18)
 #: Segments of one anchor that one task indexes; beyond, windows are counted by a shuffle.
 HOT = 5_000
 #: Bytes of segments in one index (whole anchors).
@@ -425,9 +428,16 @@ def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = H
 
 
 def cuts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """``spans`` with the text that is left (``text``) and the removed passages of over ``PASSAGE_WORDS`` words."""
-    out = _resolved(docs.select("doc_id", "text"), length, gram, hot, keep_text=True)
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text", "passages")
+    """``spans``, and with it ``text``, which is left when passages of over ``PASSAGE_WORDS`` words that
+    also stand elsewhere have gone as well, and those passages of any length in bytes.
+
+    Bytes under strings of ``length`` are gone already; in what is left, shorter passages are windows
+    of ``PASSAGE_WORDS + 1`` words, which ``cover_anchors`` finds.
+    """
+    cut = land(_resolved(docs.select("doc_id", "text"), length, gram, hot, keep_text=True), "repeat-cuts")
+    whole = resolved(cut, PASSAGE_WORDS + 1, _PERIOD, _COVER)
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    return whole.select(*names, F.col("rest").alias("text"), F.concat("passages", "removed").alias("passages"))
 
 
 def op7_run_length_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
