@@ -137,7 +137,7 @@ def test_fleet_scoring_counts_by_observation(spark, sf_small, fitted, scratch):
 def test_train_then_fleet_jobs_on_text_files(spark, sf_small, scratch):
     from wearline.plans.jobs import fleet_job, train_job
     from wearline.sources.adapters import tele_text
-    from wearline.sources.tables import read_scores
+    from wearline.sources.tables import read_scaler, read_scores, write_scaler
 
     text = tele_text(spark, sf_small)
     text.write.mode("overwrite").text(os.path.join(scratch, "train_FD001.txt"))
@@ -151,6 +151,12 @@ def test_train_then_fleet_jobs_on_text_files(spark, sf_small, scratch):
     assert counts == {"rows_seen": 2 * text.count(), "units_scored": 2 * n_units, "quarantined": 0}
     assert metrics.n_quarantined == 0
     read = lambda name: spark.read.parquet(os.path.join(scratch, "out", name))
+    assert read("comparison").first().mae_kernels > 0
+    write_scaler(read_scaler(spark, os.path.join(scratch, "out", "scaler")).withColumn("mean", F.col("mean") + 1), os.path.join(scratch, "out", "scaler2"))
+    os.rename(os.path.join(scratch, "out", "scaler"), os.path.join(scratch, "out", "scaler1"))
+    os.rename(os.path.join(scratch, "out", "scaler2"), os.path.join(scratch, "out", "scaler"))
+    with pytest.raises(ValueError, match="not fitted with this scaler"):
+        fleet_job(spark, os.path.join(scratch, "test_FD00*.txt"), os.path.join(scratch, "out"), os.path.join(scratch, "refused"), EV)
     assert read("thresholds").count() == 2 and read("roc_auc").count() == 1 and read("comparison").count() == 1
     assert read("importance").count() == read("classifier_importance").count() == 6
     scores = read_scores(spark, os.path.join(scratch, "scores"))

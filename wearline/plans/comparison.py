@@ -91,6 +91,7 @@ def model_comparison(
 ) -> DataFrame:
     """One row comparing the two models on the validation rows both predict, with the mean absolute
     error of the kernel learner (``mae_kernels``) on the same rows."""
+    df = df if is_dealt(df) else deal(df, "unit")
     p = prepare(df, sensors, seed=seed)
     trees = fit_regressor(p.train, p.features, rounds=rounds, seed=seed)
     tree_preds = predict_keyed(trees, p.validation, out="tree_pred")
