@@ -131,6 +131,23 @@ def test_plan_tells_why_the_search_ended():
     assert longer.sequences <= short.sequences and longer.bound == short.bound
 
 
+def test_repairs_hold_every_piece_and_save_sequences():
+    rnd = random.Random(8)
+    for scale in (1, 1000):
+        counts = {k: n * scale for k, n in collections.Counter([rnd.randint(150, 700) for _ in range(600)] + [rnd.randint(1, 60) for _ in range(80)]).items()}
+        plain = packing.solve(counts, budget=packing.Budget(nodes=200, repairs=0))
+        mended = packing.solve(counts, budget=packing.Budget(nodes=200, repairs=20))
+        assert mended.bound == plain.bound <= mended.sequences <= plain.sequences
+        held = collections.Counter()
+        for n, items in mended.patterns:
+            assert n > 0 and sum(items) <= 1024
+            for k in items:
+                held[k] += n
+        assert held == counts and sum(n for n, _ in mended.patterns) == mended.sequences
+        if scale == 1:
+            assert mended.sequences < plain.sequences
+
+
 def test_pack_reports_its_plan(spark):
     plans = []
     df = spark.createDataFrame([(i, "word " * (40 * i)) for i in range(12)], "doc_id int, text string")

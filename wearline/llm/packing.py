@@ -6,8 +6,9 @@
    around the largest remaining piece the undominated fillings are enumerated by waste, a branch
    whose waste exceeds what would still beat the incumbent is cut, and best-fit solutions are the
    first incumbents. A filling is used as often as its pieces allow, so the solution is a few
-   thousand patterns at any number of documents. The search has a ``Budget``; its ``Plan`` tells
-   the lower bound and whether the budget ended it.
+   thousand patterns at any number of documents. Where the search's ``Budget`` ends it above the
+   lower bound, parts of the solution are searched anew. The ``Plan`` tells the lower bound and
+   whether the budget ended it.
 3. Pieces of one length are numbered (counts per task and length, then running sums) and take
    the slots of the patterns by their number.
 
@@ -19,9 +20,10 @@ columns are ignored.
 from __future__ import annotations
 
 import logging
+import random
 import zlib
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -34,17 +36,21 @@ from wearline.llm.tokens import byte_bpe
 
 CAPACITY = 1024
 END_ID = 2
+#: Patterns of either kind that one repair takes, at most.
+_PART = 60
 _LOG = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
 class Budget:
     """Where the search ends if it has not reached the lower bound or tried everything before:
-    branches in all, and for each branch the fillings around its piece and the steps to list them."""
+    branches in all, for each branch the fillings around its piece and the steps to list them, and
+    how often a part of the solution is searched anew without saving a sequence."""
 
     nodes: int = 2500
     fillings: int = 6
     steps: int = 4000
+    repairs: int = 250
 
 
 @dataclass(frozen=True)
@@ -177,6 +183,47 @@ def _options(counts: dict[int, int], capacity: int, slack: int, budget: Budget)
     return iter([(largest, *f) for f in found]), short
 
 
+def repaired(plan: Plan, capacity: int, budget: Budget) -> Plan:
+    """The plan after bin completion of parts of it: the most wasteful sequences and a few others give
+    up their pieces, which are packed anew; what takes no more sequences stands.
+
+    A depth-first search seldom comes back to its first fillings; this mends what they spoiled.
+    """
+    rnd, patterns, sequences = random.Random(17), dict[tuple[int, ...], int](), plan.sequences
+    for times, items in plan.patterns:
+        patterns[items] = patterns.get(items, 0) + times
+    inner = replace(budget, nodes=60, steps=min(budget.steps, 2000), repairs=0)
+    idle = 0
+    while idle < budget.repairs and sequences > plan.bound:
+        idle += 1
+        by_waste = sorted(patterns, key=lambda items: (sum(items), items))
+        wasteful = [i for i in by_waste[:_PART] if sum(i) < capacity]
+        if not wasteful:
+            break
+        others = by_waste[len(wasteful) :]
+        chosen = wasteful[: rnd.randint(1, len(wasteful))] + rnd.sample(others, min(len(others), rnd.randint(5, _PART)))
+        taken, part = {}, {}
+        for items in chosen:
+            n = patterns[items]
+            # a few of them, or a share
+            taken[items] = rnd.randint(1, min(n, 3)) if rnd.random() < 0.5 else max(1, int(n * rnd.random() ** 2))
+            for k in items:
+                part[k] = part.get(k, 0) + taken[items]
+        found = solve(part, capacity, inner)
+        if found.sequences > sum(taken.values()):
+            continue
+        if found.sequences < sum(taken.values()):
+            sequences, idle = sequences + found.sequences - sum(taken.values()), 0
+        for items, n in taken.items():
+            patterns[items] -= n
+            if not patterns[items]:
+                del patterns[items]
+        for n, items in found.patterns:
+            patterns[items] = patterns.get(items, 0) + n
+    ended = "bound" if sequences == plan.bound else plan.ended
+    return replace(plan, patterns=[(n, items) for items, n in patterns.items()], sequences=sequences, ended=ended)
+
+
 def solve(counts: dict[int, int], capacity: int = CAPACITY, budget: Budget = Budget()) -> Plan:
     """Patterns that hold every piece, in as few sequences as the search finds."""
     counts = {k: n for k, n in counts.items() if n}
@@ -225,7 +272,8 @@ def solve(counts: dict[int, int], capacity: int = CAPACITY, budget: Budget = Bud
         short |= times > 1
         stack.append((_take(left, items, times), ((times, items), chain), waste + lost, None))
     ended = "bound" if size(best) == least else "budget" if stack or short else "complete"
-    return Plan(best, size(best), least, branches, ended)
+    plan = Plan(best, size(best), least, branches, ended)
+    return repaired(plan, capacity, budget) if ended == "budget" and budget.repairs else plan
 
 
 def slots(patterns: list[Pattern]) -> dict[str, np.ndarray]:
