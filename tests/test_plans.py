@@ -6,12 +6,16 @@ import os
 
 import pytest
 
+from wearline.operators.labels import label_fail_within
 from wearline.operators.rolling import current_state, last_k, rolling_features
 from wearline.operators.scaling import fit_scaler, scale_features
+from wearline.plans import comparison, models
 from wearline.plans.catalog import QUERIES
-from wearline.sources.adapters import tele_events
+from wearline.plans.ensemble import TreeEnsemble
+from wearline.plans.training import prepare
+from wearline.sources.adapters import PART_SENSORS, dealt_events, dealt_parts, tele_events
 
-# one fit serves these; the classifier's and the challenger's fits of 100 rounds are left to the jobs' test
+# one fit serves the others; the classifier's and the challenger's plans are read with two rounds below
 SKIP = {"m2_classifier_probabilities", "m2_compiled_probabilities", "m6_challenger_predictions", "a20_model_comparison"}
 
 
@@ -35,6 +39,22 @@ def test_no_cartesian_or_nested_loop_join(spark, sf_small, name):
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
+def test_no_cartesian_join_in_the_fitted_queries(spark, sf_small):
+    """The queries of SKIP, with two rounds of boosting."""
+    p = prepare(dealt_events(spark, sf_small), ["sensor_2", "sensor_3"])
+    parts = dealt_parts(spark, sf_small)
+    classifier = models.fit_classifier(label_fail_within(p.train), p.features, rounds=2)
+    frames = [
+        models.predict_proba(classifier, p.validation),
+        TreeEnsemble.of(classifier).transform(p.validation),
+        comparison.challenger_predictions(parts, PART_SENSORS, rounds=2),
+        comparison.model_comparison(parts, PART_SENSORS, rounds=2, resamples=20),
+    ]
+    for df in frames:
+        plan = _plan(df)
+        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
 def test_last_k_and_current_state_limit_before_the_shuffle(parquet_events):
     for df in (last_k(parquet_events, 5), current_state(parquet_events, ["sensor_2"])):
         tree = _plan(df).split("\n\n")[0]
