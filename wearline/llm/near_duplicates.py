@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearline.llm import bagmin
-from wearline.llm.common import blocks, land, table, text_bytes
+from wearline.llm.common import blocks, discard, land, table, text_bytes
 from wearline.llm.components import components
 
 SIMILARITY = 0.8
@@ -82,14 +82,14 @@ def text_components(docs: DataFrame, rows: DataFrame, similarity: float = SIMILA
     texts = rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
     placed = texts.select("digest", "doc_id", F.explode("bands").alias("band"))
     shared = placed.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
-    members = land(placed.join(shared, "band").select("band", "digest", "doc_id"), "buckets")
+    buckets = land(placed.join(shared, "band").select("band", "digest", "doc_id"), "buckets")
     # the texts of these buckets only, one row for each
-    wanted = members.select("digest", "doc_id").distinct()
+    wanted = buckets.select("digest", "doc_id").distinct()
     have = docs.select(F.col("doc_id").alias("id"), digest_of(F.col("text")).alias("digest"), F.coalesce("text", F.lit("")).alias("text"))
     found = have.join(wanted, "digest").filter(F.col("id").eqNullSafe(F.col("doc_id"))).select("digest", "text")
     texts = land(found.dropDuplicates(["digest"]).withColumn("bytes", F.octet_length("text").cast("long")), "bucket-texts")
 
-    members = members.select("band", "digest")
+    members = buckets.select("band", "digest")
     leaders = members.groupBy("band").agg(F.min("digest").alias("a"))
     pairs = land(members.join(leaders, "band").filter("a <> digest").select("a", F.col("digest").alias("b")).distinct(), "pairs")
     links = land(verified(pairs, texts, similarity), "links")
@@ -106,9 +106,10 @@ def text_components(docs: DataFrame, rows: DataFrame, similarity: float = SIMILA
     # near copies share several bands: the same texts are compared once
     mixed = mixed.filter("low <> high AND n > 2").groupBy("n", "bytes", "x", "y").agg(F.min("band").alias("band"))
     mixed = mixed.select("band", blocks_of.alias("blocks"))
-    more = tiles(named.join(mixed, "band"), texts, similarity)
+    more = land(tiles(named.join(mixed, "band"), texts, similarity), "links")
     # the second graph is that of the first one's components
-    joined = components(land(more, "links")).withColumnRenamed("component", "whole")
+    joined = components(more).withColumnRenamed("component", "whole")
+    discard(buckets, texts, pairs, links, named, more)
     done = found.join(joined, found["component"] == joined["node"], "left").select(found["node"], F.coalesce("whole", "component").alias("component"))
     alone = joined.join(found.select("node"), "node", "left_anti").select("node", F.col("whole").alias("component"))
     return done.unionByName(alone)
