@@ -38,7 +38,7 @@ from wearline.llm.cover_anchors import resolved
 from wearline.llm.rlbwt import repeated_starts
 from wearline.llm.words import word_spans
 
-LENGTH, GRAM = 400, 100
+LENGTH, GRAM = 400, 200
 #: Repeated passages of more words are reported, and go from the text that ``cuts`` returns.
 PASSAGE_WORDS = 50
 #: A difference cover for windows of one word more (``cover_anchors.py``).
@@ -219,9 +219,23 @@ def _finish(n: int, text: bytes, starts: np.ndarray, stops: np.ndarray, length:
 _MARKS = "array<struct<p:bigint,h:bigint,sure:boolean,ask:boolean>>"
 
 
-def _windows(marks: list[dict] | None, name: str) -> tuple[np.ndarray, np.ndarray]:
-    p = np.array([m["p"] for m in marks or () if m[name]], np.int64)
-    return p >> 12, (p >> 12) + (p & 0xFFF)
+class _Marks:
+    """The marks of a block's rows as arrays."""
+
+    def __init__(self, column: pa.Array) -> None:
+        at = np.asarray(column.offsets).astype(np.int64)
+        own = column.values.slice(at[0], at[-1] - at[0]) if len(column) else column.values.slice(0, 0)
+        self.at = at - at[0]
+        self.p, self.h, self.sure, self.ask = (c.to_numpy(zero_copy_only=False) for c in own.flatten())
+
+    def of(self, row: int) -> slice:
+        return slice(self.at[row], self.at[row + 1])
+
+    def windows(self, row: int) -> tuple[np.ndarray, np.ndarray]:
+        """First and last start of the row's windows that are proven repeated."""
+        own = self.of(row)
+        p = self.p[own][self.sure[own]]
+        return p >> 12, (p >> 12) + (p & 0xFFF)
 
 
 def _opened(docs: DataFrame, judged: DataFrame) -> DataFrame:
@@ -337,17 +351,18 @@ def _resolved(docs: DataFrame, length: int, gram: int, hot: int, keep_text: bool
         for block in blocks(batches):
             data, offsets = text_bytes(block.column(text_at))
             raw = data.tobytes()
-            marks, copied, speaks = (block.column(n_own + i).to_pylist() for i in range(3))
+            marks = _Marks(block.column(n_own))
+            copied, speaks = (block.column(n_own + i).to_pylist() for i in (1, 2))
             done, ends, left, supplies = [], [], [], []
             for r in range(block.num_rows):
                 own = raw[offsets[r] : offsets[r + 1]]
-                asks = any(m["ask"] for m in marks[r] or ())
-                undecided = not copied[r] and any(not m["sure"] for m in marks[r] or ())
+                asks = bool(marks.ask[marks.of(r)].any())
+                undecided = not copied[r] and not marks.sure[marks.of(r)].all()
                 if not undecided:
                     if copied[r] and len(own) >= length:
                         ends.append(_finish(len(own), own, np.array([0]), np.array([len(own) - length]), length, words))
                     else:
-                        ends.append(_finish(len(own), own, *_windows(marks[r], "sure"), length, words))
+                        ends.append(_finish(len(own), own, *marks.windows(r), length, words))
                     done.append(r)
                 if undecided or (asks and (speaks[r] or not copied[r])):
                     left.append(r)
@@ -369,19 +384,16 @@ def _resolved(docs: DataFrame, length: int, gram: int, hot: int, keep_text: bool
         for block in blocks(batches):
             data, offsets = text_bytes(block.column(0))
             raw = data.tobytes()
-            d1, d2, marks = (block.column(i).to_pylist() for i in (1, 2, 3))
-            rows: list[tuple] = []
-            for r in range(block.num_rows):
-                for m in marks[r]:
-                    if m["ask"]:
-                        start, more = m["p"] >> 12, m["p"] & 0xFFF
-                        at = int(offsets[r]) + start
-                        rows.append((m["h"], d1[r], d2[r], start, raw[at : at + more + length]))
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[i] for x in rows], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
-                    names=["h", "d1", "d2", "start", "segment"],
-                )
+            d1, d2 = (block.column(i).to_numpy() for i in (1, 2))
+            marks = _Marks(block.column(3))
+            row = np.repeat(np.arange(block.num_rows), np.diff(marks.at))[marks.ask]
+            p = marks.p[marks.ask]
+            start = p >> 12
+            first = offsets[:-1][row] + start
+            if len(row):
+                segments = [raw[a:b] for a, b in zip(first.tolist(), (first + (p & 0xFFF) + length).tolist(), strict=True)]
+                columns = [pa.array(x) for x in (marks.h[marks.ask], d1[row], d2[row], start)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(segments, pa.binary())], names=["h", "d1", "d2", "start", "segment"])
 
     waiting = passed.filter("supplies")
     asked = waiting.select("text", "d1", "d2", "marks").mapInArrow(cut, "h bigint, d1 bigint, d2 bigint, start bigint, segment binary")
@@ -393,17 +405,19 @@ def _resolved(docs: DataFrame, length: int, gram: int, hot: int, keep_text: bool
         for block in blocks(batches):
             data, offsets = text_bytes(block.column(text_at))
             raw = data.tobytes()
-            marks, found = (block.column(n_own + i).to_pylist() for i in range(2))
+            marks, found = _Marks(block.column(n_own)), block.column(n_own + 1).to_pylist()
             ends = []
             for r in range(block.num_rows):
                 own = raw[offsets[r] : offsets[r + 1]]
-                starts, stops = _windows(marks[r], "sure")
+                starts, stops = marks.windows(r)
                 p = np.array(found[r] or (), np.int64)
                 ends.append(_finish(len(own), own, np.append(starts, p >> 12), np.append(stops, (p >> 12) + (p & 0xFFF)), length, words))
             yield result(block, list(range(block.num_rows)), ends)
 
     done = passed.filter("kept_sha256 IS NOT NULL").select(*out_schema.names)
-    return done.unionByName(late.mapInArrow(second_pass, out_schema))
+    out = done.unionByName(late.mapInArrow(second_pass, out_schema))
+    out._read_from = (judged, passed, asked)
+    return out
 
 
 def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
@@ -434,7 +448,9 @@ def cuts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT
     Bytes under strings of ``length`` are gone already; in what is left, shorter passages are windows
     of ``PASSAGE_WORDS + 1`` words, which ``cover_anchors`` finds.
     """
-    cut = land(_resolved(docs.select("doc_id", "text"), length, gram, hot, keep_text=True), "repeat-cuts")
+    first = _resolved(docs.select("doc_id", "text"), length, gram, hot, keep_text=True)
+    cut = land(first, "repeat-cuts")
+    discard(*first._read_from)
     whole = resolved(cut, PASSAGE_WORDS + 1, _PERIOD, _COVER)
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     return whole.select(*names, F.col("rest").alias("text"), F.concat("passages", "removed").alias("passages"))
