@@ -50,7 +50,7 @@ class Budget:
     nodes: int = 2500
     fillings: int = 6
     steps: int = 4000
-    repairs: int = 250
+    repairs: int = 60
 
 
 @dataclass(frozen=True)
@@ -184,15 +184,15 @@ def _options(counts: dict[int, int], capacity: int, slack: int, budget: Budget)
 
 
 def repaired(plan: Plan, capacity: int, budget: Budget) -> Plan:
-    """The plan after bin completion of parts of it: the most wasteful sequences and a few others give
-    up their pieces, which are packed anew; what takes no more sequences stands.
+    """The plan after bin completion of parts of it: some of the most wasteful sequences and of the
+    others give up their pieces, which are packed anew; what takes no more sequences stands.
 
     A depth-first search seldom comes back to its first fillings; this mends what they spoiled.
     """
     rnd, patterns, sequences = random.Random(17), dict[tuple[int, ...], int](), plan.sequences
     for times, items in plan.patterns:
         patterns[items] = patterns.get(items, 0) + times
-    inner = replace(budget, nodes=60, steps=min(budget.steps, 2000), repairs=0)
+    inner = replace(budget, nodes=20, steps=min(budget.steps, 1000), repairs=0)
     idle = 0
     while idle < budget.repairs and sequences > plan.bound:
         idle += 1
@@ -204,9 +204,7 @@ def repaired(plan: Plan, capacity: int, budget: Budget) -> Plan:
         chosen = wasteful[: rnd.randint(1, len(wasteful))] + rnd.sample(others, min(len(others), rnd.randint(5, _PART)))
         taken, part = {}, {}
         for items in chosen:
-            n = patterns[items]
-            # a few of them, or a share
-            taken[items] = rnd.randint(1, min(n, 3)) if rnd.random() < 0.5 else max(1, int(n * rnd.random() ** 2))
+            taken[items] = rnd.randint(1, min(patterns[items], 3))
             for k in items:
                 part[k] = part.get(k, 0) + taken[items]
         found = solve(part, capacity, inner)
