@@ -81,7 +81,8 @@ def fingerprint(nodes: DataFrame, params: DataFrame) -> Column:
 
 
 def _number(x: float) -> str:
-    return f"double('{x!r}')"
+    """A double literal of exactly this value."""
+    return f"{x!r}D"
 
 
 @dataclass(frozen=True)
@@ -127,12 +128,13 @@ class TreeEnsemble:
             name = r.feature.replace("`", "``")
             return f"CASE WHEN `{name}` <= {_number(r.threshold)} THEN {walk(tree, r.left)} ELSE {walk(tree, r.right)} END"
 
-        parts = [f"{_number(tree[0].weight)} * {walk(tree, 0)}" for _, tree in sorted(trees.items())]
+        # one text a tree: nested brackets around many of them are slow to parse
+        parts = [F.lit(tree[0].weight) * F.expr(walk(tree, 0)) for _, tree in sorted(trees.items())]
         # summed in halves, so that the expression is no deeper than needed
         while len(parts) > 1:
-            parts = [f"({' + '.join(parts[i : i + 2])})" for i in range(0, len(parts), 2)]
+            parts = [a + b for a, b in zip(parts[::2], parts[1::2])] + parts[len(parts) & ~1 :]
         missing = F.exists(F.array(*[F.col(f).cast("double") for f in self.features]), lambda x: x.isNull())
-        return F.when(~missing, F.expr(parts[0]))
+        return F.when(~missing, parts[0])
 
     def probability(self) -> Column:
         """Class 1's probability: 1 / (1 + exp(-2 margin))."""
