@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from wearline.constants import BOOTSTRAP_RESAMPLES, CI_PERCENTILES, SEED
 from wearline.functions.stats import ReplicateWeights, normal_pvalue, row_hash32, t_pvalue
 from wearline.operators.ranks import ordered_prefix
+from wearline.session import ship
 
 FIXED_BITS = 40
 LIMB_BITS = 20
@@ -134,6 +135,7 @@ def bootstrap_means(
     under any partitioning or merge order. A total beyond 38 decimal digits fails the job.
     NULL and NaN are skipped. It approximates, and does not reproduce, a NumPy draw.
     """
+    ship(df.sparkSession)
     names = [f"s{i}" for i in range(LIMBS)]
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

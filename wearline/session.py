@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,9 +16,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     The context's own setting wins; otherwise the session conf is read and applied to the
     context, so ``DataFrame.checkpoint()`` and ML checkpointing write to the shared folder.
-    A session on one machine gets a folder of its own where none is named. On a cluster a
-    missing folder, or one on each machine's own disk (``file:``), raises: executors would
-    not see what others wrote.
+    A session on one machine gets a folder of its own where none is named; on a cluster a
+    missing folder raises. The scheme does not tell whether a named one is shared: a mounted
+    volume is ``file:`` too. Spark itself fails a ``checkpoint()`` of which parts are missing.
     """
     sc = spark.sparkContext
     folder = sc.getCheckpointDir()
@@ -27,11 +30,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(folder)
         folder = sc.getCheckpointDir()
-    if folder.startswith("file:") and not sc.master.startswith("local"):
-        raise ValueError(f"spark.checkpoint.dir is on each machine's own disk: {folder}")
     return folder
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, as ``--py-files`` would; once per application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_wearline_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="wearline-code-")), "wearline-code.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(archive)
+    sc._wearline_shipped = True
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
