@@ -23,17 +23,21 @@ and windowed by another column that sorts a unit's rows the same way and is uniq
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wearline.constants import CHUNK_ROWS
 from wearline.functions.columns import as_list
-from wearline.session import materialize
+from wearline.session import materialize, ship
 
 CHUNK, OWN, LONG = "_chunk", "_own", "_long"
+ROW = "_row"
 #: Long units hold more than 1 row in so many, so there are fewer of them.
 MOST_LONG = 65_536
 #: Ranges of one unit, at most, and the split points of one step of the search for a row's range.
@@ -179,3 +183,71 @@ def chunk_frames(
 def own_rows(frame: DataFrame) -> DataFrame:
     """Keep the input's own rows and drop the helper columns."""
     return plain(frame.filter(F.col(OWN)).drop(OWN))
+
+
+#: A column's values and, where some are missing, which are there.
+Values = tuple[np.ndarray, np.ndarray | None]
+
+
+def _values(column: pa.Array, before: Values | None, back: int) -> Values:
+    """A batch's values behind the last ``back`` ones before it."""
+    there = None if column.null_count == 0 else column.is_valid().to_numpy(zero_copy_only=False)
+    x = column.fill_null(0.0).to_numpy(zero_copy_only=False)
+    old, had = (np.zeros(back), None) if before is None else before
+    if there is not None or had is not None:
+        had = np.ones(back, bool) if had is None else had
+        there = np.concatenate([had, np.ones(len(x), bool) if there is None else there])
+    return np.concatenate([old, x]), there
+
+
+def _tail(x: Values, back: int) -> Values:
+    at = len(x[0]) - back
+    there = None if x[1] is None or x[1][at:].all() else x[1][at:]
+    return x[0][at:], there
+
+
+def full_windows(
+    frame: DataFrame,
+    part: Sequence[str],
+    order: str,
+    n: int,
+    values: Mapping[str, Column],
+    out: T.StructType,
+    compute: Callable[[list[Values], np.ndarray], list[pa.Array]],
+) -> DataFrame:
+    """The rows of a frame that end a full ``n``-row window, with the columns ``out``.
+
+    A sliding aggregate goes over all of a window's rows at each row, one row at a time.
+    ``compute`` instead gets the ``values`` (as doubles) of a batch of rows in window order, the
+    ``n - 1`` rows ahead of it included, and the places where the full windows start; it returns
+    one array for each column. A task holds a batch and ``n - 1`` rows.
+
+    Rows are numbered by a window and come from it in that order; a batch that does not go on where
+    the last one ended fails the job.
+    """
+    ship(frame.sparkSession)
+    frame = frame.drop(LONG)
+    number = F.row_number().over(Window.partitionBy(*part).orderBy(order))
+    named = [c.cast("double").alias(f"_value_{i}") for i, c in enumerate(values.values())]
+    rows = frame.select(*frame.columns, number.alias(ROW)).select(*frame.columns, ROW, *named)
+    kept, width = len(frame.columns), len(named)
+    names = [*frame.columns, *out.names]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, last = [None] * width, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            row = batch.column(kept).to_numpy(zero_copy_only=False)
+            if ((row != 1) & (np.diff(row, prepend=last) != 1)).any():
+                raise ValueError("rows of a unit do not follow each other")
+            last = row[-1]
+            all_values = [_values(batch.column(kept + 1 + i), b, n - 1) for i, b in enumerate(before)]
+            before = [_tail(x, n - 1) for x in all_values]
+            full = row >= n
+            starts = np.flatnonzero(full)
+            if len(starts):
+                own = batch.filter(pa.array(full))
+                yield pa.RecordBatch.from_arrays([*own.columns[:kept], *compute(all_values, starts)], names=names)
+
+    return rows.mapInArrow(run, T.StructType([*frame.schema.fields, *out.fields]))

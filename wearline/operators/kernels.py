@@ -6,8 +6,9 @@ number of places where the sum is positive. Zero sums make the features independ
 offset and scale. What the sums cannot see, the level, is told by the number of steps above given
 values of the sensor.
 
-A convolution is computed once for each row, from ``lag``s, and counted over the window's frame;
-everything runs on the frames of :mod:`wearline.operators.frames`. All features are whole numbers,
+A convolution is computed once for each row of a batch and counted up to the row; a window's count
+is the difference of two of these, so a row costs the same whatever ``n``. Everything runs on the
+frames of :mod:`wearline.operators.frames`. All features are whole numbers,
 so sums over them are exact in any order.
 """
 
@@ -17,12 +18,15 @@ from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wearline.constants import CHUNK_ROWS, SEQUENCE_LENGTH
 from wearline.functions.columns import as_list
-from wearline.operators.frames import chunk_frames, own_rows
+from wearline.operators.frames import Values, chunk_frames, full_windows, own_rows
 
 WIDTH, HEAVY = 9, 3
 
@@ -42,7 +46,7 @@ def kernel_columns(sensors: Sequence[str], n: int, kernels: int, levels: Mapping
     return conv + [f"{s}_over{i}" for s in sensors for i in range(len(levels.get(s, ())))]
 
 
-def _sum(columns: Sequence[Column]) -> Column:
+def _sum(columns: Sequence[np.ndarray]) -> np.ndarray:
     return reduce(lambda a, b: a + b, columns)
 
 
@@ -67,30 +71,38 @@ def kernel_features(
     names = kernel_columns(sensors, n, kernels, levels)
     places = kernel_places(kernels)
     frame, part = chunk_frames(df, keys, order, n - 1, chunk_rows)
-    row = Window.partitionBy(*part).orderBy(order)
-    steps = sorted({d * (WIDTH - 1 - i) for d in dilations(n) for i in range(WIDTH)})
-    lagged = frame.select(*frame.columns, *[F.lag(s, k).over(row).alias(f"_l_{s}_{k}") for s in sensors for k in steps if k])
-    at = lambda s, d, i: F.col(f"_l_{s}_{d * (WIDTH - 1 - i)}") if i < WIDTH - 1 else F.col(s)
-    sums = lagged.select(
-        *lagged.columns, *[_sum([at(s, d, i) for i in range(WIDTH)]).alias(f"_t_{s}_{d}") for s in sensors for d in dilations(n)]
-    )
-    flags = [
-        (F.lit(float(HEAVY)) * _sum([at(s, d, i) for i in places[j]]) > F.col(f"_t_{s}_{d}")).cast("int").alias(f"{s}_k{d}_{j}")
-        for s in sensors
-        for d in dilations(n)
-        for j in range(kernels)
-    ]
-    flags += [(F.col(s) > F.lit(float(v))).cast("int").alias(f"{s}_over{i}") for s in sensors for i, v in enumerate(levels.get(s, ()))]
-    flagged = sums.select(*frame.columns, *flags)
-
-    def frame_of(name: str) -> Window:
+    out = T.StructType([T.StructField(c, T.IntegerType()) for c in names])
+    values = {s: F.col(s) for s in sensors}
+    given = [[float(v) for v in levels.get(s, ())] for s in sensors]
+    return own_rows(full_windows(frame, part, order, n, values, out, _counts(n, places, given)))
+
+
+def _counts(n: int, places: Sequence[tuple[int, ...]], levels: Sequence[Sequence[float]]):
+    """``compute`` of :func:`full_windows`: how often each flag is set within a window."""
+    spans = dilations(n)
+
+    def counted(flags: np.ndarray, there: list[np.ndarray], starts: np.ndarray, span: int) -> pa.Array:
         # a kernel fits where its first place lies in the window
-        d = next((d for d in dilations(n) if f"_k{d}_" in name), 0)
-        return row.rowsBetween(-(n - 1 - d * (WIDTH - 1)), 0)
-
-    counted = flagged.select(
-        *frame.columns,
-        F.count(F.lit(1)).over(row.rowsBetween(-(n - 1), 0)).alias("_wn"),
-        *[F.coalesce(F.sum(c).over(frame_of(c)), F.lit(0)).cast("int").alias(c) for c in names],
-    )
-    return own_rows(counted).filter(F.col("_wn") == n).drop("_wn")
+        so_far = np.zeros(len(flags) + 1, np.int32)
+        np.cumsum(reduce(np.logical_and, there, flags), out=so_far[1:])
+        return pa.array(so_far[starts + n - span] - so_far[starts])
+
+    def compute(values: list[Values], starts: np.ndarray) -> list[pa.Array]:
+        out, over = [], []
+        with np.errstate(all="ignore"):
+            for (x, there), bars in zip(values, levels, strict=True):
+                for d in spans:
+                    span = d * (WIDTH - 1)
+                    shifted = lambda a, d=d, span=span: [a[d * i : len(a) - span + d * i] for i in range(WIDTH)]
+                    at, has = shifted(x), [] if there is None else shifted(there)
+                    total = _sum(at)
+                    out += [counted(_greater(HEAVY * _sum([at[i] for i in p]), total), has, starts, span) for p in places]
+                over += [counted(_greater(x, np.full(len(x), v)), [] if there is None else [there], starts, 0) for v in bars]
+        return out + over
+
+    return compute
+
+
+def _greater(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """As Spark compares doubles: NaN is above all others."""
+    return (a > b) | (np.isnan(a) & ~np.isnan(b))
