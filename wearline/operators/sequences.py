@@ -12,12 +12,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wearline.constants import CHUNK_ROWS, SEQUENCE_LENGTH
 from wearline.functions.columns import as_list
-from wearline.operators.frames import LONG, chunk_frames, helpers, own_rows, plain
+from wearline.operators.frames import LONG, Values, chunk_frames, full_windows, helpers, own_rows, plain
 from wearline.operators.rolling import last_k
 
 
@@ -79,6 +82,8 @@ def window_summaries(
 ) -> DataFrame:
     """Per full ``n``-row window: first value, mean, sample std and slope against the cycle
     of each sensor. The same rows as W6 with the same ``short``, without materialising arrays.
+    Only full windows are summed up, many at once, each from its oldest row on as Spark's own
+    aggregates do, so the values are theirs to the last bit.
 
     With ``"pad"`` a unit shorter than ``n`` gives one window: its rows, preceded by copies of
     its first row at the cycles before it; a column ``padded`` tells such windows.
@@ -87,17 +92,12 @@ def window_summaries(
     if short not in ("skip", "pad"):
         raise ValueError(f"unknown short-unit policy {short!r}")
     frame, part = chunk_frames(df, keys, order, n - 1, chunk_rows)
-    w = Window.partitionBy(*part).orderBy(order).rowsBetween(-(n - 1), 0)
-    cols = [F.count(F.lit(1)).over(w).alias("_wn")]
-    for s in sensors:
-        cols += [
-            F.first(s).over(w).alias(f"{s}_wfirst"),
-            F.avg(s).over(w).alias(f"{s}_wmean"),
-            F.stddev_samp(s).over(w).alias(f"{s}_wstd"),
-            F.regr_slope(F.col(s), F.col(order).cast("double")).over(w).alias(f"{s}_wslope"),
-        ]
-    out = own_rows(frame.select(*frame.columns, *cols))
-    full = out.filter(F.col("_wn") == n).drop("_wn")
+    row = Window.partitionBy(*part).orderBy(order)
+    frame = frame.select(*frame.columns, *[F.lag(s, n - 1).over(row).alias(f"{s}_wfirst") for s in sensors])
+    out = T.StructType([T.StructField(f"{s}_{k}", T.DoubleType()) for s in sensors for k in ("wmean", "wstd", "wslope")])
+    values = {c: F.col(c) for c in (order, *sensors)}
+    summed = own_rows(full_windows(frame, part, order, n, values, out, _summaries(n)))
+    full = summed.select(*plain(df).columns, *summary_columns(sensors))
     if short == "skip":
         return full
     # at most n rows of a unit leave each task before they meet
@@ -121,5 +121,44 @@ def window_summaries(
     return full.withColumn("padded", F.lit(False)).unionByName(padded.withColumn("padded", F.lit(True)))
 
 
+def _summaries(n: int):
+    """``compute`` of :func:`full_windows`: mean, sample std and slope of each sensor."""
+
+    def compute(values: list[Values], starts: np.ndarray) -> list[pa.Array]:
+        (cycle, known), out = values[0], []
+        with np.errstate(all="ignore"):
+            for sensor, there in values[1:]:
+                zero = np.zeros(len(starts))
+                total, count, mean, m2 = zero, zero, zero, zero
+                pairs, x_mean, y_mean, x_m2, both = zero, zero, zero, zero, zero
+                for at in (starts + i for i in range(n)):
+                    y, x = sensor[at], cycle[at]
+                    has_y = True if there is None else there[at]
+                    has = has_y if known is None else has_y & known[at]
+                    total = _where(has_y, total + y, total)
+                    count = count + has_y
+                    d = y - mean
+                    step = d / count
+                    mean, m2 = _where(has_y, mean + step, mean), _where(has_y, m2 + d * (d - step), m2)
+                    pairs = pairs + has
+                    dx, dy = x - x_mean, y - y_mean
+                    step = dx / pairs
+                    x_mean, x_m2 = _where(has, x_mean + step, x_mean), _where(has, x_m2 + dx * (dx - step), x_m2)
+                    y_mean = _where(has, y_mean + dy / pairs, y_mean)
+                    both = _where(has, both + dx * (y - y_mean), both)
+                out += [
+                    pa.array(total / count, mask=count == 0),
+                    pa.array(np.sqrt(m2 / (count - 1)), mask=count < 2),
+                    pa.array(both / x_m2, mask=x_m2 == 0),
+                ]
+        return out
+
+    return compute
+
+
+def _where(has: np.ndarray | bool, new: np.ndarray, old: np.ndarray) -> np.ndarray:
+    return new if has is True else np.where(has, new, old)
+
+
 def summary_columns(sensors: Sequence[str]) -> list[str]:
     return [f"{s}_{k}" for s in sensors for k in ("wfirst", "wmean", "wstd", "wslope")]
