@@ -17,6 +17,7 @@ FAILED = [
     "a17_mean_diff",
     "a16_wilcoxon_exact",
     "a18_bootstrap_means",
+    "a20_comparison_summary",
 ]
 
 
