@@ -18,6 +18,7 @@ FAILED = [
     "a16_wilcoxon_exact",
     "a18_bootstrap_means",
     "a20_comparison_summary",
+    "a19_bootstrap_ci",
 ]
 
 
