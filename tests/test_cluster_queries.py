@@ -21,6 +21,7 @@ FAILED = [
     "a19_bootstrap_ci",
     "a20_model_comparison",
     "a20_statistics",
+    "a21_importance",
 ]
 
 
