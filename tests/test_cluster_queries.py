@@ -22,6 +22,7 @@ FAILED = [
     "a20_model_comparison",
     "a20_statistics",
     "a21_importance",
+    "a21_importance_check",
 ]
 
 
