@@ -26,6 +26,7 @@ FAILED = [
     "a2_split_profile",
     "a8_fit_scaler",
     "a9_regression_metrics",
+    "d2_early_stop_split",
 ]
 
 
