@@ -28,6 +28,7 @@ FAILED = [
     "a9_regression_metrics",
     "d2_early_stop_split",
     "j2_align",
+    "m1_compiled_predictions",
 ]
 
 
