@@ -67,6 +67,25 @@ def test_a_benchmark_in_blocks_gives_the_same_links(spark, scratch):
     assert rows(whole, *whole.columns) == rows(cut, *cut.columns)
 
 
+def test_items_of_equal_tokens_are_sought_once_and_long_items_in_words(spark, scratch):
+    long = " ".join(f"t{i}" for i in range(150))
+    bench = [(i, ITEM) for i in range(50)] + [(None, ITEM.upper()), (90, long), (91, " ".join(long.split()[:64])), (91, ITEM)]
+    table = docs(f"start {ITEM} end", f"so {_swap(long, 4)} on", long, " ".join(long.split()[100:]), ids=[1, 2, 3, 4])
+    got = same_as_sql(spark, write(scratch, documents=table, benchmark=bench), decontaminate, "op8_decontaminate")
+    found = {(r.doc_id, r.item_id): r.matched for r in got.collect()}
+    assert len(found) == 52 + 4 and found[2, 90] == 113 and found[3, 90] == 150 and found[2, 91] == 48
+    d, b = spark.createDataFrame([(1, ITEM)], "doc_id int, text string"), spark.createDataFrame(bench, "item_id int, text string")
+    hits, ids = decontaminate._matches(d, b, 0.6, 10**6)
+    # one text in two stretches, whatever the number of its ids
+    assert hits.count() == 2 and ids.count() == 54
+
+
+def test_blocks_of_seeds_are_broadcast_one_after_the_other_and_hits_grouped_without_a_sort(spark):
+    d, b = spark.createDataFrame([(1, ITEM)], "doc_id int, text string"), spark.createDataFrame(BENCH, "item_id int, text string")
+    plans = [decontaminate._matches(d, b, 0.6, n)[0]._jdf.queryExecution().executedPlan().toString() for n in (5, 10**6)]
+    assert "BroadcastExchange" not in plans[0] and "BroadcastExchange" in plans[1] and "SortAggregate" not in plans[1]
+
+
 @pytest.mark.parametrize("few", [decontaminate.FEW_LEAKS, 0])
 def test_clean_documents_stay_with_all_columns(spark, scratch, few):
     # a leaking row without an id goes, a clean row that shares a leaking row's id stays
