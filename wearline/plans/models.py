@@ -1,16 +1,16 @@
 """Boosted-tree models with Spark ML.
 
-Training is distributed by Spark ML itself (per-round histogram aggregation on executors).
-Boosting persists its instances itself (memory, spilling to disk) because it rescans them,
-and node-id caches are checkpointed to the cluster's shared ``spark.checkpoint.dir``, which
-cuts lineage and lets a lost executor's work be recovered from storage.
+Models are Spark ML's; their trees are grown by :mod:`wearline.plans.boosting`, which gives the
+trees that Spark ML's own boosting gives. It persists binned rows (memory, spilling to disk)
+because it rescans them, and checkpoints them to the cluster's shared ``spark.checkpoint.dir``,
+which cuts lineage and lets a lost executor's work be recovered from storage.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearline.constants import PATIENCE, SEED, TREE_DEPTH, TREE_ROUNDS, TREE_STEP
+from wearline.plans.boosting import fit_trees
 from wearline.plans.ensemble import TreeEnsemble, pipeline_prefix
 from wearline.session import checkpoint_dir
 
@@ -32,9 +33,8 @@ def _tree_kwargs(df: DataFrame, rounds: int, depth: int, step: float, seed: int)
 
 
 def _fit(df: DataFrame, feats: Sequence[str], estimator) -> PipelineModel:
-    # Boosting persists its own instance RDD (memory, then disk) for the rounds it runs.
     assembler = VectorAssembler(inputCols=list(feats), outputCol=VECTOR, handleInvalid="error")
-    return Pipeline(stages=[assembler, estimator]).fit(df)
+    return PipelineModel(stages=[assembler, fit_trees(df, feats, estimator)])
 
 
 def fit_regressor(
